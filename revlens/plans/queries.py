@@ -38,3 +38,248 @@ def q_count_by_category_sentiment(spark, sf_dir):
 @query("count_by_category_sentiment_orders")
 def q_count_by_category_sentiment_orders(spark, sf_dir):
     return profile.count_by_category_sentiment(clean_order_reviews(spark, sf_dir))
+
+
+from revlens.operators import bias, cleaning, sampling, text as text_ops  # noqa: E402
+from revlens.functions.sentiment import rating_to_sentiment  # noqa: E402
+from revlens.sources.csv_io import labelled_lines  # noqa: E402
+from revlens.sources.tables import load_table, reviews  # noqa: E402
+
+
+def labelled_reviews(spark, sf_dir):
+    """Reviews with a rating, sentiment derived, before the rare filter."""
+    return cleaning.label_sentiment(cleaning.drop_incomplete(reviews(spark, sf_dir)))
+
+
+def split_reviews(spark, sf_dir):
+    return sampling.stratified_split(clean_fixture_reviews(spark, sf_dir))
+
+
+def texts_with_samples(spark, sf_dir):
+    """Every document text plus the sample sentences (negative ids): the
+    documents hold no apostrophe, so the samples exercise contractions."""
+    docs = load_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"),
+                                                          F.col("text").alias("review_body"))
+    samples = ([text_ops.SAMPLE_SENTENCE] + [t for _, t in text_ops.SAMPLE_PREPARATION_ROWS]
+               + text_ops.SAMPLE_SCORING_REVIEWS)
+    extra = spark.createDataFrame([(-(i + 1), s) for i, s in enumerate(samples)],
+                                  "id bigint, review_body string")
+    return docs.unionByName(extra)
+
+
+# ----------------------------------------------------------------- cleaning
+@query("rating_to_sentiment")
+def q_rating_to_sentiment(spark, sf_dir):
+    return reviews(spark, sf_dir).select("id", "star_rating",
+                                         rating_to_sentiment("star_rating").alias("sentiment"))
+
+
+@query("clean_reviews")
+def q_clean_reviews(spark, sf_dir):
+    return clean_fixture_reviews(spark, sf_dir)
+
+
+@query("rare_category_filter")
+def q_rare_category_filter(spark, sf_dir):
+    return (cleaning.rare_category_filter(labelled_reviews(spark, sf_dir), "fine_category")
+            .select("id", "fine_category", "sentiment"))
+
+
+@query("stage_shapes")
+def q_stage_shapes(spark, sf_dir):
+    return cleaning.stage_shapes(reviews(spark, sf_dir))
+
+
+@query("preview_reviews")
+def q_preview_reviews(spark, sf_dir):
+    return cleaning.preview(clean_fixture_reviews(spark, sf_dir), "id", 5)
+
+
+# ---------------------------------------------------------------- profiling
+@query("count_by_sentiment")
+def q_count_by_sentiment(spark, sf_dir):
+    return profile.count_by_sentiment(clean_fixture_reviews(spark, sf_dir))
+
+
+@query("count_sentiment_by_category")
+def q_count_sentiment_by_category(spark, sf_dir):
+    return profile.count_sentiment_by_category(clean_fixture_reviews(spark, sf_dir))
+
+
+@query("avg_sentiment_by_category")
+def q_avg_sentiment_by_category(spark, sf_dir):
+    return round_doubles(profile.avg_sentiment_by_category(clean_fixture_reviews(spark, sf_dir)))
+
+
+@query("avg_sentiment_by_category_orders")
+def q_avg_sentiment_by_category_orders(spark, sf_dir):
+    return round_doubles(profile.avg_sentiment_by_category(clean_order_reviews(spark, sf_dir)))
+
+
+@query("count_reviews_by_category")
+def q_count_reviews_by_category(spark, sf_dir):
+    return profile.count_reviews_by_category(clean_fixture_reviews(spark, sf_dir))
+
+
+@query("max_category_count")
+def q_max_category_count(spark, sf_dir):
+    return profile.max_category_count(clean_fixture_reviews(spark, sf_dir))
+
+
+@query("sentiment_totals")
+def q_sentiment_totals(spark, sf_dir):
+    return profile.sentiment_totals(
+        profile.count_by_category_sentiment(clean_fixture_reviews(spark, sf_dir)))
+
+
+@query("sentiment_pct_by_category")
+def q_sentiment_pct_by_category(spark, sf_dir):
+    return round_doubles(profile.sentiment_pct_by_category(clean_fixture_reviews(spark, sf_dir)))
+
+
+@query("sentiment_pct_by_category_orders")
+def q_sentiment_pct_by_category_orders(spark, sf_dir):
+    return round_doubles(profile.sentiment_pct_by_category(clean_order_reviews(spark, sf_dir)))
+
+
+@query("crosscount_unbalanced")
+def q_crosscount_unbalanced(spark, sf_dir):
+    return profile.crosscount(clean_fixture_reviews(spark, sf_dir))
+
+
+@query("min_cell_size")
+def q_min_cell_size(spark, sf_dir):
+    return profile.min_cell_size(clean_fixture_reviews(spark, sf_dir))
+
+
+@query("min_cell_size_orders")
+def q_min_cell_size_orders(spark, sf_dir):
+    return profile.min_cell_size(clean_order_reviews(spark, sf_dir))
+
+
+@query("review_word_counts")
+def q_review_word_counts(spark, sf_dir):
+    return profile.review_word_counts(reviews(spark, sf_dir))
+
+
+@query("word_count_describe")
+def q_word_count_describe(spark, sf_dir):
+    return round_doubles(profile.word_count_describe(reviews(spark, sf_dir)))
+
+
+@query("word_count_histogram")
+def q_word_count_histogram(spark, sf_dir):
+    return round_doubles(profile.word_count_histogram(reviews(spark, sf_dir)))
+
+
+# --------------------------------------------------------------------- bias
+@query("bias_report")
+def q_bias_report(spark, sf_dir):
+    return round_doubles(bias.bias_report(clean_fixture_reviews(spark, sf_dir)))
+
+
+@query("bias_report_orders")
+def q_bias_report_orders(spark, sf_dir):
+    return round_doubles(bias.bias_report(clean_order_reviews(spark, sf_dir)))
+
+
+@query("bias_report_fine_category")
+def q_bias_report_fine_category(spark, sf_dir):
+    return round_doubles(bias.bias_report(labelled_reviews(spark, sf_dir), facet="fine_category"))
+
+
+# ----------------------------------------------------------------- sampling
+@query("balanced_reviews")
+def q_balanced_reviews(spark, sf_dir):
+    return sampling.balance_by_downsampling(clean_fixture_reviews(spark, sf_dir))
+
+
+@query("balanced_orders")
+def q_balanced_orders(spark, sf_dir):
+    return sampling.balance_by_downsampling(clean_order_reviews(spark, sf_dir))
+
+
+@query("crosscount_balanced")
+def q_crosscount_balanced(spark, sf_dir):
+    return profile.crosscount(sampling.balance_by_downsampling(clean_fixture_reviews(spark, sf_dir)))
+
+
+@query("bias_report_balanced")
+def q_bias_report_balanced(spark, sf_dir):
+    return round_doubles(bias.bias_report(
+        sampling.balance_by_downsampling(clean_fixture_reviews(spark, sf_dir))))
+
+
+@query("bias_report_balanced_orders")
+def q_bias_report_balanced_orders(spark, sf_dir):
+    return round_doubles(bias.bias_report(
+        sampling.balance_by_downsampling(clean_order_reviews(spark, sf_dir))))
+
+
+@query("training_projection")
+def q_training_projection(spark, sf_dir):
+    return (sampling.balance_by_downsampling(clean_fixture_reviews(spark, sf_dir))
+            .select("sentiment", "review_body"))
+
+
+@query("stratified_split")
+def q_stratified_split(spark, sf_dir):
+    return split_reviews(spark, sf_dir).select("id", "sentiment", "split")
+
+
+@query("stratified_split_orders")
+def q_stratified_split_orders(spark, sf_dir):
+    return sampling.stratified_split(clean_order_reviews(spark, sf_dir)).select("id", "sentiment", "split")
+
+
+@query("split_sizes")
+def q_split_sizes(spark, sf_dir):
+    return profile.split_sizes(split_reviews(spark, sf_dir))
+
+
+# --------------------------------------------------------------------- text
+@query("normalize_text")
+def q_normalize_text(spark, sf_dir):
+    return text_ops.normalize_reviews(texts_with_samples(spark, sf_dir)).withColumnRenamed(
+        "review_body", "normalized")
+
+
+@query("tokenize_reviews")
+def q_tokenize_reviews(spark, sf_dir):
+    return text_ops.tokenize_reviews(texts_with_samples(spark, sf_dir)).select("id", "tokens_text")
+
+
+@query("label_prefix")
+def q_label_prefix(spark, sf_dir):
+    labels = clean_fixture_reviews(spark, sf_dir).select(
+        "id", F.col("sentiment").cast("string").alias("label"))
+    # Fixed edge values: an already prefixed label and a word starting with
+    # prefix characters.
+    edge = spark.createDataFrame([(-1, "__label__1"), (-2, "able"), (-3, "__label__able")],
+                                 "id bigint, label string")
+    return text_ops.label_prefix_table(labels.unionByName(edge))
+
+
+@query("prepare_training_rows")
+def q_prepare_training_rows(spark, sf_dir):
+    clean = clean_fixture_reviews(spark, sf_dir).select("id", "sentiment", "review_body")
+    samples = spark.createDataFrame(
+        [(-(i + 1), s, t) for i, (s, t) in enumerate(text_ops.SAMPLE_PREPARATION_ROWS)],
+        "id bigint, sentiment int, review_body string")
+    return text_ops.prepare_training_rows(clean.unionByName(samples))
+
+
+@query("labelled_text_lines")
+def q_labelled_text_lines(spark, sf_dir):
+    prepared = text_ops.prepare_training_rows(split_reviews(spark, sf_dir))
+    return labelled_lines(prepared, prefixed=True, keep=("id", "split"))
+
+
+@query("vocabulary_min_count")
+def q_vocabulary_min_count(spark, sf_dir):
+    return text_ops.vocabulary_min_count(text_ops.with_tokens(clean_fixture_reviews(spark, sf_dir)))
+
+
+@query("word_ngrams")
+def q_word_ngrams(spark, sf_dir):
+    return text_ops.ngram_counts(text_ops.with_tokens(clean_fixture_reviews(spark, sf_dir)))

@@ -87,10 +87,12 @@ def write_training_projection(df: DataFrame, path: str, label_col: str = "sentim
 
 
 def labelled_lines(df: DataFrame, label_col: str = "sentiment",
-                   text_col: str = "review_body", prefixed: bool = False) -> DataFrame:
-    """``__label__<y> <tokenised text>`` lines (no quoting of the text)."""
+                   text_col: str = "review_body", prefixed: bool = False,
+                   keep=()) -> DataFrame:
+    """``__label__<y> <tokenised text>`` lines (no quoting of the text);
+    ``keep`` columns are carried in front of ``value``."""
     label = F.col(label_col) if prefixed else add_label_prefix(label_col)
-    return df.select(F.concat_ws(" ", label, F.col(text_col)).alias("value"))
+    return df.select(*keep, F.concat_ws(" ", label, F.col(text_col)).alias("value"))
 
 
 def write_labelled_text(df: DataFrame, path: str, label_col: str = "sentiment",
