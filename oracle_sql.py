@@ -351,3 +351,52 @@ grams AS (
                                   lambda i: array_to_string(tokens[i:i + n - 1], ' '))) AS ngram
   FROM toks, (VALUES (1), (2), (3)) v(n))
 SELECT n, ngram, count(*) AS ngram_count FROM grams GROUP BY n, ngram HAVING count(*) >= 2""")
+
+# -------------------------------------------------------------- naive Bayes
+NB_CTE = SPLIT_CTE + f""",
+ntoks AS (SELECT id, sentiment, split, {tokens_sql(tok_sql('review_body'))} AS tokens FROM split),
+nbtrain AS (SELECT * FROM ntoks WHERE split = 'train'),
+tex AS (SELECT sentiment, unnest(tokens) AS token FROM nbtrain),
+tc AS (SELECT token, sentiment, count(*) AS c FROM tex GROUP BY ALL),
+vocab AS (SELECT token FROM tc GROUP BY token HAVING sum(c) >= 2),
+nlabels AS (SELECT sentiment, count(*) AS docs FROM nbtrain GROUP BY sentiment),
+ngrid AS (
+  SELECT v.token, l.sentiment, CAST(coalesce(tc.c, 0) AS BIGINT) AS c
+  FROM vocab v CROSS JOIN nlabels l
+  LEFT JOIN tc ON tc.token = v.token AND tc.sentiment = l.sentiment),
+ntot AS (SELECT sentiment, sum(c) AS n_c FROM ngrid GROUP BY sentiment),
+vsize AS (SELECT count(*) AS v FROM vocab),
+weights AS (
+  SELECT g.token, g.sentiment, g.c AS token_count,
+         ln((g.c + 1.0e0) / (CAST(n.n_c AS DOUBLE) + 1.0e0 * vs.v)) AS log_prob
+  FROM ngrid g JOIN ntot n ON g.sentiment = n.sentiment CROSS JOIN vsize vs),
+nval AS (SELECT * FROM ntoks WHERE split = 'validation'),
+vex AS (SELECT id, unnest(tokens) AS token FROM nval),
+vsums AS (
+  SELECT vex.id, w.sentiment AS label, sum(w.log_prob) AS s
+  FROM vex JOIN weights w ON w.token = vex.token GROUP BY ALL),
+tdocs AS (SELECT sum(docs) AS total FROM nlabels),
+nscores AS (
+  SELECT v.id, v.sentiment, l.sentiment AS label,
+         ln(CAST(l.docs AS DOUBLE) / CAST(t.total AS DOUBLE)) + coalesce(s.s, 0) AS score
+  FROM nval v CROSS JOIN nlabels l CROSS JOIN tdocs t
+  LEFT JOIN vsums s ON s.id = v.id AND s.label = l.sentiment),
+npred AS (
+  SELECT id, sentiment, label AS prediction,
+         row_number() OVER (PARTITION BY id ORDER BY score DESC, label) AS rn
+  FROM nscores),
+predictions AS (SELECT id, sentiment, prediction FROM npred WHERE rn = 1)"""
+
+ORACLE_SQL["nb_token_weights"] = with_reviews(NB_CTE + """
+SELECT token, sentiment, token_count, round(log_prob, 6) AS log_prob FROM weights""")
+
+ORACLE_SQL["nb_predictions"] = with_reviews(NB_CTE + """
+SELECT id, sentiment, prediction FROM predictions""")
+
+ORACLE_SQL["nb_confusion_matrix"] = with_reviews(NB_CTE + """
+SELECT sentiment, prediction, count(*) AS n FROM predictions GROUP BY ALL ORDER BY ALL""")
+
+ORACLE_SQL["nb_accuracy"] = with_reviews(NB_CTE + """
+SELECT count(*) AS n,
+       round(avg(CASE WHEN sentiment = prediction THEN 1.0e0 ELSE 0.0e0 END), 6) AS accuracy
+FROM predictions""")

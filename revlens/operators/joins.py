@@ -24,3 +24,27 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     return big.join(bounded_broadcast(small, max_rows), on, how)
+
+
+def salted_lookup_join(big: DataFrame, lookup: DataFrame, key: str, spread_col: str,
+                       how: str = "left", salts: int = 32) -> DataFrame:
+    """Join a skewed ``big`` side to a one-row-per-key ``lookup`` table that
+    is too large to broadcast.
+
+    Each ``big`` row gets a salt from ``spread_col`` (e.g. the document id),
+    so one hot key is spread over ``salts`` reducers; the lookup side is
+    replicated ``salts`` times, which is cheap because it holds one row per
+    key.
+    """
+    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(spread_col), F.lit(salts)))
+    salted_lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted_big.join(salted_lookup, [key, "_salt"], how).drop("_salt")
+
+
+def lookup_join(big: DataFrame, lookup: DataFrame, key: str, spread_col: str,
+                how: str = "left", max_rows: int = DEFAULT_BROADCAST_ROWS,
+                salts: int = 32) -> DataFrame:
+    """Broadcast the lookup table when it proved small, else a salted join."""
+    if fits(lookup, max_rows):
+        return big.join(F.broadcast(lookup), key, how)
+    return salted_lookup_join(big, lookup, key, spread_col, how, salts)

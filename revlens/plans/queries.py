@@ -283,3 +283,39 @@ def q_vocabulary_min_count(spark, sf_dir):
 @query("word_ngrams")
 def q_word_ngrams(spark, sf_dir):
     return text_ops.ngram_counts(text_ops.with_tokens(clean_fixture_reviews(spark, sf_dir)))
+
+
+# -------------------------------------------------------------- naive Bayes
+from revlens.operators import naive_bayes as nb  # noqa: E402
+
+
+def nb_fitted(spark, sf_dir):
+    data = text_ops.with_tokens(split_reviews(spark, sf_dir))
+    model = nb.fit_naive_bayes(data.where(F.col("split") == "train"))
+    return model, data.where(F.col("split") == "validation")
+
+
+def nb_validation_predictions(spark, sf_dir):
+    model, validation = nb_fitted(spark, sf_dir)
+    return nb.predict_naive_bayes(model, validation, keep=("sentiment",))
+
+
+@query("nb_token_weights")
+def q_nb_token_weights(spark, sf_dir):
+    model, _ = nb_fitted(spark, sf_dir)
+    return round_doubles(model.long_weights())
+
+
+@query("nb_predictions")
+def q_nb_predictions(spark, sf_dir):
+    return nb_validation_predictions(spark, sf_dir).select("id", "sentiment", "prediction")
+
+
+@query("nb_confusion_matrix")
+def q_nb_confusion_matrix(spark, sf_dir):
+    return nb.confusion_matrix(nb_validation_predictions(spark, sf_dir))
+
+
+@query("nb_accuracy")
+def q_nb_accuracy(spark, sf_dir):
+    return round_doubles(nb.accuracy(nb_validation_predictions(spark, sf_dir)))
