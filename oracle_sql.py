@@ -400,3 +400,12 @@ ORACLE_SQL["nb_accuracy"] = with_reviews(NB_CTE + """
 SELECT count(*) AS n,
        round(avg(CASE WHEN sentiment = prediction THEN 1.0e0 ELSE 0.0e0 END), 6) AS accuracy
 FROM predictions""")
+
+# ------------------------------------------------------- catalog / CSV / SQL
+ORACLE_SQL["csv_roundtrip"] = ORACLE_SQL["clean_reviews"]
+ORACLE_SQL["catalog_count_by_sentiment"] = ORACLE_SQL["count_by_sentiment"]
+ORACLE_SQL["catalog_avg_sentiment_by_category"] = ORACLE_SQL["avg_sentiment_by_category"]
+ORACLE_SQL["catalog_count_by_category_sentiment"] = ORACLE_SQL["count_by_category_sentiment"]
+ORACLE_SQL["catalog_num_words"] = with_reviews("""
+SELECT len(string_split(review_body, ' ')) AS num_words FROM clean""")
+ORACLE_SQL["sql_count_sentiment_by_category"] = ORACLE_SQL["count_sentiment_by_category"]

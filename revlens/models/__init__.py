@@ -1,0 +1 @@
+"""Spark ML text classifiers, candidate comparison and scoring."""

@@ -319,3 +319,138 @@ def q_nb_confusion_matrix(spark, sf_dir):
 @query("nb_accuracy")
 def q_nb_accuracy(spark, sf_dir):
     return round_doubles(nb.accuracy(nb_validation_predictions(spark, sf_dir)))
+
+
+# ------------------------------------------------------- catalog / CSV / SQL
+from revlens.plans import flows, sql as sql_plans  # noqa: E402
+
+
+def registered_reviews(spark, sf_dir):
+    return flows.register_reviews_table(spark, clean_fixture_reviews(spark, sf_dir), key=sf_dir)
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    return flows.csv_roundtrip(spark, clean_fixture_reviews(spark, sf_dir))
+
+
+@query("catalog_count_by_sentiment")
+def q_catalog_count_by_sentiment(spark, sf_dir):
+    return sql_plans.run_statement(spark, "count_by_sentiment", registered_reviews(spark, sf_dir))
+
+
+@query("catalog_avg_sentiment_by_category")
+def q_catalog_avg_sentiment_by_category(spark, sf_dir):
+    return round_doubles(sql_plans.run_statement(spark, "avg_sentiment_by_category",
+                                                 registered_reviews(spark, sf_dir)))
+
+
+@query("catalog_count_by_category_sentiment")
+def q_catalog_count_by_category_sentiment(spark, sf_dir):
+    return sql_plans.run_statement(spark, "count_by_category_sentiment",
+                                   registered_reviews(spark, sf_dir))
+
+
+@query("catalog_num_words")
+def q_catalog_num_words(spark, sf_dir):
+    return sql_plans.run_statement(spark, "num_words", registered_reviews(spark, sf_dir))
+
+
+@query("sql_count_sentiment_by_category")
+def q_sql_count_sentiment_by_category(spark, sf_dir):
+    view = f"clean_reviews_{abs(hash(sf_dir)) % 10**8}"
+    clean_fixture_reviews(spark, sf_dir).createOrReplaceTempView(view)
+    return sql_plans.run_statement(spark, "count_sentiment_by_category", view)
+
+
+# ------------------------------------------------------------- Spark ML
+from revlens.models import candidates as cand  # noqa: E402
+
+
+def _train_validation(spark, sf_dir):
+    split = split_reviews(spark, sf_dir)
+    return (split.where(F.col("split") == "train"), split.where(F.col("split") == "validation"))
+
+
+# Fitted models are deterministic for a given input, so one fit per
+# (application, data folder) serves every query that needs it.
+_FITTED: dict = {}
+
+
+def _memo(spark, sf_dir, name, build):
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _FITTED:
+        _FITTED[key] = build()
+    return _FITTED[key]
+
+
+def ngram_model(spark, sf_dir):
+    def build():
+        train, _ = _train_validation(spark, sf_dir)
+        return cand.ngram_lr_pipeline().fit(cand.with_label(train))
+    return _memo(spark, sf_dir, "ngram_lr", build)
+
+
+@query("train_text_classifier")
+def q_train_text_classifier(spark, sf_dir):
+    _, validation = _train_validation(spark, sf_dir)
+    model = ngram_model(spark, sf_dir)
+    return (cand.predict_sentiment(model, validation)
+            .select("id", "sentiment", F.col("predicted_sentiment").alias("prediction")))
+
+
+@query("training_metrics")
+def q_training_metrics(spark, sf_dir):
+    _, validation = _train_validation(spark, sf_dir)
+    model = ngram_model(spark, sf_dir)
+    acc = cand.accuracy(cand.predict_sentiment(model, validation)).first()["metric_value"]
+    return cand.training_metrics(spark, model, acc)
+
+
+def _leaderboard(spark, sf_dir):
+    def build():
+        train, validation = _train_validation(spark, sf_dir)
+        return cand.fit_candidates(train, validation)
+    results = _memo(spark, sf_dir, "candidates", build)
+    return cand.leaderboard(spark, results), results
+
+
+@query("candidate_leaderboard")
+def q_candidate_leaderboard(spark, sf_dir):
+    return _leaderboard(spark, sf_dir)[0].drop("as_json")
+
+
+@query("best_candidate")
+def q_best_candidate(spark, sf_dir):
+    return _leaderboard(spark, sf_dir)[0].where(F.col("rank") == 1)
+
+
+@query("score_reviews")
+def q_score_reviews(spark, sf_dir):
+    """Validation reviews plus the sample reviews, scored by the n-gram model."""
+    _, validation = _train_validation(spark, sf_dir)
+    model = ngram_model(spark, sf_dir)
+    samples = spark.createDataFrame(
+        [(-(i + 1), t) for i, t in enumerate(text_ops.SAMPLE_SCORING_REVIEWS)],
+        "id bigint, review_body string")
+    to_score = validation.select("id", "review_body").unionByName(samples)
+    return cand.score_reviews(model, to_score)
+
+
+@query("stream_score_reviews")
+def q_stream_score_reviews(spark, sf_dir):
+    """Every document scored through a file stream (availableNow) into a
+    parquet sink in the shared folder; returns the sink's rows."""
+    import os
+
+    from revlens.session import scratch_path
+    from revlens.streaming.scoring import review_stream, start_scoring
+    model = ngram_model(spark, sf_dir)
+    schema = spark.read.parquet(os.path.join(sf_dir, "documents.parquet")).schema
+    # A file stream watches a folder or glob; this glob matches one table.
+    stream = (review_stream(spark, os.path.join(sf_dir, "documents*.parquet"), schema)
+              .withColumnRenamed("doc_id", "id"))
+    sink, ckpt = scratch_path(spark, "scored-sink"), scratch_path(spark, "scored-ckpt")
+    q = start_scoring(model, stream, sink, ckpt, text_col="text")
+    q.awaitTermination()
+    return spark.read.parquet(sink)
