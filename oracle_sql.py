@@ -273,7 +273,7 @@ b AS (SELECT CAST(least(floor(x * 100 / 256), 99) AS INTEGER) AS bin, count(*) A
 g AS (SELECT CAST(range AS INTEGER) AS bin FROM range(100))
 SELECT g.bin, round(CAST(g.bin AS DOUBLE) * 256 / 100, 6) AS bin_start,
        round(CAST(g.bin + 1 AS DOUBLE) * 256 / 100, 6) AS bin_end,
-       CAST(coalesce(b.c, 0) AS BIGINT) AS count
+       CAST(coalesce(b.c, 0) AS BIGINT) AS frequency
 FROM g LEFT JOIN b ON g.bin = b.bin ORDER BY g.bin""")
 
 # --------------------------------------------------------------------- bias

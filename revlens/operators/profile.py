@@ -127,7 +127,7 @@ def histogram(df: DataFrame, col: str = "num_words", bins: int = HIST_BINS,
     width = F.lit(float(high - low))
     idx = F.least(F.floor((x - F.lit(low)) * F.lit(bins) / width), F.lit(bins - 1)).cast("int")
     counts = (df.where(x.between(low, high)).groupBy(idx.alias("bin"))
-              .agg(F.count(F.lit(1)).alias("count")))
+              .agg(F.count(F.lit(1)).alias("frequency")))
     grid = spark.range(bins).select(
         F.col("id").cast("int").alias("bin"),
         (F.lit(float(low)) + F.col("id") * width / F.lit(bins)).alias("bin_start"),
@@ -135,7 +135,7 @@ def histogram(df: DataFrame, col: str = "num_words", bins: int = HIST_BINS,
     # ``grid`` has exactly ``bins`` rows and ``counts`` at most as many.
     return (grid.join(F.broadcast(counts), "bin", "left")
             .select("bin", "bin_start", "bin_end",
-                    F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"))
+                    F.coalesce(F.col("frequency"), F.lit(0)).cast("bigint").alias("frequency"))
             .orderBy("bin"))
 
 

@@ -1,0 +1,75 @@
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from revlens.operators import profile
+
+
+@pytest.fixture
+def small(spark):
+    rows = [("a", 1)] * 3 + [("a", -1)] * 1 + [("b", 0)] * 2 + [("b", None)] + [("c", 1)]
+    return spark.createDataFrame(rows, "product_category string, sentiment int")
+
+
+def test_counts_and_null_group(small):
+    by_s = {r.sentiment: r.count_sentiment for r in profile.count_by_sentiment(small).collect()}
+    assert by_s == {-1: 1, 0: 2, 1: 4, None: 0}
+    rows = profile.count_by_sentiment(small).collect()
+    assert rows[-1].sentiment is None  # nulls last
+
+
+def test_pct_rows_sum_to_100_and_missing_cell_is_zero(small):
+    rows = {r.product_category: r for r in profile.sentiment_pct_by_category(small).collect()}
+    for r in rows.values():
+        assert abs(r.pct_positive + r.pct_neutral + r.pct_negative - 100.0) < 1e-9
+    assert rows["a"].pct_neutral == 0.0 and rows["a"].pct_positive == 75.0
+    assert rows["c"].pct_positive == 100.0
+
+
+def test_sentiment_totals_grand_total_apart_from_null(small):
+    out = profile.sentiment_totals(profile.count_by_category_sentiment(small)).collect()
+    total = [r for r in out if r.is_total]
+    assert len(total) == 1 and total[0].count_reviews == 8
+    null_group = [r for r in out if not r.is_total and r.sentiment is None]
+    assert null_group[0].count_reviews == 1
+
+
+def test_histogram_edges(spark):
+    vals = [0, 1, 2, 3, 64, 255, 256, 257, 1000]
+    df = spark.createDataFrame([(v,) for v in vals], "num_words bigint")
+    h = {r.bin: r.frequency for r in profile.histogram(df).collect()}
+    assert len(h) == 100 and sum(h.values()) == 7
+    import numpy as np
+    expected, _ = np.histogram(vals, bins=100, range=[0, 256])
+    assert [h[i] for i in range(100)] == list(expected)
+
+
+def test_describe_matches_pandas(spark):
+    vals = [1, 5, 7, 7, 10, 33, 100, 2, 9, 11, 56]
+    df = spark.createDataFrame([(v,) for v in vals], "num_words bigint")
+    got = profile.describe(df).first().asDict()
+    ref = pd.Series(vals).describe(percentiles=[.1, .2, .3, .4, .5, .6, .7, .8, .9, 1.0])
+    assert got["count"] == ref["count"]
+    assert got["mean"] == pytest.approx(ref["mean"])
+    assert got["std"] == pytest.approx(ref["std"])
+    for p in range(10, 101, 10):
+        assert got[f"p{p}"] == pytest.approx(ref[f"{p}%"])
+    assert got["min"] == ref["min"] and got["max"] == ref["max"]
+
+
+def test_word_count_stats_at_sf001(spark):
+    from revlens.sources.tables import reviews
+    d = profile.word_count_describe(reviews(spark, "/root/testdata/sf0.01")).first()
+    assert d["count"] == 1000 and d["mean"] == pytest.approx(381.827)
+    assert d["std"] == pytest.approx(474.754512, abs=1e-6)
+    assert d["p10"] == pytest.approx(74) and d["p90"] == pytest.approx(830.5) and d["max"] == 5184
+
+
+def test_split_sizes_share(spark):
+    df = spark.createDataFrame([("train",)] * 9 + [("validation",)], "split string")
+    out = {r.split: (r.n_rows, r.pct) for r in profile.split_sizes(df).collect()}
+    assert out == {"train": (9, 90.0), "validation": (1, 10.0)}
+
+
+def test_max_category_count(small):
+    assert profile.max_category_count(small).first()[0] == 4
