@@ -130,7 +130,7 @@ def tok_sql(x: str) -> str:
 
 
 def tokens_sql(t: str) -> str:
-    return f"(CASE WHEN {t} = '' THEN CAST([] AS VARCHAR[]) ELSE string_split({t}, ' ') END)"
+    return f"list_filter(string_split({t}, ' '), lambda x: x <> '')"
 
 
 SAMPLES_VALUES = """(VALUES (-1, 'I''m not a fan of this product!'), (-2, 'I don''t like this product!'),

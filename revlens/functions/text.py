@@ -57,9 +57,20 @@ def tokenize_text(body: Column | str, normalize: bool = True) -> Column:
 
 
 def tokens_of(tokenized: Column | str) -> Column:
-    """Array of tokens of a tokenised string; empty text -> empty array."""
-    t = as_col(tokenized)
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " "))
+    """Array of tokens of a tokenised string; empty text -> empty array.
+
+    The input is referenced once, so the (costly) tokeniser chain behind it
+    is evaluated once per row.
+    """
+    return F.array_remove(F.split(as_col(tokenized), " "), "")
+
+
+def explode_tokens(tokens: Column | str) -> Column:
+    """``explode_outer``: unlike ``explode`` it lets Catalyst infer no
+    ``size(tokens) > 0`` filter, which would be pushed below joins with the
+    whole tokeniser inlined (evaluated on every scanned row, twice).
+    Callers drop the null row of an empty array where they need to."""
+    return F.explode_outer(as_col(tokens))
 
 
 def word_ngrams(tokens: Column | str, n: int) -> Column:

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from revlens.functions.text import (
-    add_label_prefix, normalize_for_training, strip_label_prefix, tokenize_text,
-    tokens_of, word_ngrams,
+    add_label_prefix, explode_tokens, normalize_for_training, strip_label_prefix,
+    tokenize_text, tokens_of, word_ngrams,
 )
 
 # The sample sentences used to illustrate tokenisation and
@@ -60,7 +60,8 @@ def with_tokens(df: DataFrame, text_col: str = "review_body", tokens_col: str =
 
 def token_counts(df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
     """Corpus frequency of every token."""
-    return (df.select(F.explode(tokens_col).alias("token"))
+    return (df.select(explode_tokens(tokens_col).alias("token"))
+            .where(F.col("token").isNotNull())
             .groupBy("token").agg(F.count(F.lit(1)).alias("token_count")))
 
 
@@ -70,12 +71,18 @@ def vocabulary_min_count(df: DataFrame, tokens_col: str = "tokens", min_count: i
     return token_counts(df, tokens_col).where(F.col("token_count") >= min_count)
 
 
+def _tagged_ngrams(tokens_col: str, n: int):
+    return F.transform(word_ngrams(tokens_col, n),
+                       lambda g: F.struct(F.lit(n).alias("n"), g.alias("ngram")))
+
+
 def ngram_counts(df: DataFrame, tokens_col: str = "tokens", max_n: int = 3,
                  min_count: int = 2) -> DataFrame:
     """Corpus frequency of word n-grams, n = 1..max_n, kept if >= min_count."""
-    grams = F.array(*[F.struct(F.lit(n).alias("n"), word_ngrams(tokens_col, n).alias("g"))
-                      for n in range(1, max_n + 1)])
-    per_n = df.select(F.explode(grams).alias("x")).select("x.n", F.explode("x.g").alias("ngram"))
+    grams = F.concat(*[_tagged_ngrams(tokens_col, n) for n in range(1, max_n + 1)])
+    per_n = (df.select(explode_tokens(grams).alias("x"))
+             .where(F.col("x").isNotNull())
+             .select("x.n", "x.ngram"))
     return (per_n.groupBy("n", "ngram").agg(F.count(F.lit(1)).alias("ngram_count"))
             .where(F.col("ngram_count") >= min_count))
 
