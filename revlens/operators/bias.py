@@ -12,10 +12,12 @@ distributions (formulas after Das et al. 2021):
   TVD = sum_y |P_a - P_d| / 2
   KS  = max_y |P_a - P_d|
 
-Plan: one action gets the per-label totals (a handful of numbers, the label
-alphabet is checked to be small), then one partial aggregation pivots the
-counts per facet value over the observed labels.  Metrics are column
-expressions on that per-facet row; nothing is cross-joined or collected.
+Plan: one pass over the data -- a partial aggregation to (facet, label)
+counts, checkpointed (facets x labels small rows).  The per-label totals
+(a handful of numbers; the label alphabet is checked to be small) are read
+from it, and the counts are pivoted per facet value over the observed
+labels.  Metrics are column expressions on that per-facet row; nothing is
+cross-joined and no data row reaches the driver.
 """
 
 from __future__ import annotations
@@ -45,8 +47,12 @@ def bias_report(df: DataFrame, label: str = "sentiment", facet: str = "product_c
     unknown = [m for m in methods if m not in ALL_METHODS]
     if unknown:
         raise ValueError(f"unknown bias methods: {unknown}")
-    data = df.where(F.col(label).isNotNull() & F.col(facet).isNotNull()).select(facet, label)
-    totals_rows = (data.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    from revlens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    cell_counts = (df.where(F.col(label).isNotNull() & F.col(facet).isNotNull())
+                   .groupBy(facet, label).agg(F.count(F.lit(1)).alias("n"))
+                   .checkpoint(eager=True))
+    totals_rows = (cell_counts.groupBy(label).agg(F.sum("n").alias("n"))
                    .limit(max_labels + 1).collect())
     if len(totals_rows) > max_labels:
         raise ValueError(f"label {label} has more than {max_labels} values")
@@ -58,7 +64,7 @@ def bias_report(df: DataFrame, label: str = "sentiment", facet: str = "product_c
         schema = "facet_value string, " + ", ".join(f"{m} double" for m in out_cols[1:])
         return spark.createDataFrame([], schema)
 
-    pivoted = data.groupBy(facet).pivot(label, labels).agg(F.count(F.lit(1)))
+    pivoted = cell_counts.groupBy(facet).pivot(label, labels).agg(F.sum("n"))
     names = [f"_d{i}" for i in range(len(labels))]
     cells = pivoted.select(F.col(facet).cast("string").alias("facet_value"),
                            *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("double").alias(n)

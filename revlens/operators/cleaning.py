@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from revlens.functions.sentiment import rating_to_sentiment
 from revlens.operators.joins import DEFAULT_BROADCAST_ROWS, fits
+from revlens.session import ensure_checkpoint_dir
 
 # Raw header names and their new names.
 RAW_RENAMES = {"Review Text": "review_body", "Rating": "star_rating",
@@ -56,12 +57,15 @@ def rare_category_filter(df: DataFrame, category_col: str = "product_category",
     rows; null categories are dropped.
 
     Only (category, count) pairs are shuffled (partial aggregation), never
-    the review bodies: the kept categories are semi-joined back, broadcast
-    when their number is proved small, otherwise by a shuffle join.
+    the review bodies.  The kept categories are checkpointed (one pass over
+    the data), then semi-joined back: broadcast when their number is proved
+    small, otherwise by a shuffle join.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     kept = (category_sizes(df.where(F.col(category_col).isNotNull()), category_col)
             .where(F.col("category_rows") > min_rows_exclusive)
-            .select(category_col))
+            .select(category_col)
+            .checkpoint(eager=True))
     if fits(kept, max_broadcast_rows):
         kept = F.broadcast(kept)
     return df.join(kept, category_col, "left_semi")
@@ -112,9 +116,11 @@ def stage_shapes(raw: DataFrame, category_col: str = "product_category",
     for c in needed:
         complete = complete & F.col(c).isNotNull()
     flagged = raw.select(rare_col, complete.alias("_complete"))
+    ensure_checkpoint_dir(raw.sparkSession)
     kept = (category_sizes(flagged.where("_complete").where(F.col(rare_col).isNotNull()), rare_col)
             .where(F.col("category_rows") > min_rows_exclusive)
-            .select(rare_col, F.lit(True).alias("_kept")))
+            .select(rare_col, F.lit(True).alias("_kept"))
+            .checkpoint(eager=True))
     if fits(kept):
         kept = F.broadcast(kept)
     counts = (flagged.join(kept, rare_col, "left")

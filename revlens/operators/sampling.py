@@ -57,21 +57,26 @@ def group_sizes(k: Keyed) -> DataFrame:
     return k.hist.groupBy(*k.groups).agg(F.sum("_n").cast("bigint").alias("group_rows"))
 
 
-def flag_first_rows(k: Keyed, quotas: DataFrame, flag: str = "_selected",
+def flag_first_rows(k: Keyed, quota, flag: str = "_selected",
                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Add boolean ``flag``: row is among the first ``quota`` rows of its group.
 
-    ``quotas`` holds the group columns and ``quota`` (groups without a row
-    get none selected).
+    ``quota`` is a Column over the group columns (a literal, or a CASE over
+    a few labels) or a DataFrame of group columns + ``quota``; groups
+    without a quota get none selected.
     """
     g = k.groups
     running = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*g)
-    cum = (k.hist.join(quotas.select(*g, "quota"), g, "inner")
-           .withColumn("_cum", F.sum("_n").over(running))
+    if isinstance(quota, DataFrame):
+        hist = k.hist.join(quota.select(*g, "quota"), g, "inner")
+    else:
+        hist = k.hist.withColumn("quota", quota.cast("bigint"))
+    cum = (hist.withColumn("_cum", F.sum("_n").over(running))
            .withColumn("_total", F.sum("_n").over(whole))
            .withColumn("_q", F.least(F.col("quota"), F.col("_total")))
            .withColumn("_before", F.col("_cum") - F.col("_n")))
+    # One row per group with a positive quota; reused three times below.
     thresholds = (cum.where((F.col("_before") < F.col("_q")) & (F.col("_q") <= F.col("_cum")))
                   .select(*g, F.col("_b").alias("_b_star"),
                           (F.col("_q") - F.col("_before")).alias("_r"),
@@ -120,8 +125,8 @@ def balance_by_downsampling(df: DataFrame, groups=("product_category", "sentimen
     smallest = sizes.agg(F.min("group_rows")).first()[0]
     if smallest is None:  # empty input
         return k.data.drop(*_HELPERS)
-    quotas = sizes.select(*groups, F.lit(int(smallest)).cast("bigint").alias("quota"))
-    return (flag_first_rows(k, quotas).where(F.col("_selected")).drop("_selected"))
+    return (flag_first_rows(k, F.lit(int(smallest))).where(F.col("_selected"))
+            .drop("_selected"))
 
 
 def allocate_train_quotas(class_counts: list[tuple], test_size: float = 0.1) -> dict:
@@ -150,7 +155,7 @@ def allocate_train_quotas(class_counts: list[tuple], test_size: float = 0.1) ->
 
 def stratified_split(df: DataFrame, label: str = "sentiment", test_size: float = 0.1,
                      id_col: str = "id", seed: int = DEFAULT_SEED, split_col: str = "split",
-                     min_class_rows: int = 2, max_classes: int = 100_000) -> DataFrame:
+                     min_class_rows: int = 2, max_classes: int = 1000) -> DataFrame:
     """Exact stratified train/validation split; adds ``split_col`` with
     values ``train`` / ``validation``.  Null labels are dropped."""
     k = hash_histogram(_not_null(df, [label]), [label], id_col, seed)
@@ -164,11 +169,12 @@ def stratified_split(df: DataFrame, label: str = "sentiment", test_size: float =
     if not counts:
         return k.data.drop(*_HELPERS).withColumn(split_col, F.lit(None).cast("string"))
     alloc = allocate_train_quotas(counts, test_size)
-    spark = df.sparkSession
-    label_type = dict(df.dtypes)[label]
-    quotas = spark.createDataFrame([(c, v) for c, (_, v) in alloc.items()],
-                                   f"{label} {label_type}, quota bigint")
-    flagged = flag_first_rows(k, quotas, "_validation")
+    # Validation quota per class as a CASE over the (few, checked) labels.
+    quota = None
+    for c, (_, v) in alloc.items():
+        quota = (F.when(F.col(label) == F.lit(c), F.lit(v)) if quota is None
+                 else quota.when(F.col(label) == F.lit(c), F.lit(v)))
+    flagged = flag_first_rows(k, quota, "_validation")
     return (flagged.withColumn(split_col, F.when(F.col("_validation"), F.lit("validation"))
                                .otherwise(F.lit("train")))
             .drop("_validation"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from revlens.operators.partitioning import spread_for_cpu
 from revlens.functions.text import (
     add_label_prefix, explode_tokens, normalize_for_training, strip_label_prefix,
     tokenize_text, tokens_of, word_ngrams,
@@ -31,19 +32,19 @@ SAMPLE_SCORING_REVIEWS = [
 
 
 def normalize_reviews(df: DataFrame, text_col: str = "review_body") -> DataFrame:
-    return df.withColumn(text_col, normalize_for_training(text_col))
+    return spread_for_cpu(df).withColumn(text_col, normalize_for_training(text_col))
 
 
 def tokenize_reviews(df: DataFrame, text_col: str = "review_body",
                      out_col: str = "tokens_text") -> DataFrame:
     """Adds the tokenised text (space-joined) as ``out_col``."""
-    return df.withColumn(out_col, tokenize_text(text_col))
+    return spread_for_cpu(df).withColumn(out_col, tokenize_text(text_col))
 
 
 def prepare_training_rows(df: DataFrame, label_col: str = "sentiment",
                           text_col: str = "review_body") -> DataFrame:
     """``__label__<y>`` label and tokenised, lower-cased body, as one select."""
-    return df.withColumns({label_col: add_label_prefix(label_col),
+    return spread_for_cpu(df).withColumns({label_col: add_label_prefix(label_col),
                            text_col: tokenize_text(text_col)})
 
 
@@ -55,7 +56,7 @@ def label_prefix_table(df: DataFrame, label_col: str = "label") -> DataFrame:
 
 def with_tokens(df: DataFrame, text_col: str = "review_body", tokens_col: str = "tokens") -> DataFrame:
     """Array of tokens of the (normalised) review text."""
-    return df.withColumn(tokens_col, tokens_of(tokenize_text(text_col)))
+    return spread_for_cpu(df).withColumn(tokens_col, tokens_of(tokenize_text(text_col)))
 
 
 def token_counts(df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
