@@ -279,6 +279,15 @@ FROM g LEFT JOIN b ON g.bin = b.bin ORDER BY g.bin""")
 # --------------------------------------------------------------------- bias
 ORACLE_SQL["bias_report"] = with_reviews(bias_sql("clean"))
 ORACLE_SQL["bias_report_orders"] = with_orders(bias_sql("oclean"))
+ORACLE_SQL["bias_from_config"] = with_reviews(
+    bias_sql("clean").replace("SELECT CAST(f AS VARCHAR) AS facet_value,",
+                              "SELECT 'product_category' AS facet, CAST(f AS VARCHAR) AS facet_value, "
+                              "'report' AS report,"))
+ORACLE_SQL["bias_from_config_balanced"] = with_reviews(
+    BALANCE_CTE.format(src="clean")
+    + bias_sql("balanced").replace("SELECT CAST(f AS VARCHAR) AS facet_value,",
+                                   "SELECT 'product_category' AS facet, CAST(f AS VARCHAR) AS facet_value, "
+                                   "'report' AS report,"))
 ORACLE_SQL["bias_report_fine_category"] = with_reviews(bias_sql("labelled", "fine_category"))
 
 # ----------------------------------------------------------------- sampling

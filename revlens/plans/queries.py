@@ -183,6 +183,26 @@ def q_bias_report_orders(spark, sf_dir):
     return round_doubles(bias.bias_report(clean_order_reviews(spark, sf_dir)))
 
 
+def bias_from_config_file(spark, df, pretty=True):
+    from revlens.session import scratch_path
+    from revlens.sources.config import read_bias_config, write_bias_config
+    path = write_bias_config(spark, scratch_path(spark, "bias-config"), pretty=pretty)
+    return round_doubles(bias.bias_report_from_config(df, read_bias_config(spark, path)))
+
+
+@query("bias_from_config")
+def q_bias_from_config(spark, sf_dir):
+    """Pretty-printed configuration, unbalanced data."""
+    return bias_from_config_file(spark, clean_fixture_reviews(spark, sf_dir), pretty=True)
+
+
+@query("bias_from_config_balanced")
+def q_bias_from_config_balanced(spark, sf_dir):
+    """Single-line configuration, balanced data."""
+    return bias_from_config_file(
+        spark, sampling.balance_by_downsampling(clean_fixture_reviews(spark, sf_dir)), pretty=False)
+
+
 @query("bias_report_fine_category")
 def q_bias_report_fine_category(spark, sf_dir):
     return round_doubles(bias.bias_report(labelled_reviews(spark, sf_dir), facet="fine_category"))

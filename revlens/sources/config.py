@@ -25,6 +25,31 @@ BIAS_CONFIG_SCHEMA = StructType([
 ])
 
 
+# The pre-training bias analysis configuration of the review
+# data (same for the unbalanced and the balanced data set).
+DEFAULT_BIAS_CONFIG = {
+    "dataset_type": "text/csv",
+    "headers": ["sentiment", "review_body", "product_category"],
+    "label": "sentiment",
+    "label_values_or_threshold": [1],
+    "facet": [{"name_or_index": "product_category"}],
+    "methods": {
+        "pre_training_bias": {"methods": ["CI", "DPL", "KL", "JS", "LP", "TVD", "KS"]},
+        "report": {"name": "report", "title": "Analysis Report"},
+    },
+}
+
+
+def write_bias_config(spark: SparkSession, path: str, config: dict | None = None,
+                      pretty: bool = True) -> str:
+    """Write a configuration object as a single JSON file (via Spark, so the
+    path may be any Hadoop file system URI)."""
+    import json
+    text = json.dumps(config or DEFAULT_BIAS_CONFIG, indent=4 if pretty else None)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
 @dataclass
 class BiasConfig:
     label: str

@@ -73,3 +73,12 @@ def test_split_sizes_share(spark):
 
 def test_max_category_count(small):
     assert profile.max_category_count(small).first()[0] == 4
+
+
+def test_display_rounding_is_half_even(spark):
+    # 0.125 -> 0.12 (half-even, like Python's round), 0.375 -> 0.38
+    rows = [("a", 0.125), ("b", 0.375)]
+    df = spark.createDataFrame(rows, "product_category string, sentiment double")
+    out = {r.product_category: r.avg_sentiment_display
+           for r in profile.avg_sentiment_by_category(df, display=True).collect()}
+    assert out == {"a": round(0.125, 2), "b": round(0.375, 2)} == {"a": 0.12, "b": 0.38}
