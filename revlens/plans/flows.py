@@ -28,7 +28,7 @@ def register_reviews_table(spark: SparkSession, clean: DataFrame, key: str,
         return _REGISTERED[cache_key]
     path = scratch_path(spark, "reviews-table")
     write_clean_csv(clean.select("sentiment", "review_body", "product_category"), path)
-    catalog.create_database(spark, database)
+    catalog.create_database(spark, database, scratch_path(spark, f"{database}-db"))
     full = catalog.register_csv_table(spark, database, table, path)
     _REGISTERED[cache_key] = full
     return full

@@ -14,8 +14,14 @@ from revlens.sources.csv_io import CSV_READ_OPTIONS
 REVIEW_TABLE_COLUMNS = {"sentiment": "int", "review_body": "string", "product_category": "string"}
 
 
-def create_database(spark: SparkSession, name: str) -> None:
-    spark.sql("CREATE DATABASE IF NOT EXISTS IDENTIFIER(:db)", args={"db": name})
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Idempotent; ``location`` pins the database folder (otherwise the
+    session's warehouse folder is used)."""
+    if location:
+        spark.sql("CREATE DATABASE IF NOT EXISTS IDENTIFIER(:db) LOCATION :loc",
+                  args={"db": name, "loc": location})
+    else:
+        spark.sql("CREATE DATABASE IF NOT EXISTS IDENTIFIER(:db)", args={"db": name})
 
 
 def list_databases(spark: SparkSession) -> DataFrame:
