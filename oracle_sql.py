@@ -187,6 +187,9 @@ SELECT id, star_rating,
             WHEN star_rating IN (4, 5) THEN 1 END AS sentiment
 FROM reviews""")
 
+ORACLE_SQL["clean_raw_csv"] = with_reviews(
+    "SELECT sentiment, review_body, product_category FROM clean")
+
 ORACLE_SQL["clean_reviews"] = with_reviews("SELECT id, sentiment, review_body, product_category FROM clean")
 
 ORACLE_SQL["rare_category_filter"] = with_reviews("""

@@ -14,14 +14,14 @@ from revlens.functions._cols import as_col
 LABEL_PREFIX = "__label__"
 
 # Treebank-style splitting rules, applied in this order.
-# (pattern, replacement) with Java-style group references.
+# (pattern, replacement) with Java-style group references; ``None`` pads the
+# end of the text with one space (so a final contraction is followed by
+# whitespace).  The first rule pads "...", "--" and single punctuation.
 TOKEN_RULES = [
-    (r"\.\.\.", " ... "),
-    (r"--", " -- "),
-    (r"([;@#$%&?!()\[\]{}<>])", " $1 "),
+    (r"(\.\.\.|--|[;@#$%&?!()\[\]{}<>])", " $1 "),
     (r":([^0-9]|$)", " : $1"),
     (r"([^.\s])\.(\s|$)", "$1 . $2"),
-    (r"$", " "),
+    None,
     (r"([^'\s])('s|'m|'d|'ll|'re|'ve|n't|')\s", "$1 $2 "),
     (r"\b(can)(not)\b", "$1 $2"),
     (r"\s+", " "),
@@ -51,8 +51,11 @@ def tokenize_text(body: Column | str, normalize: bool = True) -> Column:
     """Tokenised text as one space-joined string (punctuation and English
     contractions split off)."""
     s = normalize_for_training(body) if normalize else as_col(body)
-    for pattern, replacement in TOKEN_RULES:
-        s = F.regexp_replace(s, pattern, replacement)
+    for rule in TOKEN_RULES:
+        if rule is None:
+            s = F.concat(s, F.lit(" "))
+        else:
+            s = F.regexp_replace(s, rule[0], rule[1])
     return F.trim(s)
 
 

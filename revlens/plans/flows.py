@@ -32,3 +32,24 @@ def register_reviews_table(spark: SparkSession, clean: DataFrame, key: str,
     full = catalog.register_csv_table(spark, database, table, path)
     _REGISTERED[cache_key] = full
     return full
+
+
+def write_raw_reviews_csv(spark: SparkSession, df: DataFrame, path: str) -> str:
+    """Write review rows in the raw file layout: a leading unnamed index
+    column, then the ten named raw columns (unused ones left empty)."""
+    from pyspark.sql import functions as F
+    raw = df.select(
+        F.col("id").cast("string").alias("_index"),
+        F.col("id").cast("string").alias("Clothing ID"),
+        F.lit(None).cast("string").alias("Age"),
+        F.lit(None).cast("string").alias("Title"),
+        F.col("review_body").alias("Review Text"),
+        F.col("star_rating").cast("string").alias("Rating"),
+        F.lit(None).cast("string").alias("Recommended IND"),
+        F.lit(None).cast("string").alias("Positive Feedback Count"),
+        F.lit(None).cast("string").alias("Division Name"),
+        F.lit(None).cast("string").alias("Department Name"),
+        F.col("product_category").alias("Class Name"))
+    # The index column has an empty header, as in a file written with an index.
+    write_clean_csv(raw.withColumnRenamed("_index", " "), path)
+    return path

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from revlens.operators import profile
+from revlens.plans import flows
 from revlens.plans.datasets import clean_fixture_reviews, clean_order_reviews
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +75,16 @@ def q_rating_to_sentiment(spark, sf_dir):
                                          rating_to_sentiment("star_rating").alias("sentiment"))
 
 
+@query("clean_raw_csv")
+def q_clean_raw_csv(spark, sf_dir):
+    """Raw-layout CSV of every review (written to the shared folder), read
+    back with the raw reader and cleaned by the raw -> clean chain."""
+    from revlens.session import scratch_path
+    from revlens.sources.csv_io import read_raw_reviews
+    path = flows.write_raw_reviews_csv(spark, reviews(spark, sf_dir), scratch_path(spark, "raw-csv"))
+    return cleaning.clean_raw_reviews(read_raw_reviews(spark, path))
+
+
 @query("clean_reviews")
 def q_clean_reviews(spark, sf_dir):
     return clean_fixture_reviews(spark, sf_dir)
