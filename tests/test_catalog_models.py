@@ -83,3 +83,11 @@ def test_stream_scoring_available_now(spark, split, tmp_dir):
     assert out.count() == validation.count()
     batch = {r.id: r.prediction for r in cand.score_reviews(model, validation).collect()}
     assert {r.id: r.prediction for r in out.collect()} == batch
+
+
+def test_tune_ngram_lr_grid(spark, split):
+    from revlens.models import candidates as cand
+    train, _ = split
+    model = cand.tune_ngram_lr(train, reg_params=(0.0, 0.1), num_features=1 << 10)
+    assert len(model.validationMetrics) == 2
+    assert all(0.0 <= m <= 1.0 for m in model.validationMetrics)

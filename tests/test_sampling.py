@@ -111,3 +111,16 @@ def test_boundary_only_shuffles_one_bucket(spark):
     assert k.hist.count() == 256
     biggest = k.hist.agg(F.max("_n")).first()[0]
     assert biggest < 200  # a boundary bucket holds ~1/256 of the group
+
+
+def test_balance_plan_moves_no_data_rows(spark):
+    """The final plan decides each row by broadcast joins against small
+    checkpointed tables: no window and no hash exchange over the data."""
+    from revlens.plans.datasets import clean_order_reviews
+    out = sampling.balance_by_downsampling(clean_order_reviews(spark, "/root/testdata/sf0.001"))
+    out.write.format("noop").mode("overwrite").save()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    assert "Exchange hashpartitioning" not in plan
+    assert "SortMergeJoin" not in plan
+    assert plan.count("BroadcastHashJoin") >= 3
