@@ -13,10 +13,10 @@ distributions (formulas after Das et al. 2021):
   KS  = max_y |P_a - P_d|
 
 Plan: one pass over the data -- a partial aggregation to (facet, label)
-counts, checkpointed (facets x labels small rows).  The per-label totals
-(a handful of numbers; the label alphabet is checked to be small) are read
-from it, and the counts are pivoted per facet value over the observed
-labels.  Metrics are column expressions on that per-facet row; nothing is
+counts, materialised once (a local relation when proved small, else a
+checkpoint).  The per-label totals (a handful of numbers; the label
+alphabet is checked to be small) are read from it, and the counts are
+pivoted per facet value over the observed labels.  Metrics are column expressions on that per-facet row; nothing is
 cross-joined and no data row reaches the driver.
 """
 
@@ -41,19 +41,26 @@ def _max(cols: list[Column]) -> Column:
 
 
 def bias_report(df: DataFrame, label: str = "sentiment", facet: str = "product_category",
-                positive_values=(1,), methods=None, max_labels: int = MAX_LABELS) -> DataFrame:
+                positive_values=(1,), methods=None, max_labels: int = MAX_LABELS,
+                max_local_rows: int | None = None) -> DataFrame:
     """One row per facet value: ``facet_value`` and one column per method."""
     methods = [m.upper() for m in (methods or ALL_METHODS)]
     unknown = [m for m in methods if m not in ALL_METHODS]
     if unknown:
         raise ValueError(f"unknown bias methods: {unknown}")
-    from revlens.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    cell_counts = (df.where(F.col(label).isNotNull() & F.col(facet).isNotNull())
-                   .groupBy(facet, label).agg(F.count(F.lit(1)).alias("n"))
-                   .checkpoint(eager=True))
-    totals_rows = (cell_counts.groupBy(label).agg(F.sum("n").alias("n"))
-                   .limit(max_labels + 1).collect())
+    from revlens.operators.joins import LOCAL_COPY_ROWS, small_local_copy
+    cell_counts, cell_rows = small_local_copy(
+        df.where(F.col(label).isNotNull() & F.col(facet).isNotNull())
+        .groupBy(facet, label).agg(F.count(F.lit(1)).alias("n")),
+        LOCAL_COPY_ROWS if max_local_rows is None else max_local_rows)
+    if cell_rows is not None:
+        sums: dict = {}
+        for r in cell_rows:
+            sums[r[label]] = sums.get(r[label], 0) + int(r["n"])
+        totals_rows = [{label: k, "n": v} for k, v in sums.items()]
+    else:
+        totals_rows = (cell_counts.groupBy(label).agg(F.sum("n").alias("n"))
+                       .limit(max_labels + 1).collect())
     if len(totals_rows) > max_labels:
         raise ValueError(f"label {label} has more than {max_labels} values")
     totals = sorted((r[label], int(r["n"])) for r in totals_rows)

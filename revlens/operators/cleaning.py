@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from revlens.functions.sentiment import rating_to_sentiment
-from revlens.operators.joins import DEFAULT_BROADCAST_ROWS, fits
-from revlens.session import ensure_checkpoint_dir
+from revlens.operators.joins import LOCAL_COPY_ROWS, small_local_copy
 
 # Raw header names and their new names.
 RAW_RENAMES = {"Review Text": "review_body", "Rating": "star_rating",
@@ -52,21 +51,20 @@ def category_sizes(df: DataFrame, category_col: str = "product_category") -> Dat
 
 def rare_category_filter(df: DataFrame, category_col: str = "product_category",
                          min_rows_exclusive: int = 10,
-                         max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                         max_broadcast_rows: int = LOCAL_COPY_ROWS) -> DataFrame:
     """Keep rows whose category has strictly more than ``min_rows_exclusive``
     rows; null categories are dropped.
 
     Only (category, count) pairs are shuffled (partial aggregation), never
-    the review bodies.  The kept categories are checkpointed (one pass over
-    the data), then semi-joined back: broadcast when their number is proved
-    small, otherwise by a shuffle join.
+    the review bodies.  The kept categories are materialised once (one pass
+    over the data) and semi-joined back: broadcast when their number is
+    proved small, otherwise checkpointed and joined by shuffle.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     kept = (category_sizes(df.where(F.col(category_col).isNotNull()), category_col)
             .where(F.col("category_rows") > min_rows_exclusive)
-            .select(category_col)
-            .checkpoint(eager=True))
-    if fits(kept, max_broadcast_rows):
+            .select(category_col))
+    kept, small = small_local_copy(kept, max_broadcast_rows)
+    if small is not None:
         kept = F.broadcast(kept)
     return df.join(kept, category_col, "left_semi")
 
@@ -116,12 +114,11 @@ def stage_shapes(raw: DataFrame, category_col: str = "product_category",
     for c in needed:
         complete = complete & F.col(c).isNotNull()
     flagged = raw.select(rare_col, complete.alias("_complete"))
-    ensure_checkpoint_dir(raw.sparkSession)
     kept = (category_sizes(flagged.where("_complete").where(F.col(rare_col).isNotNull()), rare_col)
             .where(F.col("category_rows") > min_rows_exclusive)
-            .select(rare_col, F.lit(True).alias("_kept"))
-            .checkpoint(eager=True))
-    if fits(kept):
+            .select(rare_col, F.lit(True).alias("_kept")))
+    kept, small = small_local_copy(kept)
+    if small is not None:
         kept = F.broadcast(kept)
     counts = (flagged.join(kept, rare_col, "left")
               .agg(F.count(F.lit(1)).alias("raw_rows"),

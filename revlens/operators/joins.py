@@ -48,3 +48,23 @@ def lookup_join(big: DataFrame, lookup: DataFrame, key: str, spread_col: str,
     if fits(lookup, max_rows):
         return big.join(F.broadcast(lookup), key, how)
     return salted_lookup_join(big, lookup, key, spread_col, how, salts)
+
+
+LOCAL_COPY_ROWS = 100_000
+
+
+def small_local_copy(df: DataFrame, max_rows: int = LOCAL_COPY_ROWS):
+    """Materialise a small aggregate once.
+
+    One job reads at most ``max_rows + 1`` rows.  If that proves the table
+    small, it comes back as a local relation -- no lineage, safe to
+    broadcast, nothing recomputed -- and ``(df_local, rows)`` is returned.
+    Otherwise the table is written to the shared checkpoint folder and
+    ``(df_checkpointed, None)`` is returned: callers then join by shuffle.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        return df.sparkSession.createDataFrame(rows, df.schema), rows
+    from revlens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True), None

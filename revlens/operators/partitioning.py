@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+FEW_FILES = 64
+
 
 def spread_for_cpu(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
     target = min_tasks or df.sparkSession.sparkContext.defaultParallelism
@@ -19,6 +21,6 @@ def spread_for_cpu(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
         n_files = len(df.inputFiles())
     except Exception:  # noqa: BLE001 - e.g. local relations have no files
         return df
-    if n_files == 0 or n_files >= target:
+    if n_files == 0 or n_files >= min(target, FEW_FILES):
         return df
     return df.repartition(target)

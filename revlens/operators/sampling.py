@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window, functions as F
 
 from revlens.functions.hashing import DEFAULT_SEED, hash_bucket, seeded_hash
-from revlens.operators.joins import DEFAULT_BROADCAST_ROWS, fits
+from revlens.operators.joins import LOCAL_COPY_ROWS, small_local_copy
 from revlens.session import ensure_checkpoint_dir
 
 HASH_DIGITS = 4
@@ -58,7 +58,7 @@ def group_sizes(k: Keyed) -> DataFrame:
 
 
 def flag_first_rows(k: Keyed, quota, flag: str = "_selected",
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    max_broadcast_rows: int = LOCAL_COPY_ROWS) -> DataFrame:
     """Add boolean ``flag``: row is among the first ``quota`` rows of its group.
 
     ``quota`` is a Column over the group columns (a literal, or a CASE over
@@ -76,27 +76,31 @@ def flag_first_rows(k: Keyed, quota, flag: str = "_selected",
            .withColumn("_total", F.sum("_n").over(whole))
            .withColumn("_q", F.least(F.col("quota"), F.col("_total")))
            .withColumn("_before", F.col("_cum") - F.col("_n")))
-    # One row per group with a positive quota; reused three times below.
-    thresholds = (cum.where((F.col("_before") < F.col("_q")) & (F.col("_q") <= F.col("_cum")))
-                  .select(*g, F.col("_b").alias("_b_star"),
-                          (F.col("_q") - F.col("_before")).alias("_r"),
-                          ((F.col("_q") - F.col("_before")) == F.col("_n")).alias("_full"))
-                  .checkpoint(eager=True))
-    small_thresholds = fits(thresholds, max_broadcast_rows)
+    # One row per group with a positive quota, materialised once.
+    thresholds, t_rows = small_local_copy(
+        cum.where((F.col("_before") < F.col("_q")) & (F.col("_q") <= F.col("_cum")))
+        .select(*g, F.col("_b").alias("_b_star"),
+                (F.col("_q") - F.col("_before")).alias("_r"),
+                ((F.col("_q") - F.col("_before")) == F.col("_n")).alias("_full")),
+        max_broadcast_rows)
+    small_thresholds = t_rows is not None
     t_side = F.broadcast(thresholds) if small_thresholds else thresholds
 
     partial = thresholds.where(~F.col("_full")).select(*g, F.col("_b_star").alias("_b"), "_r")
+    needs_ranking = (any(not r["_full"] for r in t_rows) if small_thresholds
+                     else partial.limit(1).count() > 0)
     boundary = None
-    if partial.limit(1).count() > 0:
+    if needs_ranking:
         p_side = F.broadcast(partial) if small_thresholds else partial
         rank = Window.partitionBy(*g).orderBy("_h", k.id_col)
-        boundary = (k.data.select(k.id_col, *g, "_h", "_b")
-                    .join(p_side, [*g, "_b"], "inner")
-                    .withColumn("_rn", F.row_number().over(rank))
-                    .where(F.col("_rn") <= F.col("_r"))
-                    .select(k.id_col, F.lit(True).alias("_in_boundary"))
-                    .checkpoint(eager=True))
-        if fits(boundary, max_broadcast_rows):
+        boundary, b_rows = small_local_copy(
+            k.data.select(k.id_col, *g, "_h", "_b")
+            .join(p_side, [*g, "_b"], "inner")
+            .withColumn("_rn", F.row_number().over(rank))
+            .where(F.col("_rn") <= F.col("_r"))
+            .select(k.id_col, F.lit(True).alias("_in_boundary")),
+            max_broadcast_rows)
+        if b_rows is not None:
             boundary = F.broadcast(boundary)
 
     out = k.data.join(t_side, g, "left")

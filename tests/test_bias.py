@@ -122,3 +122,10 @@ def test_fixture_values(spark):
     assert round(r.ci, 6) == 0.769424 and round(r.dpl, 6) == 0.060722
     assert round(r.kl, 6) == 0.011844 and round(r.js, 6) == 0.003079
     assert round(r.lp, 6) == 0.083266 and round(r.tvd, 6) == 0.060722
+
+
+def test_bias_large_path_equals_small_path(spark, rows):
+    df = spark.createDataFrame(rows, "product_category string, sentiment int")
+    a = sorted(bias.bias_report(df).collect())
+    b = sorted(bias.bias_report(df, max_local_rows=0).collect())
+    assert a == b

@@ -89,3 +89,10 @@ def test_stage_shapes_and_preview(spark):
     assert shapes["final"][0] <= 399
     prev = cleaning.preview(cleaning.clean_reviews(r, keep_columns=["id"]), "id").collect()
     assert len(prev) == 5 and [p.id for p in prev] == sorted(p.id for p in prev)
+
+
+def test_rare_filter_large_path(spark):
+    rows = [("ten", i) for i in range(10)] + [("eleven", i) for i in range(11)]
+    df = spark.createDataFrame(rows, "product_category string, id int")
+    out = cleaning.rare_category_filter(df, max_broadcast_rows=0)
+    assert out.count() == 11

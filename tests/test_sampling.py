@@ -124,3 +124,16 @@ def test_balance_plan_moves_no_data_rows(spark):
     assert "Exchange hashpartitioning" not in plan
     assert "SortMergeJoin" not in plan
     assert plan.count("BroadcastHashJoin") >= 3
+
+
+def test_large_path_equals_small_path(spark):
+    """With the local-copy limit forced to 0 every small table is
+    checkpointed and joined by shuffle -- the path taken at scale."""
+    rows = [(i, "g" if i % 4 else "h") for i in range(3000)]
+    df = spark.createDataFrame(rows, "id bigint, grp string")
+    k = sampling.hash_histogram(df, ["grp"], "id", 42, 2)
+    quota = F.when(F.col("grp") == "g", F.lit(700)).otherwise(F.lit(31))
+    small = {r.id for r in sampling.flag_first_rows(k, quota).where("_selected").collect()}
+    large = {r.id for r in sampling.flag_first_rows(k, quota, max_broadcast_rows=0)
+             .where("_selected").collect()}
+    assert small == large == brute_first_k(rows, lambda g, n: 700 if g == "g" else 31)
