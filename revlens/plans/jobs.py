@@ -110,7 +110,7 @@ def train_job(spark: SparkSession, balanced_path: str, output: str, seed: int =
     out["leaderboard"] = _write_json(cand.leaderboard(spark, results), _path(output, "leaderboard"))
     best_pipeline = next((r.model for r in results if r.name == "ngram_lr"), None)
     if best_pipeline is None:
-        best_pipeline = cand.ngram_lr_pipeline().fit(cand.with_label(train))
+        best_pipeline = cand.fit_cached(cand.ngram_lr_pipeline(), train)
     out["model"] = _path(output, "model/ngram_lr")
     best_pipeline.write().overwrite().save(out["model"])
     samples = spark.createDataFrame([(i, t) for i, t in enumerate(text.SAMPLE_SCORING_REVIEWS)],

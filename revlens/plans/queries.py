@@ -418,7 +418,7 @@ def _memo(spark, sf_dir, name, build):
 def ngram_model(spark, sf_dir):
     def build():
         train, _ = _train_validation(spark, sf_dir)
-        return cand.ngram_lr_pipeline().fit(cand.with_label(train))
+        return cand.fit_cached(cand.ngram_lr_pipeline(), train)
     return _memo(spark, sf_dir, "ngram_lr", build)
 
 
@@ -441,7 +441,8 @@ def q_training_metrics(spark, sf_dir):
 def _leaderboard(spark, sf_dir):
     def build():
         train, validation = _train_validation(spark, sf_dir)
-        return cand.fit_candidates(train, validation)
+        return cand.fit_candidates(train, validation,
+                                   prefit={"ngram_lr": ngram_model(spark, sf_dir)})
     results = _memo(spark, sf_dir, "candidates", build)
     return cand.leaderboard(spark, results), results
 
@@ -458,14 +459,17 @@ def q_best_candidate(spark, sf_dir):
 
 @query("score_reviews")
 def q_score_reviews(spark, sf_dir):
-    """Validation reviews plus the sample reviews, scored by the n-gram model."""
+    """Validation reviews plus the sample reviews, scored by the best
+    candidate of the leaderboard."""
     _, validation = _train_validation(spark, sf_dir)
-    model = ngram_model(spark, sf_dir)
+    _, results = _leaderboard(spark, sf_dir)
+    best = max(results, key=lambda r: (r.accuracy if r.accuracy is not None else -1.0,
+                                       [-ord(c) for c in r.name]))
     samples = spark.createDataFrame(
         [(-(i + 1), t) for i, t in enumerate(text_ops.SAMPLE_SCORING_REVIEWS)],
         "id bigint, review_body string")
     to_score = validation.select("id", "review_body").unionByName(samples)
-    return cand.score_reviews(model, to_score)
+    return cand.score_with_candidate(best, to_score).withColumn("candidate_name", F.lit(best.name))
 
 
 @query("stream_score_reviews")

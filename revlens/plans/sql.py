@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The profiling statements; their column aliases are part of
+# the output contract of the workflow.
 STATEMENTS = {
     "count_by_sentiment": """
         SELECT sentiment, COUNT(sentiment) AS count_sentiment

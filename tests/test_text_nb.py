@@ -92,3 +92,20 @@ def test_long_weights_shape(spark, corpus):
     sums = w.groupBy("sentiment").agg(F.sum(F.exp("log_prob")).alias("p")).collect()
     for r in sums:
         assert r.p == pytest.approx(1.0)
+
+
+def test_nb_probabilities_sum_to_one_and_agree_with_prediction(spark, corpus):
+    data = T.with_tokens(corpus)
+    model = nb.fit_naive_bayes(data)
+    pred = nb.with_probabilities(nb.predict_naive_bayes(model, data), 3).collect()
+    for r in pred:
+        assert sum(r.probability) == pytest.approx(1.0)
+        assert model.labels[max(range(3), key=lambda i: (r.probability[i], -i))] == r.prediction
+
+
+def test_score_with_naive_bayes_candidate(spark, corpus):
+    from revlens.models.candidates import CandidateResult, score_with_candidate
+    model = nb.fit_naive_bayes(T.with_tokens(corpus))
+    out = score_with_candidate(CandidateResult("naive_bayes", 1.0, model), corpus.select("id", "review_body"))
+    assert out.columns == ["id", "review_body", "prediction", "sentiment_name", "probability"]
+    assert out.count() == corpus.count()
