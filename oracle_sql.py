@@ -244,8 +244,16 @@ FROM {src} WHERE sentiment IS NOT NULL GROUP BY product_category"""
 ORACLE_SQL["sentiment_pct_by_category"] = with_reviews(_PCT.format(src="clean"))
 ORACLE_SQL["sentiment_pct_by_category_orders"] = with_orders(_PCT.format(src="oclean"))
 
-ORACLE_SQL["crosscount_unbalanced"] = with_reviews("""
-SELECT sentiment, product_category, count(*) AS count_reviews FROM clean GROUP BY ALL""")
+_CROSSCOUNT = """
+SELECT s.sentiment, c.product_category, count(x.id) AS count_reviews
+FROM (SELECT DISTINCT sentiment FROM {src} WHERE sentiment IS NOT NULL) s
+CROSS JOIN (SELECT DISTINCT product_category FROM {src} WHERE sentiment IS NOT NULL) c
+LEFT JOIN {src} x ON x.sentiment = s.sentiment
+                 AND x.product_category IS NOT DISTINCT FROM c.product_category
+GROUP BY ALL
+UNION ALL
+SELECT sentiment, product_category, count(*) FROM {src} WHERE sentiment IS NULL GROUP BY ALL"""
+ORACLE_SQL["crosscount_unbalanced"] = with_reviews(_CROSSCOUNT.format(src="clean"))
 
 _MIN_CELL = """
 SELECT min(n) AS min_cell_size, count(*) AS n_cells FROM (
@@ -300,8 +308,10 @@ SELECT id, sentiment, review_body, product_category FROM balanced""")
 ORACLE_SQL["balanced_orders"] = with_orders(BALANCE_CTE.format(src="oclean") + """
 SELECT id, sentiment, product_category FROM balanced""")
 
-ORACLE_SQL["crosscount_balanced"] = with_reviews(BALANCE_CTE.format(src="clean") + """
-SELECT sentiment, product_category, count(*) AS count_reviews FROM balanced GROUP BY ALL""")
+ORACLE_SQL["crosscount_fine_category"] = with_reviews(
+    _CROSSCOUNT.format(src="labelled").replace("product_category", "fine_category"))
+ORACLE_SQL["crosscount_balanced"] = with_reviews(BALANCE_CTE.format(src="clean")
+                                                 + _CROSSCOUNT.format(src="balanced"))
 
 ORACLE_SQL["bias_report_balanced"] = with_reviews(BALANCE_CTE.format(src="clean") + bias_sql("balanced"))
 ORACLE_SQL["bias_report_balanced_orders"] = with_orders(

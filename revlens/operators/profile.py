@@ -82,9 +82,39 @@ def sentiment_pct_by_category(df: DataFrame, cat: str = "product_category",
         cat, *[(F.try_divide(c, total) * F.lit(100.0)).alias(n) for c, n in zip(cells, names)])
 
 
-def crosscount(df: DataFrame, cat: str = "product_category", label: str = "sentiment") -> DataFrame:
-    """Rows per (sentiment, category): the data behind a grouped count plot."""
-    return (df.groupBy(label, cat).agg(F.count(F.lit(1)).alias("count_reviews"))
+def crosscount(df: DataFrame, cat: str = "product_category", label: str = "sentiment",
+               zero_fill: bool = True, max_labels: int = 10_000) -> DataFrame:
+    """Rows per (sentiment, category): the data behind a grouped count plot.
+
+    ``zero_fill`` reports 0 for an observed sentiment missing in a category
+    (the observed grid) -- a pivot over the observed labels and an unpivot,
+    not a cross join.  Null keys form their own rows, as in the plain count.
+    """
+    if not zero_fill:
+        return (df.groupBy(label, cat).agg(F.count(F.lit(1)).alias("count_reviews"))
+                .orderBy(F.col(label).asc_nulls_last(), F.col(cat).asc_nulls_last()))
+    labels = [r[0] for r in df.select(label).distinct().limit(max_labels + 1).collect()]
+    if len(labels) > max_labels:
+        raise ValueError(f"{label} has more than {max_labels} values")
+    observed = [v for v in labels if v is not None]
+    parts = []
+    if observed:
+        observed.sort()
+        pivoted = (df.where(F.col(label).isNotNull())
+                   .groupBy(cat).pivot(label, observed).agg(F.count(F.lit(1))))
+        cols = pivoted.columns[1:]
+        label_type = dict(df.dtypes)[label]
+        pairs = ", ".join(f"CAST({v!r} AS {label_type}), coalesce(`{c}`, 0)"
+                          for v, c in zip(observed, cols))
+        parts.append(pivoted.select(
+            F.expr(f"stack({len(cols)}, {pairs}) AS ({label}, count_reviews)"), cat))
+    if None in labels:
+        parts.append(df.where(F.col(label).isNull()).groupBy(label, cat)
+                     .agg(F.count(F.lit(1)).alias("count_reviews")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return (out.select(label, cat, F.col("count_reviews").cast("bigint").alias("count_reviews"))
             .orderBy(F.col(label).asc_nulls_last(), F.col(cat).asc_nulls_last()))
 
 

@@ -158,6 +158,12 @@ def q_crosscount_unbalanced(spark, sf_dir):
     return profile.crosscount(clean_fixture_reviews(spark, sf_dir))
 
 
+@query("crosscount_fine_category")
+def q_crosscount_fine_category(spark, sf_dir):
+    """Zero-filled grid over the 73 source/language categories (many empty cells)."""
+    return profile.crosscount(labelled_reviews(spark, sf_dir), cat="fine_category")
+
+
 @query("min_cell_size")
 def q_min_cell_size(spark, sf_dir):
     return profile.min_cell_size(clean_fixture_reviews(spark, sf_dir))

@@ -82,3 +82,12 @@ def test_display_rounding_is_half_even(spark):
     out = {r.product_category: r.avg_sentiment_display
            for r in profile.avg_sentiment_by_category(df, display=True).collect()}
     assert out == {"a": round(0.125, 2), "b": round(0.375, 2)} == {"a": 0.12, "b": 0.38}
+
+
+def test_crosscount_zero_fills_observed_grid(small):
+    rows = {(r.sentiment, r.product_category): r.count_reviews
+            for r in profile.crosscount(small).collect()}
+    # observed sentiments {-1, 0, 1} x categories {a, b, c}, plus the null-sentiment row
+    assert len(rows) == 10
+    assert rows[(0, "a")] == 0 and rows[(1, "b")] == 0 and rows[(1, "a")] == 3
+    assert rows[(None, "b")] == 1
