@@ -253,6 +253,8 @@ LEFT JOIN {src} x ON x.sentiment = s.sentiment
 GROUP BY ALL
 UNION ALL
 SELECT sentiment, product_category, count(*) FROM {src} WHERE sentiment IS NULL GROUP BY ALL"""
+ORACLE_SQL["sentiment_pct_by_fine_category"] = with_reviews(
+    _PCT.format(src="labelled").replace("product_category", "fine_category"))
 ORACLE_SQL["crosscount_unbalanced"] = with_reviews(_CROSSCOUNT.format(src="clean"))
 
 _MIN_CELL = """

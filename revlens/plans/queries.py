@@ -153,6 +153,13 @@ def q_sentiment_pct_by_category_orders(spark, sf_dir):
     return round_doubles(profile.sentiment_pct_by_category(clean_order_reviews(spark, sf_dir)))
 
 
+@query("sentiment_pct_by_fine_category")
+def q_sentiment_pct_by_fine_category(spark, sf_dir):
+    """73 source/language categories, many lacking a sentiment (0.0 cells)."""
+    return round_doubles(profile.sentiment_pct_by_category(labelled_reviews(spark, sf_dir),
+                                                           cat="fine_category"))
+
+
 @query("crosscount_unbalanced")
 def q_crosscount_unbalanced(spark, sf_dir):
     return profile.crosscount(clean_fixture_reviews(spark, sf_dir))
