@@ -130,11 +130,17 @@ def review_word_counts(df: DataFrame, body: str = "review_body", id_col: str | N
     return df.select(*cols, word_count(body).alias("num_words"))
 
 
-def describe(df: DataFrame, col: str = "num_words") -> DataFrame:
-    """count, mean, sample std, min, exact 10..100 % percentiles (linear
-    interpolation), max.  Exact percentiles keep one counter per distinct
-    value, which stays small for word counts."""
-    pct = F.percentile(F.col(col), F.array(*[F.lit(p) for p in DESCRIBE_PERCENTILES]))
+def describe(df: DataFrame, col: str = "num_words", exact: bool = True,
+             accuracy: int = 10_000) -> DataFrame:
+    """count, mean, sample std, min, 10..100 % percentiles, max.
+
+    ``exact`` percentiles interpolate linearly like pandas and keep one
+    counter per distinct value -- small for word counts.  ``exact=False``
+    uses ``percentile_approx`` (a bounded sketch, nearest-rank values) for
+    unbounded doubles."""
+    levels = F.array(*[F.lit(p) for p in DESCRIBE_PERCENTILES])
+    pct = (F.percentile(F.col(col), levels) if exact
+           else F.percentile_approx(F.col(col), levels, accuracy).cast("array<double>"))
     stats = df.agg(F.count(col).alias("count"), F.avg(col).alias("mean"),
                    F.stddev_samp(col).alias("std"), F.min(col).cast("double").alias("min"),
                    pct.alias("_p"), F.max(col).cast("double").alias("max"))

@@ -91,3 +91,13 @@ def test_crosscount_zero_fills_observed_grid(small):
     assert len(rows) == 10
     assert rows[(0, "a")] == 0 and rows[(1, "b")] == 0 and rows[(1, "a")] == 3
     assert rows[(None, "b")] == 1
+
+
+def test_describe_approx_close_to_exact(spark):
+    import random
+    rnd = random.Random(3)
+    df = spark.createDataFrame([(rnd.randint(1, 5000),) for _ in range(5000)], "num_words bigint")
+    exact = profile.describe(df).first().asDict()
+    approx = profile.describe(df, exact=False).first().asDict()
+    for p in range(10, 101, 10):
+        assert abs(exact[f"p{p}"] - approx[f"p{p}"]) <= 5000 * 0.002 + 1
