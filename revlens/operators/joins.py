@@ -1,8 +1,9 @@
 """Joins with an explicit, checked size bound for broadcasting.
 
 A side is broadcast only after an action proved it holds at most
-``max_rows`` rows; beyond that the join stays a shuffle join (AQE may still
-split skewed partitions).  The probe reads at most ``max_rows + 1`` rows.
+``max_rows`` rows (the probe reads at most ``max_rows + 1``); beyond that
+the join stays a shuffle join -- salted for one-row-per-key lookup tables,
+otherwise left to AQE's skew splitting.
 """
 
 from __future__ import annotations
@@ -16,16 +17,6 @@ def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it proved small, else ``df`` unchanged."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return big.join(bounded_broadcast(small, max_rows), on, how)
-
-
 def salted_lookup_join(big: DataFrame, lookup: DataFrame, key: str, spread_col: str,
                        how: str = "left", salts: int = 32) -> DataFrame:
     """Join a skewed ``big`` side to a one-row-per-key ``lookup`` table that
