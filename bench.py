@@ -44,15 +44,21 @@ def main() -> None:
     # JVM / catalog warm-up outside the timed region.
     QUERIES["count_by_category_sentiment"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
-    times = {}
+    times, errors = {}, {}
     for name in HEADLINE:
         t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        try:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as exc:  # noqa: BLE001 - report, keep timing the rest
+            errors[name] = str(exc).splitlines()[0][:300]
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else sf_dir,
-                      "cpus": cpus}))
+    result = {"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
+              "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else sf_dir,
+              "cpus": cpus}
+    if errors:
+        result["errors"] = errors
+    print(json.dumps(result))
     spark.stop()
 
 
