@@ -77,41 +77,56 @@ def bias_report(df: DataFrame, label: str = "sentiment", facet: str = "product_c
                            *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("double").alias(n)
                              for c, n in zip(pivoted.columns[1:], names)])
 
-    t = [F.lit(float(n)) for _, n in totals]
-    total_all = F.lit(float(sum(n for _, n in totals)))
+    # Staged projections keep every expression small (later stages refer to
+    # columns, not re-inlined formulas), which keeps planning cheap.
+    k = len(labels)
+    total_all = float(sum(n for _, n in totals))
     nd = [F.col(n) for n in names]
-    na = [ti - di for ti, di in zip(t, nd)]
-    Nd = _sum(nd)
-    Na = total_all - Nd
-    pd_ = [F.try_divide(x, Nd) for x in nd]
-    pa_ = [F.try_divide(x, Na) for x in na]
+    stage1 = cells.select(
+        "facet_value", *names,
+        *[(F.lit(float(t)) - F.col(n)).alias(f"_a{i}") for i, ((_, t), n) in enumerate(zip(totals, names))],
+        _sum(nd).alias("_Nd"))
+    stage1 = stage1.withColumn("_Na", F.lit(total_all) - F.col("_Nd"))
     positive = set(positive_values)
     pos_idx = [i for i, v in enumerate(labels) if v in positive]
 
-    def share(counts, n_side):
+    def share(prefix: str, n_side: str) -> Column:
         if not pos_idx:
-            return F.try_divide(F.lit(0.0), n_side)
-        return F.try_divide(_sum([counts[i] for i in pos_idx]), n_side)
-
-    def kl_terms(p, q):
+            return F.try_divide(F.lit(0.0), F.col(n_side))
+        return F.try_divide(_sum([F.col(f"{prefix}{i}") for i in pos_idx]), F.col(n_side))
+
+    stage2 = stage1.select(
+        "facet_value", "_Nd", "_Na",
+        *[F.try_divide(F.col(f"_d{i}"), F.col("_Nd")).alias(f"_pd{i}") for i in range(k)],
+        *[F.try_divide(F.col(f"_a{i}"), F.col("_Na")).alias(f"_pa{i}") for i in range(k)],
+        (share("_a", "_Na") - share("_d", "_Nd")).alias("_dpl"))
+    stage3 = stage2.select(
+        "*",
+        *[((F.col(f"_pa{i}") + F.col(f"_pd{i}")) / F.lit(2.0)).alias(f"_pm{i}") for i in range(k)],
+        *[(F.col(f"_pa{i}") - F.col(f"_pd{i}")).alias(f"_df{i}") for i in range(k)])
+
+    def kl_terms(p: str, q: str):
         # p ln(p/q); 0 when p = 0, +inf when p > 0 = q; null if undefined.
-        return [F.when(pi.isNull() | qi.isNull(), F.lit(None).cast("double"))
-                 .when(pi == 0, F.lit(0.0))
-                 .when(qi == 0, F.lit(float("inf")))
-                 .otherwise(pi * F.ln(pi / qi)) for pi, qi in zip(p, q)]
-
-    diffs = [a - d for a, d in zip(pa_, pd_)]
-    mid = [(a + d) / F.lit(2.0) for a, d in zip(pa_, pd_)]
+        out = []
+        for i in range(k):
+            pi, qi = F.col(f"{p}{i}"), F.col(f"{q}{i}")
+            out.append(F.when(pi.isNull() | qi.isNull(), F.lit(None).cast("double"))
+                       .when(pi == 0, F.lit(0.0))
+                       .when(qi == 0, F.lit(float("inf")))
+                       .otherwise(pi * F.ln(pi / qi)))
+        return out
+
+    diffs = [F.col(f"_df{i}") for i in range(k)]
     expr = {
-        "CI": F.try_divide(Na - Nd, Na + Nd),
-        "DPL": share(na, Na) - share(nd, Nd),
-        "KL": _sum(kl_terms(pa_, pd_)),
-        "JS": (_sum(kl_terms(pa_, mid)) + _sum(kl_terms(pd_, mid))) / F.lit(2.0),
+        "CI": F.try_divide(F.col("_Na") - F.col("_Nd"), F.col("_Na") + F.col("_Nd")),
+        "DPL": F.col("_dpl"),
+        "KL": _sum(kl_terms("_pa", "_pd")),
+        "JS": (_sum(kl_terms("_pa", "_pm")) + _sum(kl_terms("_pd", "_pm"))) / F.lit(2.0),
         "LP": F.sqrt(_sum([x * x for x in diffs])),
         "TVD": _sum([F.abs(x) for x in diffs]) / F.lit(2.0),
         "KS": _max([F.abs(x) for x in diffs]),
     }
-    return cells.select("facet_value", *[expr[m].alias(m.lower()) for m in methods])
+    return stage3.select("facet_value", *[expr[m].alias(m.lower()) for m in methods])
 
 
 def bias_report_from_config(df: DataFrame, config) -> DataFrame:
