@@ -4,17 +4,21 @@ Rows are ordered inside their group by ``md5(id || ':' || seed)`` (ties by
 id), which Spark and DuckDB compute alike.  A plain
 ``row_number() OVER (PARTITION BY group ...)`` would sort a whole group in
 one task; with one group holding a third of all rows that task becomes the
-job.  Instead:
+job.  Instead the hash space is cut into ordered buckets (its leading hex
+digits sort like the hash):
 
-1. *histogram*: rows per (group, leading hex digits of the hash) -- a
-   partial aggregation, written to the shared checkpoint folder (at most
-   groups x 16**digits small rows);
+1. *histogram*: rows per (group, leading ``digits`` hex digits) -- a
+   partial aggregation, at most groups x 16**digits small rows, kept as a
+   local relation when proved small, else checkpointed;
 2. *thresholds*: a running sum over each group's buckets finds the bucket
-   that holds the quota boundary and how many of its rows are needed;
-3. *boundary*: only the rows of that one bucket per group are ranked
-   (about 1/16**digits of a group);
-4. *flag*: every row is compared with its group's threshold through a
-   (size-checked) broadcast join -- no shuffle of the data itself.
+   holding the quota boundary and how many of its rows are still needed;
+3. *refine*: while a boundary bucket holds more than ``rank_limit`` rows,
+   only the rows of those buckets are histogrammed again on two more hex
+   digits (each level shrinks a bucket 256-fold), so a hot group of any
+   size ends with a bounded bucket;
+4. *boundary*: the rows of the last boundary bucket per group are ranked;
+5. *flag*: every row is compared with its group's thresholds through
+   (size-proved) broadcast joins -- no shuffle of the data itself.
 
 The result equals ``row_number() <= quota`` over the same ordering.
 """
@@ -28,18 +32,21 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from revlens.functions.hashing import DEFAULT_SEED, hash_bucket, seeded_hash
 from revlens.operators.joins import LOCAL_COPY_ROWS, small_local_copy
-from revlens.session import ensure_checkpoint_dir
 
-HASH_DIGITS = 4
+HASH_DIGITS = 2        # first histogram level: 256 buckets per group
+STEP_DIGITS = 2        # each refinement: 256 sub-buckets of a boundary bucket
+MAX_DIGITS = 32        # md5 hex length
+RANK_LIMIT = 1_000_000 # rows of one boundary bucket ranked in one task
 _HELPERS = ["_h", "_b"]
 
 
 @dataclass
 class Keyed:
-    data: DataFrame        # input rows + _h (hash) + _b (bucket)
-    hist: DataFrame        # group cols, _b, _n  (checkpointed)
+    data: DataFrame        # input rows + _h (hash) + _b (first-level bucket)
+    hist: DataFrame        # group cols, _b, _n  (local relation or checkpoint)
     groups: list
     id_col: str
+    digits: int = HASH_DIGITS
 
 
 def hash_histogram(df: DataFrame, groups, id_col: str = "id", seed: int = DEFAULT_SEED,
@@ -47,69 +54,108 @@ def hash_histogram(df: DataFrame, groups, id_col: str = "id", seed: int = DEFAUL
     groups = list(groups)
     keyed = (df.withColumn("_h", seeded_hash(id_col, seed))
              .withColumn("_b", hash_bucket("_h", digits)))
-    ensure_checkpoint_dir(df.sparkSession)
-    hist = (keyed.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_n"))
-            .checkpoint(eager=True))
-    return Keyed(keyed, hist, groups, id_col)
+    hist, _ = small_local_copy(keyed.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_n")))
+    return Keyed(keyed, hist, groups, id_col, digits)
 
 
 def group_sizes(k: Keyed) -> DataFrame:
     return k.hist.groupBy(*k.groups).agg(F.sum("_n").cast("bigint").alias("group_rows"))
 
 
-def flag_first_rows(k: Keyed, quota, flag: str = "_selected",
-                    max_broadcast_rows: int = LOCAL_COPY_ROWS) -> DataFrame:
-    """Add boolean ``flag``: row is among the first ``quota`` rows of its group.
-
-    ``quota`` is a Column over the group columns (a literal, or a CASE over
-    a few labels) or a DataFrame of group columns + ``quota``; groups
-    without a quota get none selected.
-    """
-    g = k.groups
+def _thresholds(hist: DataFrame, g: list, quota, max_rows: int):
+    """Per group with a positive quota: boundary bucket ``_b_star``, rows
+    still needed from it ``_r``, its size ``_n_star`` and whether it is taken
+    whole (``_full``).  Returns (DataFrame, local rows or None)."""
     running = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*g)
     if isinstance(quota, DataFrame):
-        hist = k.hist.join(quota.select(*g, "quota"), g, "inner")
+        h = hist.join(quota.select(*g, "quota"), g, "inner")
     else:
-        hist = k.hist.withColumn("quota", quota.cast("bigint"))
-    cum = (hist.withColumn("_cum", F.sum("_n").over(running))
+        h = hist.withColumn("quota", quota.cast("bigint"))
+    cum = (h.withColumn("_cum", F.sum("_n").over(running))
            .withColumn("_total", F.sum("_n").over(whole))
            .withColumn("_q", F.least(F.col("quota"), F.col("_total")))
            .withColumn("_before", F.col("_cum") - F.col("_n")))
-    # One row per group with a positive quota, materialised once.
-    thresholds, t_rows = small_local_copy(
+    return small_local_copy(
         cum.where((F.col("_before") < F.col("_q")) & (F.col("_q") <= F.col("_cum")))
         .select(*g, F.col("_b").alias("_b_star"),
                 (F.col("_q") - F.col("_before")).alias("_r"),
+                F.col("_n").alias("_n_star"),
                 ((F.col("_q") - F.col("_before")) == F.col("_n")).alias("_full")),
-        max_broadcast_rows)
-    small_thresholds = t_rows is not None
-    t_side = F.broadcast(thresholds) if small_thresholds else thresholds
+        max_rows)
+
+
+def flag_first_rows(k: Keyed, quota, flag: str = "_selected",
+                    max_broadcast_rows: int = LOCAL_COPY_ROWS,
+                    rank_limit: int = RANK_LIMIT) -> DataFrame:
+    """Add boolean ``flag``: row is among the first ``quota`` rows of its group.
+
+    ``quota`` is a Column over the group columns (a literal, or a CASE over
+    a few labels) or a DataFrame of group columns + ``quota``; groups
+    without a quota get none selected.
+    """
+    g = k.groups
 
-    partial = thresholds.where(~F.col("_full")).select(*g, F.col("_b_star").alias("_b"), "_r")
-    needs_ranking = (any(not r["_full"] for r in t_rows) if small_thresholds
-                     else partial.limit(1).count() > 0)
+    def side(df, rows):
+        return F.broadcast(df) if rows is not None else df
+
+    levels = []  # (digits, thresholds, local rows)
+    th, rows = _thresholds(k.hist, g, quota, max_broadcast_rows)
+    digits = k.digits
+    levels.append((digits, th, rows))
     boundary = None
-    if needs_ranking:
-        p_side = F.broadcast(partial) if small_thresholds else partial
-        rank = Window.partitionBy(*g).orderBy("_h", k.id_col)
-        boundary, b_rows = small_local_copy(
-            k.data.select(k.id_col, *g, "_h", "_b")
-            .join(p_side, [*g, "_b"], "inner")
-            .withColumn("_rn", F.row_number().over(rank))
-            .where(F.col("_rn") <= F.col("_r"))
-            .select(k.id_col, F.lit(True).alias("_in_boundary")),
-            max_broadcast_rows)
-        if b_rows is not None:
-            boundary = F.broadcast(boundary)
-
-    out = k.data.join(t_side, g, "left")
-    chosen = (F.col("_b") < F.col("_b_star")) | ((F.col("_b") == F.col("_b_star")) & F.col("_full"))
+    while True:
+        partial = th.where(~F.col("_full"))
+        if rows is not None:
+            open_rows = [r for r in rows if not r["_full"]]
+            biggest = max((r["_n_star"] for r in open_rows), default=None)
+        else:
+            biggest = partial.agg(F.max("_n_star")).first()[0]
+        if biggest is None:
+            break
+        cut = side(partial.select(*g, F.col("_b_star").alias("_cut"), "_r"), rows)
+        in_cut = (k.data.select(k.id_col, *g, "_h")
+                  .join(cut, g, "inner")
+                  .where(hash_bucket("_h", digits) == F.col("_cut")))
+        if biggest <= rank_limit or digits + STEP_DIGITS > MAX_DIGITS:
+            rank = Window.partitionBy(*g).orderBy("_h", k.id_col)
+            boundary, b_rows = small_local_copy(
+                in_cut.withColumn("_rn", F.row_number().over(rank))
+                .where(F.col("_rn") <= F.col("_r"))
+                .select(k.id_col, F.lit(True).alias("_in_boundary")),
+                max_broadcast_rows)
+            boundary = side(boundary, b_rows)
+            break
+        # Refine only the rows of the boundary buckets on more hex digits.
+        digits += STEP_DIGITS
+        sub_hist, _ = small_local_copy(
+            in_cut.groupBy(*g, hash_bucket("_h", digits).alias("_b"))
+            .agg(F.count(F.lit(1)).alias("_n")), max_broadcast_rows)
+        th, rows = _thresholds(sub_hist, g, partial.select(*g, F.col("_r").alias("quota")),
+                               max_broadcast_rows)
+        levels.append((digits, th, rows))
+
+    out = k.data
+    for i, (d, t, r) in enumerate(levels):
+        out = out.join(side(t.select(*g, F.col("_b_star").alias(f"_bs{i}"),
+                                     F.col("_full").alias(f"_fl{i}")), r), g, "left")
     if boundary is not None:
         out = out.join(boundary, k.id_col, "left")
-        chosen = chosen | ((F.col("_b") == F.col("_b_star")) & F.col("_in_boundary").isNotNull())
+    # Innermost level first: inside the last boundary bucket a row is chosen
+    # when the bucket is taken whole or the row was ranked in.
+    last = len(levels) - 1
+    d_last = levels[last][0]
+    at_last = hash_bucket("_h", d_last) == F.col(f"_bs{last}")
+    chosen = F.col(f"_fl{last}")
+    if boundary is not None:
+        chosen = chosen | F.col("_in_boundary").isNotNull()
+    chosen = (hash_bucket("_h", d_last) < F.col(f"_bs{last}")) | (at_last & chosen)
+    for i in range(last - 1, -1, -1):
+        p = hash_bucket("_h", levels[i][0])
+        chosen = (p < F.col(f"_bs{i}")) | ((p == F.col(f"_bs{i}")) & (F.col(f"_fl{i}") | chosen))
     out = out.withColumn(flag, F.coalesce(chosen, F.lit(False)))
-    return out.drop("_b_star", "_r", "_full", "_in_boundary", *_HELPERS)
+    helpers = [f"_bs{i}" for i in range(len(levels))] + [f"_fl{i}" for i in range(len(levels))]
+    return out.drop(*helpers, "_in_boundary", *_HELPERS)
 
 
 def _not_null(df: DataFrame, cols) -> DataFrame:

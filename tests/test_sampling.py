@@ -137,3 +137,17 @@ def test_large_path_equals_small_path(spark):
     large = {r.id for r in sampling.flag_first_rows(k, quota, max_broadcast_rows=0)
              .where("_selected").collect()}
     assert small == large == brute_first_k(rows, lambda g, n: 700 if g == "g" else 31)
+
+
+@pytest.mark.parametrize("rank_limit,max_rows", [(3, 10**5), (1, 10**5), (3, 0)])
+def test_refinement_levels_equal_brute_force(spark, rank_limit, max_rows):
+    """A tiny rank limit forces several refinement levels (2 -> 4 -> 6 ...
+    hex digits); max_rows=0 also takes the checkpoint/shuffle path."""
+    rows = [(i, "g" if i % 3 else "h") for i in range(4000)]
+    df = spark.createDataFrame(rows, "id bigint, grp string")
+    k = sampling.hash_histogram(df, ["grp"], "id", 42, 1)
+    quota = F.when(F.col("grp") == "g", F.lit(1111)).otherwise(F.lit(257))
+    got = {r.id for r in sampling.flag_first_rows(k, quota, max_broadcast_rows=max_rows,
+                                                  rank_limit=rank_limit)
+           .where("_selected").collect()}
+    assert got == brute_first_k(rows, lambda g, n: 1111 if g == "g" else 257)
