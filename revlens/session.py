@@ -49,6 +49,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # A machine-local folder is not visible to other executors and
+            # dies with the node: refuse instead of checkpointing into it.
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store)")
         configured = tempfile.mkdtemp(prefix="revlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
