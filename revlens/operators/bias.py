@@ -77,8 +77,8 @@ def bias_report(df: DataFrame, label: str = "sentiment", facet: str = "product_c
                            *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("double").alias(n)
                              for c, n in zip(pivoted.columns[1:], names)])
 
-    # Staged projections keep every expression small (later stages refer to
-    # columns, not re-inlined formulas), which keeps planning cheap.
+    # Staged projections: counts -> shares -> metrics.  Later stages refer
+    # to columns instead of re-inlining the share formulas into every term.
     k = len(labels)
     total_all = float(sum(n for _, n in totals))
     nd = [F.col(n) for n in names]
