@@ -18,7 +18,8 @@ NOTES = {
     "count_by_category_sentiment_orders": "Partial + final HashAggregate around one small exchange; "
         "scans read only the three used columns; customer is broadcast by Catalyst's size estimate.",
     "rare_category_filter": "The kept-category list was materialised once and is broadcast as a local "
-        "relation into a LeftSemi join; the review rows are never shuffled.",
+        "relation into a LeftSemi join; the review rows are never shuffled.  (Queries on the cleaned "
+        "reviews read the cleaned table written once by the cleaning step instead.)",
     "bias_report_orders": "The data pass ran while building the plan (facet x label counts, kept as a "
         "local relation); what remains is a pivot over those few rows.",
     "balanced_orders": "Every row is decided by broadcast joins against the per-group thresholds and the "
