@@ -38,3 +38,9 @@ def test_no_window_over_data_in_split(spark):
 def test_histogram_grid_join_is_bounded_broadcast(spark):
     plan = executed_plan(QUERIES["word_count_histogram"](spark, SF))
     assert "BroadcastHashJoin" in plan and "Range (0, 100" in plan
+
+
+def test_counts_on_cleaned_reviews_do_not_read_text(spark):
+    plan = executed_plan(QUERIES["count_by_category_sentiment"](spark, SF))
+    assert "ReadSchema: struct<sentiment:int,product_category:string>" in plan
+    assert "review_body" not in plan
