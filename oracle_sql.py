@@ -433,3 +433,22 @@ ORACLE_SQL["catalog_count_by_category_sentiment"] = ORACLE_SQL["count_by_categor
 ORACLE_SQL["catalog_num_words"] = with_reviews("""
 SELECT len(string_split(review_body, ' ')) AS num_words FROM clean""")
 ORACLE_SQL["sql_count_sentiment_by_category"] = ORACLE_SQL["count_sentiment_by_category"]
+
+# ------------------------------------------------------- order_reviews variants
+ORACLE_SQL["count_by_sentiment_orders"] = with_orders("""
+SELECT sentiment, count(sentiment) AS count_sentiment FROM oclean
+GROUP BY sentiment ORDER BY sentiment NULLS LAST""")
+
+ORACLE_SQL["sentiment_totals_orders"] = with_orders(""",
+breakdown AS (SELECT product_category, sentiment, count(*) AS count_reviews FROM oclean GROUP BY ALL)
+SELECT sentiment, CAST(sum(count_reviews) AS BIGINT) AS count_reviews,
+       grouping(sentiment) = 1 AS is_total
+FROM breakdown GROUP BY ROLLUP (sentiment)""")
+
+ORACLE_SQL["crosscount_orders"] = with_orders(_CROSSCOUNT.format(src="oclean"))
+
+ORACLE_SQL["split_sizes_orders"] = with_orders(
+    SPLIT_CTE.replace("FROM clean", "FROM oclean").replace("r.review_body, ", "") + """
+SELECT split, count(*) AS n_rows,
+       round(CAST(count(*) AS DOUBLE) * 100 / sum(count(*)) OVER (), 1) AS pct
+FROM split GROUP BY split ORDER BY split""")

@@ -112,6 +112,27 @@ def q_count_by_sentiment(spark, sf_dir):
     return profile.count_by_sentiment(clean_fixture_reviews(spark, sf_dir))
 
 
+@query("count_by_sentiment_orders")
+def q_count_by_sentiment_orders(spark, sf_dir):
+    return profile.count_by_sentiment(clean_order_reviews(spark, sf_dir))
+
+
+@query("sentiment_totals_orders")
+def q_sentiment_totals_orders(spark, sf_dir):
+    return profile.sentiment_totals(
+        profile.count_by_category_sentiment(clean_order_reviews(spark, sf_dir)))
+
+
+@query("crosscount_orders")
+def q_crosscount_orders(spark, sf_dir):
+    return profile.crosscount(clean_order_reviews(spark, sf_dir))
+
+
+@query("split_sizes_orders")
+def q_split_sizes_orders(spark, sf_dir):
+    return profile.split_sizes(sampling.stratified_split(clean_order_reviews(spark, sf_dir)))
+
+
 @query("count_sentiment_by_category")
 def q_count_sentiment_by_category(spark, sf_dir):
     return profile.count_sentiment_by_category(clean_fixture_reviews(spark, sf_dir))
