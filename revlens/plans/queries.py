@@ -11,9 +11,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from revlens.operators import profile
-from revlens.plans import flows
+from revlens.functions.sentiment import rating_to_sentiment
+from revlens.models import candidates as cand
+from revlens.operators import bias, cleaning, naive_bayes as nb, profile, sampling
+from revlens.operators import text as text_ops
+from revlens.plans import flows, sql as sql_plans
 from revlens.plans.datasets import clean_fixture_reviews, clean_order_reviews
+from revlens.sources.csv_io import labelled_lines
+from revlens.sources.tables import load_table, reviews
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -41,12 +46,6 @@ def q_count_by_category_sentiment_orders(spark, sf_dir):
     return profile.count_by_category_sentiment(clean_order_reviews(spark, sf_dir))
 
 
-from revlens.operators import bias, cleaning, sampling, text as text_ops  # noqa: E402
-from revlens.functions.sentiment import rating_to_sentiment  # noqa: E402
-from revlens.sources.csv_io import labelled_lines  # noqa: E402
-from revlens.sources.tables import load_table, reviews  # noqa: E402
-
-
 def labelled_reviews(spark, sf_dir):
     """Reviews with a rating, sentiment derived, before the rare filter."""
     return cleaning.label_sentiment(cleaning.drop_incomplete(reviews(spark, sf_dir)))
@@ -351,7 +350,6 @@ def q_word_ngrams(spark, sf_dir):
 
 
 # -------------------------------------------------------------- naive Bayes
-from revlens.operators import naive_bayes as nb  # noqa: E402
 
 
 def nb_fitted(spark, sf_dir):
@@ -387,7 +385,6 @@ def q_nb_accuracy(spark, sf_dir):
 
 
 # ------------------------------------------------------- catalog / CSV / SQL
-from revlens.plans import flows, sql as sql_plans  # noqa: E402
 
 
 def registered_reviews(spark, sf_dir):
@@ -429,7 +426,6 @@ def q_sql_count_sentiment_by_category(spark, sf_dir):
 
 
 # ------------------------------------------------------------- Spark ML
-from revlens.models import candidates as cand  # noqa: E402
 
 
 def _train_validation(spark, sf_dir):
