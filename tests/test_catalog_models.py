@@ -91,3 +91,14 @@ def test_tune_ngram_lr_grid(spark, split):
     model = cand.tune_ngram_lr(train, reg_params=(0.0, 0.1), num_features=1 << 10)
     assert len(model.validationMetrics) == 2
     assert all(0.0 <= m <= 1.0 for m in model.validationMetrics)
+
+
+def test_training_projection_csv_roundtrip(spark, tmp_dir):
+    from revlens.sources.csv_io import read_clean_reviews, write_training_projection
+    df = spark.createDataFrame([(1, 'fine, "really"\nyes', "x"), (-1, "bad", "y")],
+                               "sentiment int, review_body string, product_category string")
+    path = os.path.join(tmp_dir, "projection")
+    write_training_projection(df, path)
+    back = read_clean_reviews(spark, path)
+    assert back.columns == ["sentiment", "review_body"]
+    assert sorted(back.collect()) == sorted(df.select("sentiment", "review_body").collect())
