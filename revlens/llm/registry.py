@@ -4,14 +4,31 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from revlens.llm.minmax_dedup import near_duplicates
 from revlens.llm.packing import best_fit_packing
+from revlens.llm.span_dedup import span_dedup
 from revlens.llm.tables import table
 from revlens.llm.token_counts import token_counts
+from revlens.llm.topk import top_k
 
 BYTE_BPE = "byte_bpe_50k.json"
 
 
+def op1_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_sentences", "n_removed")
+
+
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, is_query=F.col("vec_id") % 100 == 0, k=10)
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
@@ -20,5 +37,6 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op6_best_fit_packing, op9_token_counts)}
+QUERIES = {f.__name__: f for f in (
+    op1_minmax_near_dedup, op2_substring_dedup, op3_exact_top_k, op6_best_fit_packing, op9_token_counts)}
 ORACLE_SQL: dict[str, str] = {}
