@@ -12,6 +12,8 @@ from revlens.llm.span_dedup import span_dedup
 from revlens.llm.tables import table
 from revlens.llm.token_counts import token_counts
 from revlens.llm.topk import top_k
+from revlens.llm.toxicity import toxicity_scores
+from revlens.llm.zstd_quality import quality_scores
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -29,6 +31,32 @@ def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, is_query=F.col("vec_id") % 100 == 0, k=10)
 
 
+def _split(ids: str, folds: int, out: int) -> F.Column:
+    """Whether crc32 of the id as text falls in the fold that isn't learned from."""
+    return F.coalesce(F.crc32(F.col(ids).cast("string")) % folds == out, F.lit(False))
+
+
+def _scored(df: DataFrame, score: F.Column, folds: int, out: int, least: float) -> DataFrame:
+    return (df.select("doc_id", _split("doc_id", folds, out).alias("held_out"), score.alias("score"))
+            .withColumn("predicted", (F.col("score") >= least).cast("int")))
+
+
+def labelled_rows(labels: DataFrame, column: str, folds: int, out: int) -> DataFrame:
+    return labels.where(~_split("doc_id", folds, out)).select("doc_id", F.col(column).alias("label"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    known = labelled_rows(table(spark, sf_dir, "labels"), "toxic", 5, 0)
+    return _scored(docs, toxicity_scores(docs, known), 5, 0, 0.5)
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    known = labelled_rows(table(spark, sf_dir, "labels"), "quality", 4, 2)
+    return _scored(docs, quality_scores(docs, known), 4, 2, 0.7)
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
@@ -38,5 +66,6 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minmax_near_dedup, op2_substring_dedup, op3_exact_top_k, op6_best_fit_packing, op9_token_counts)}
+    op1_minmax_near_dedup, op2_substring_dedup, op3_exact_top_k, op4_toxicity, op5_quality,
+    op6_best_fit_packing, op9_token_counts)}
 ORACLE_SQL: dict[str, str] = {}
