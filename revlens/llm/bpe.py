@@ -31,7 +31,7 @@ def _alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class _Remembered:
+class Remembered:
     """Space-separated pieces looked up in a bounded memory."""
 
     def __init__(self) -> None:
@@ -133,7 +133,7 @@ class ByteBpe:
         return count
 
 
-class PrefixCounts(_Remembered):
+class PrefixCounts(Remembered):
     """Exact token count of the text up to every character."""
 
     #: Contractions that the pattern takes whole; cut after the first letter,
@@ -214,7 +214,7 @@ class PrefixCounts(_Remembered):
         return out
 
 
-class CachedIds(_Remembered):
+class CachedIds(Remembered):
     """Token ids of whole texts (uint16 or uint32), equal to the library's."""
 
     def __init__(self, path: str) -> None:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from revlens.llm.minmax_dedup import near_duplicates
 from revlens.llm.packing import best_fit_packing
+from revlens.llm.sentencepiece_fst import encode_documents
+from revlens.llm.simhash import document_fingerprints
 from revlens.llm.span_dedup import span_dedup
 from revlens.llm.tables import table
 from revlens.llm.token_counts import token_counts
@@ -16,6 +18,7 @@ from revlens.llm.toxicity import toxicity_scores
 from revlens.llm.zstd_quality import quality_scores
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,11 +64,20 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op8_sentencepiece_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), limit=1024)
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_fingerprints(table(spark, sf_dir, "documents")).drop("next_fingerprint")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minmax_near_dedup, op2_substring_dedup, op3_exact_top_k, op4_toxicity, op5_quality,
-    op6_best_fit_packing, op9_token_counts)}
+    op6_best_fit_packing, op8_sentencepiece_fst,
+    op9_token_counts, op10_simhash)}
 ORACLE_SQL: dict[str, str] = {}
