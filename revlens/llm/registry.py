@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revlens.llm.attention_lm import lm_scores
 from revlens.llm.minmax_dedup import near_duplicates
 from revlens.llm.packing import best_fit_packing
 from revlens.llm.sentencepiece_fst import encode_documents
@@ -64,6 +65,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm_scores(docs, public_tokenizers.path(BYTE_BPE), _split("doc_id", 10, 0))
+
+
 def op8_sentencepiece_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
@@ -78,6 +84,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_minmax_near_dedup, op2_substring_dedup, op3_exact_top_k, op4_toxicity, op5_quality,
-    op6_best_fit_packing, op8_sentencepiece_fst,
+    op6_best_fit_packing, op7_lm_scoring, op8_sentencepiece_fst,
     op9_token_counts, op10_simhash)}
 ORACLE_SQL: dict[str, str] = {}
