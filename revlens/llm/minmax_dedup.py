@@ -9,7 +9,10 @@ Equal sets are one class from the start and only their smallest document
 goes on.  Within a band bucket nothing like all pairs is made: a few pivots
 are compared with the members, the components are merged, and only buckets
 that still hold several components go into the next round with four times
-the pivots, until every bucket is one component or fully compared.
+the pivots, until every bucket is one component or fully compared.  Pairs
+whose distances to their bucket's first pivot differ by more than the
+allowed distance can't be linked, by the triangle inequality, and are not
+made.
 
 Defined cases: null or word-less texts have an empty set and stay alone;
 repeated rows fall in one class; rows of equal id are one node; rows without
@@ -34,6 +37,8 @@ from revlens.llm.tables import cut
 #: 0.8 a pair escapes all 48 bands with probability (1 - 0.8**6)**48 = 5e-7.
 BANDS, PER_BAND = 48, 3
 _CHUNK = 2048
+#: Pairs that are sent to the sets instead of the sets to them (16 bytes each).
+BROADCAST_PAIRS = 50_000
 
 
 def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,14 +102,19 @@ def full_sets(df: DataFrame, words: int, doc_id: str = "doc_id", text: str = "te
             .mapInPandas(collect, "doc_id long, set_key binary, shingles array<long>"))
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the sizes of their sets' intersection and union."""
     left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("of_a"))
     right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("of_b"))
+    if pairs.count() <= BROADCAST_PAIRS:
+        # The few pairs go to the sets; only the sets they name are moved.
+        pairs = F.broadcast(pairs)
+        both = pairs.join(left, "a").join(pairs.join(right, "b"), ["a", "b"])
+    else:
+        both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("of_a", "of_b"))
-    return (pairs.join(left, "a").join(right, "b")
-            .select("a", "b", shared.alias("i"), (F.size("of_a") + F.size("of_b")).alias("n"))
-            .where(F.col("i") * 100 >= (F.col("n") - F.col("i")) * percent).select("a", "b"))
+    return (both.select("a", "b", shared.alias("i"), (F.size("of_a") + F.size("of_b")).alias("n"))
+            .select("a", "b", "i", (F.col("n") - F.col("i")).alias("u")))
 
 
 def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id",
@@ -126,6 +136,9 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, doc_id: st
                .select(F.col("doc_id").alias("rep"), "shingles"))
 
     label = members.select(F.col("rep").alias("node")).distinct().withColumn("component", F.col("node"))
+    # What is known of each member's Jaccard distance to its bucket's first pivot.
+    members = members.withColumns({"least": F.lit(0.0), "most": F.lit(1.0)})
+    reach = 1 - percent / 100 + 1e-9
     links, tested, pivots = None, None, 1
     while True:
         labelled = members.join(label.withColumnRenamed("node", "rep"), "rep")
@@ -133,28 +146,38 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, doc_id: st
                       .where("x < y").select("band"))
         members = cut(labelled.join(open_bands, "band", "left_semi")
                       .withColumn("place", F.row_number().over(Window.partitionBy("band").orderBy("rep")))
-                      .select("band", "rep", "n", "component", "place"))
+                      .select("band", "rep", "n", "component", "least", "most", "place"))
         if members.isEmpty():
             break
         first = members.where(F.col("place") <= pivots).select(
-            "band", F.col("rep").alias("a"), F.col("n").alias("n_a"),
-            F.col("component").alias("of_a"), F.col("place").alias("at"))
+            "band", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("of_a"),
+            F.col("least").alias("least_a"), F.col("most").alias("most_a"), F.col("place").alias("at"))
         alike = F.least("n", "n_a") * 100 >= F.greatest("n", "n_a") * percent
+        # Distances obey the triangle inequality.
+        close = (F.col("least") - F.col("most_a") <= reach) & (F.col("least_a") - F.col("most") <= reach)
         pairs = (members.join(first, "band")
-                 .where((F.col("place") > F.col("at")) & (F.col("component") != F.col("of_a")) & alike)
+                 .where((F.col("place") > F.col("at")) & (F.col("component") != F.col("of_a")) & alike & close)
                  .select("a", F.col("rep").alias("b")).distinct())
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = cut(pairs)
-        new = cut(_confirmed(pairs, sets, percent))
+        seen = cut(_compared(pairs, sets))
+        new = seen.where(F.col("i") * 100 >= F.col("u") * percent).select("a", "b")
         tested = pairs if tested is None else tested.union(pairs)
         links = new if links is None else links.union(new)
         if not new.isEmpty():
             found = components(links)
             label = cut(label.join(found.withColumnRenamed("component", "better"), "node", "left")
                         .select("node", F.coalesce("better", "component").alias("component")))
-        # A pivot has met every member of its bucket.
-        members = members.where(F.col("place") > pivots).select("band", "rep", "n")
+        rest = members.where(F.col("place") > pivots)  # a pivot has met every member of its bucket
+        if pivots == 1:
+            far = 1 - F.col("i") / F.col("u")
+            by_size = 1 - F.least("n", "n_a") / F.greatest("n", "n_a")
+            rest = (rest.join(first.select("band", "a", "n_a"), "band")
+                    .join(seen.withColumnRenamed("b", "rep"), ["a", "rep"], "left")
+                    .select("band", "rep", "n", F.coalesce(far, by_size).alias("least"),
+                            F.coalesce(far, F.lit(1.0)).alias("most")))
+        members = rest.select("band", "rep", "n", "least", "most")
         pivots *= 4
 
     named = classes.join(label.withColumnRenamed("node", "rep"), "rep", "left").select(
