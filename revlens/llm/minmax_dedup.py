@@ -6,13 +6,14 @@ evaluations.  Bands of the signature propose pairs; every pair is confirmed
 on the full sets, and linked documents form components.
 
 Equal sets are one class from the start and only their smallest document
-goes on.  Within a band bucket nothing like all pairs is made: a few pivots
-are compared with the members, the components are merged, and only buckets
-that still hold several components go into the next round with four times
-the pivots, until every bucket is one component or fully compared.  Pairs
-whose distances to their bucket's first pivot differ by more than the
-allowed distance can't be linked, by the triangle inequality, and are not
-made.
+goes on.  Within a band bucket nothing like all pairs is made: a pivot is
+compared with the members, the components are merged, and buckets that still
+hold several components get four pivots more.  Pairs whose distances to
+their bucket's first pivot differ by more than the allowed distance can't be
+linked, by the triangle inequality, and are not made.  In buckets that are
+open after that (a large class and documents just beyond its reach) the
+members outside the largest component are compared with all members in
+bounded blocks.
 
 Defined cases: null or word-less texts have an empty set and stay alone;
 repeated rows fall in one class; rows of equal id are one node; rows without
@@ -39,6 +40,10 @@ BANDS, PER_BAND = 48, 3
 _CHUNK = 2048
 #: Pairs that are sent to the sets instead of the sets to them (16 bytes each).
 BROADCAST_PAIRS = 50_000
+#: Pivots of the last round of pairs; what is open then is compared in blocks
+#: of so many members against so many of the others.
+PIVOTS = 4
+BLOCK_MEMBERS, BLOCK_OTHERS = 2_048, 512
 
 
 def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,6 +122,49 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .select("a", "b", "i", (F.col("n") - F.col("i")).alias("u")))
 
 
+def _stubborn(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) across the components of buckets that stay open.
+
+    Within a bucket every member outside its largest component is compared
+    with all members, block against block: no pair becomes a row unless it
+    is a link, and a task holds one block of either side.
+    """
+    sizes = members.groupBy("band", "component").count()
+    facts = (sizes.groupBy("band").agg(F.max_by("component", F.struct("count", "component")).alias("largest"),
+                                       F.sum("count").alias("rows"), F.max("count").alias("top"))
+             .select("band", "largest", F.expr(f"(rows - 1) div {BLOCK_MEMBERS}").alias("chunks"),
+                     F.expr(f"(rows - top - 1) div {BLOCK_OTHERS}").alias("blocks")))
+    own = members.select("band", "rep", "component").join(facts, "band").join(sets, "rep")
+    place = F.row_number().over(Window.partitionBy("band").orderBy("rep")) - 1
+    chunk = F.floor(place / BLOCK_MEMBERS)
+    every = lambda last: F.explode(F.sequence(F.lit(0).cast("long"), F.col(last)))
+    against = own.withColumn("chunk", chunk).withColumn("block", every("blocks"))
+    others = (own.where("component != largest").withColumn("block", F.floor(place / BLOCK_OTHERS))
+              .withColumn("chunk", every("chunks")))
+    columns = ["band", "block", "chunk", "rep", "component", "shingles"]
+
+    def compare(_, u: pd.DataFrame, m: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(u) and len(m):
+            flat = np.concatenate(m["shingles"].to_list())
+            known, flat = np.unique(flat, return_inverse=True)
+            n = m["shingles"].map(len).to_numpy()
+            starts = np.cumsum(n) - n
+            reps, comps = m["rep"].to_numpy(), m["component"].to_numpy()
+            for rep, comp, own in zip(u["rep"], u["component"], u["shingles"]):
+                at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                mark = np.zeros(len(known), np.int64)
+                mark[at[known[at] == own]] = 1
+                both = np.add.reduceat(mark[flat], starts)
+                near = (both * 100 >= (len(own) + n - both) * percent) & (comps != comp)
+                found += [(min(rep, r), max(rep, r)) for r in reps[near].tolist()]
+        return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
+
+    keys = ("band", "block", "chunk")
+    return (others.select(columns).groupBy(*keys).cogroup(against.select(columns).groupBy(*keys))
+            .applyInPandas(compare, "a long, b long").distinct())
+
+
 def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``df``."""
@@ -149,26 +197,31 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, doc_id: st
                       .select("band", "rep", "n", "component", "least", "most", "place"))
         if members.isEmpty():
             break
-        first = members.where(F.col("place") <= pivots).select(
-            "band", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("of_a"),
-            F.col("least").alias("least_a"), F.col("most").alias("most_a"), F.col("place").alias("at"))
-        alike = F.least("n", "n_a") * 100 >= F.greatest("n", "n_a") * percent
-        # Distances obey the triangle inequality.
-        close = (F.col("least") - F.col("most_a") <= reach) & (F.col("least_a") - F.col("most") <= reach)
-        pairs = (members.join(first, "band")
-                 .where((F.col("place") > F.col("at")) & (F.col("component") != F.col("of_a")) & alike & close)
-                 .select("a", F.col("rep").alias("b")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
-        seen = cut(_compared(pairs, sets))
-        new = seen.where(F.col("i") * 100 >= F.col("u") * percent).select("a", "b")
-        tested = pairs if tested is None else tested.union(pairs)
+        last = pivots > PIVOTS
+        if last:
+            new = cut(_stubborn(members, sets, percent))
+        else:
+            first = members.where(F.col("place") <= pivots).select(
+                "band", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("of_a"),
+                F.col("least").alias("least_a"), F.col("most").alias("most_a"), F.col("place").alias("at"))
+            alike = F.least("n", "n_a") * 100 >= F.greatest("n", "n_a") * percent
+            # Distances obey the triangle inequality.
+            close = (F.col("least") - F.col("most_a") <= reach) & (F.col("least_a") - F.col("most") <= reach)
+            pairs = (members.join(first, "band")
+                     .where((F.col("place") > F.col("at")) & (F.col("component") != F.col("of_a")) & alike & close)
+                     .select("a", F.col("rep").alias("b")).distinct())
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            tested = pairs = cut(pairs)
+            seen = cut(_compared(pairs, sets))
+            new = seen.where(F.col("i") * 100 >= F.col("u") * percent).select("a", "b")
         links = new if links is None else links.union(new)
         if not new.isEmpty():
             found = components(links)
             label = cut(label.join(found.withColumnRenamed("component", "better"), "node", "left")
                         .select("node", F.coalesce("better", "component").alias("component")))
+        if last:
+            break
         rest = members.where(F.col("place") > pivots)  # a pivot has met every member of its bucket
         if pivots == 1:
             far = 1 - F.col("i") / F.col("u")
