@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from revlens.llm.attention_lm import lm_scores
 from revlens.llm.minmax_dedup import near_duplicates
+from revlens.llm.oracles import ORACLE_SQL  # noqa: F401 - read by the entry module
 from revlens.llm.packing import best_fit_packing
 from revlens.llm.sentencepiece_fst import encode_documents
 from revlens.llm.simhash import document_fingerprints
@@ -86,4 +87,3 @@ QUERIES = {f.__name__: f for f in (
     op1_minmax_near_dedup, op2_substring_dedup, op3_exact_top_k, op4_toxicity, op5_quality,
     op6_best_fit_packing, op7_lm_scoring, op8_sentencepiece_fst,
     op9_token_counts, op10_simhash)}
-ORACLE_SQL: dict[str, str] = {}

@@ -1,0 +1,47 @@
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+
+SF = "/root/testdata/sf0.001"
+EDGES = [
+    (1, None, "en"), (2, "", "en"), (3, " \n\t ", None), (4, "one", "en"), (5, "one", "en"), (5, "one", "en"),
+    (7, "ONE two  three.\nFour five? Six!", "de"), (8, "one two three.\nfour five? six!", "de"),
+    (9, "é 日本 \U0001f642 <|endoftext|> it's we'll  x y", "fr"), (10, "the of and " * 3000, "en"),
+    (None, "row without an id", None),
+]
+SCHEMA = "doc_id long, text string, lang string"
+
+
+@pytest.fixture
+def edges(spark):
+    """Nulls, empty and long texts, ties, repeated rows, clashing extra columns."""
+    df = spark.createDataFrame(EDGES, SCHEMA)
+    for name in ("rep", "key", "score", "label", "n", "run", "set_key", "band"):
+        df = df.selectExpr("*", f"'x' AS {name}")
+    return df
+
+
+@pytest.fixture
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet").cache()
+
+
+@pytest.fixture(scope="session")
+def queries():
+    return entry.queries()
+
+
+@pytest.fixture
+def oracle():
+    def rows(sql):
+        con = duckdb.connect()
+        for t in ("documents", "embeddings", "labels"):
+            con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+        return con.sql(sql).fetchall()
+    return rows
