@@ -201,14 +201,18 @@ def fit(sample: DataFrame) -> tuple[list[str], np.ndarray]:
             yield pd.DataFrame({"label": part["label"], "found": [lexicon(t or "") for t in part["text"]]})
 
     seen = sample.mapInPandas(find, "label int, found array<int>").toPandas()
-    x = _dense(seen["found"].tolist(), width)
+    # Most texts hold no entry: rows of equal entries are one row of x.
+    places: dict[tuple, int] = {}
+    row = np.array([places.setdefault(tuple(f), len(places)) for f in seen["found"]])
+    x = _dense(list(places), width)
     said = [np.where(x[:, own].any(1), 1, 0) for own in voters(entries)]
     said += [x[:, len(entries) + k] for k in range(len(PATTERNS))]
     said.append(np.where(x[:, :len(entries)].any(1), 0, -1))  # no entry of any lexicon: clean
     marked = (seen["label"] == 1).to_numpy()
-    said.append(np.where(marked, 1, -1))  # the marking, as one voter among many
-    post = label_model(np.stack(said, 1).astype(float), np.where(marked, 0.9, 0.02), toxic / (toxic + clean))
-    return entries, fit_logistic(x, post, ridge=0.2)
+    votes = np.column_stack([np.stack(said, 1)[row], np.where(marked, 1, -1)])  # the marking, as one voter among many
+    post = label_model(votes.astype(float), np.where(marked, 0.9, 0.02), toxic / (toxic + clean))
+    times = np.bincount(row, minlength=len(x))
+    return entries, fit_logistic(x, np.bincount(row, weights=post, minlength=len(x)) / times, 0.2, times=times)
 
 
 def toxicity_scores(df: DataFrame, labelled: DataFrame, doc_id: str = "doc_id", text: str = "text",
