@@ -25,6 +25,7 @@ def prepare(spark: SparkSession) -> None:
 
     The package is sent along only when the workers' PYTHONPATH lacks it.
     """
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")  # collected tables stay columns
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.abspath(revlens.__file__)))
