@@ -374,7 +374,7 @@ grams AS (
   SELECT n, unnest(list_transform(range(1, len(tokens) - n + 2),
                                   lambda i: array_to_string(tokens[i:i + n - 1], ' '))) AS ngram
   FROM toks, (VALUES (1), (2), (3)) v(n))
-SELECT n, ngram, count(*) AS ngram_count FROM grams GROUP BY n, ngram HAVING count(*) >= 2""")
+SELECT n, ngram, count(*) AS ngram_count FROM grams GROUP BY n, ngram""")
 
 # -------------------------------------------------------------- naive Bayes
 NB_CTE = SPLIT_CTE + f""",

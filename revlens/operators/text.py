@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from revlens.operators.partitioning import spread_for_cpu
 from revlens.functions.text import (
     add_label_prefix, explode_tokens, normalize_for_training, strip_label_prefix,
     tokenize_text, tokens_of, word_ngrams,
@@ -32,19 +31,19 @@ SAMPLE_SCORING_REVIEWS = [
 
 
 def normalize_reviews(df: DataFrame, text_col: str = "review_body") -> DataFrame:
-    return spread_for_cpu(df).withColumn(text_col, normalize_for_training(text_col))
+    return df.withColumn(text_col, normalize_for_training(text_col))
 
 
 def tokenize_reviews(df: DataFrame, text_col: str = "review_body",
                      out_col: str = "tokens_text") -> DataFrame:
     """Adds the tokenised text (space-joined) as ``out_col``."""
-    return spread_for_cpu(df).withColumn(out_col, tokenize_text(text_col))
+    return df.withColumn(out_col, tokenize_text(text_col))
 
 
 def prepare_training_rows(df: DataFrame, label_col: str = "sentiment",
                           text_col: str = "review_body") -> DataFrame:
     """``__label__<y>`` label and tokenised, lower-cased body, as one select."""
-    return spread_for_cpu(df).withColumns({label_col: add_label_prefix(label_col),
+    return df.withColumns({label_col: add_label_prefix(label_col),
                            text_col: tokenize_text(text_col)})
 
 
@@ -56,7 +55,7 @@ def label_prefix_table(df: DataFrame, label_col: str = "label") -> DataFrame:
 
 def with_tokens(df: DataFrame, text_col: str = "review_body", tokens_col: str = "tokens") -> DataFrame:
     """Array of tokens of the (normalised) review text."""
-    return spread_for_cpu(df).withColumn(tokens_col, tokens_of(tokenize_text(text_col)))
+    return df.withColumn(tokens_col, tokens_of(tokenize_text(text_col)))
 
 
 def token_counts(df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
@@ -78,14 +77,15 @@ def _tagged_ngrams(tokens_col: str, n: int):
 
 
 def ngram_counts(df: DataFrame, tokens_col: str = "tokens", max_n: int = 3,
-                 min_count: int = 2) -> DataFrame:
-    """Corpus frequency of word n-grams, n = 1..max_n, kept if >= min_count."""
+                 min_count: int = 1) -> DataFrame:
+    """Corpus frequency of all word n-grams, n = 1..max_n (of those seen at
+    least ``min_count`` times, where a caller asks for that)."""
     grams = F.concat(*[_tagged_ngrams(tokens_col, n) for n in range(1, max_n + 1)])
     per_n = (df.select(explode_tokens(grams).alias("x"))
              .where(F.col("x").isNotNull())
              .select("x.n", "x.ngram"))
-    return (per_n.groupBy("n", "ngram").agg(F.count(F.lit(1)).alias("ngram_count"))
-            .where(F.col("ngram_count") >= min_count))
+    counts = per_n.groupBy("n", "ngram").agg(F.count(F.lit(1)).alias("ngram_count"))
+    return counts if min_count <= 1 else counts.where(F.col("ngram_count") >= min_count)
 
 
 def add_ngrams(df: DataFrame, tokens_col: str = "tokens", max_n: int = 3,
