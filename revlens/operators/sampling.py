@@ -16,7 +16,8 @@ digits sort like the hash):
    only the rows of those buckets are histogrammed again on two more hex
    digits (each level shrinks a bucket 256-fold), so a hot group of any
    size ends with a bounded bucket;
-4. *boundary*: the rows of the last boundary bucket per group are ranked;
+4. *boundary*: the rows of the last boundary bucket per group are ranked,
+   which gives each group the (hash, id) of the last row it takes;
 5. *flag*: every row is compared with its group's thresholds through
    (size-proved) broadcast joins -- no shuffle of the data itself.
 
@@ -119,10 +120,11 @@ def flag_first_rows(k: Keyed, quota, flag: str = "_selected",
                   .where(hash_bucket("_h", digits) == F.col("_cut")))
         if biggest <= rank_limit or digits + STEP_DIGITS > MAX_DIGITS:
             rank = Window.partitionBy(*g).orderBy("_h", k.id_col)
+            # One row per group: the last one taken of its boundary bucket.
             boundary, b_rows = small_local_copy(
                 in_cut.withColumn("_rn", F.row_number().over(rank))
-                .where(F.col("_rn") <= F.col("_r"))
-                .select(k.id_col, F.lit(True).alias("_in_boundary")),
+                .where(F.col("_rn") == F.col("_r"))
+                .select(*g, F.struct(F.col("_h").alias("h"), F.col(k.id_col).alias("id")).alias("_last")),
                 max_broadcast_rows)
             boundary = side(boundary, b_rows)
             break
@@ -140,7 +142,7 @@ def flag_first_rows(k: Keyed, quota, flag: str = "_selected",
         out = out.join(side(t.select(*g, F.col("_b_star").alias(f"_bs{i}"),
                                      F.col("_full").alias(f"_fl{i}")), r), g, "left")
     if boundary is not None:
-        out = out.join(boundary, k.id_col, "left")
+        out = out.join(boundary, g, "left")
     # Innermost level first: inside the last boundary bucket a row is chosen
     # when the bucket is taken whole or the row was ranked in.
     last = len(levels) - 1
@@ -148,14 +150,15 @@ def flag_first_rows(k: Keyed, quota, flag: str = "_selected",
     at_last = hash_bucket("_h", d_last) == F.col(f"_bs{last}")
     chosen = F.col(f"_fl{last}")
     if boundary is not None:
-        chosen = chosen | F.col("_in_boundary").isNotNull()
+        own = F.struct(F.col("_h").alias("h"), F.col(k.id_col).alias("id"))
+        chosen = chosen | F.coalesce(own <= F.col("_last"), F.lit(False))
     chosen = (hash_bucket("_h", d_last) < F.col(f"_bs{last}")) | (at_last & chosen)
     for i in range(last - 1, -1, -1):
         p = hash_bucket("_h", levels[i][0])
         chosen = (p < F.col(f"_bs{i}")) | ((p == F.col(f"_bs{i}")) & (F.col(f"_fl{i}") | chosen))
     out = out.withColumn(flag, F.coalesce(chosen, F.lit(False)))
     helpers = [f"_bs{i}" for i in range(len(levels))] + [f"_fl{i}" for i in range(len(levels))]
-    return out.drop(*helpers, "_in_boundary", *_HELPERS)
+    return out.drop(*helpers, "_last", *_HELPERS)
 
 
 def _not_null(df: DataFrame, cols) -> DataFrame:
