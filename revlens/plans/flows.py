@@ -3,6 +3,8 @@ trip.  Written tables go to the session's shared checkpoint folder."""
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from revlens.session import scratch_path
@@ -22,8 +24,10 @@ def csv_roundtrip(spark: SparkSession, df: DataFrame, name: str = "clean_reviews
 def register_reviews_table(spark: SparkSession, clean: DataFrame, key: str,
                            database: str = "review_analytics", table: str = "reviews") -> str:
     """Write the three review columns as CSV, create the database and the
-    CSV-backed table once per (session, key), return the qualified name."""
-    cache_key = (spark.sparkContext.applicationId, key, database, table)
+    CSV-backed table once per (session, key), return the qualified name.
+    The key (the data folder) is part of the table's name."""
+    table = f"{table}_{zlib.crc32(key.encode()):08x}"  # one table per data folder
+    cache_key = (spark.sparkContext.applicationId, database, table)
     if cache_key in _REGISTERED:
         return _REGISTERED[cache_key]
     path = scratch_path(spark, "reviews-table")
@@ -50,6 +54,6 @@ def write_raw_reviews_csv(spark: SparkSession, df: DataFrame, path: str) -> str:
         F.lit(None).cast("string").alias("Division Name"),
         F.lit(None).cast("string").alias("Department Name"),
         F.col("product_category").alias("Class Name"))
-    # The index column has an empty header, as in a file written with an index.
+    # The index column has a blank header, as good as unnamed.
     write_clean_csv(raw.withColumnRenamed("_index", " "), path)
     return path
