@@ -1,20 +1,32 @@
 """Joins with an explicit, checked size bound for broadcasting.
 
-A side is broadcast only after an action proved it holds at most
-``max_rows`` rows (the probe reads at most ``max_rows + 1``); beyond that
-the join stays a shuffle join -- salted for one-row-per-key lookup tables,
-otherwise left to AQE's skew splitting.
+A side is broadcast only after an action proved its size in bytes (rows
+times fixed width, plus the text it holds); beyond the bound the join stays a
+shuffle join -- salted for one-row-per-key lookup tables, otherwise left to
+AQE's skew splitting.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BinaryType, StringType
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def size_in_bytes(df: DataFrame) -> int:
+    """Rows times 16 bytes a column and 16 a row, plus the bytes of texts."""
+    texts = [F.octet_length(f"`{f.name}`") for f in df.schema
+             if isinstance(f.dataType, (StringType, BinaryType))]
+    own = F.lit(0).cast("bigint")
+    for t in texts:
+        own = own + F.coalesce(t, F.lit(0))
+    n, text = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(own), F.lit(0))).first()
+    return n * 16 * (len(df.columns) + 1) + text
+
+
+def fits(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    return size_in_bytes(df) <= max_bytes
 
 
 def salted_lookup_join(big: DataFrame, lookup: DataFrame, key: str, spread_col: str,
@@ -33,10 +45,10 @@ def salted_lookup_join(big: DataFrame, lookup: DataFrame, key: str, spread_col:
 
 
 def lookup_join(big: DataFrame, lookup: DataFrame, key: str, spread_col: str,
-                how: str = "left", max_rows: int = DEFAULT_BROADCAST_ROWS,
+                how: str = "left", max_bytes: int = DEFAULT_BROADCAST_BYTES,
                 salts: int = 32) -> DataFrame:
     """Broadcast the lookup table when it proved small, else a salted join."""
-    if fits(lookup, max_rows):
+    if fits(lookup, max_bytes):
         return big.join(F.broadcast(lookup), key, how)
     return salted_lookup_join(big, lookup, key, spread_col, how, salts)
 
@@ -48,7 +60,7 @@ def small_local_copy(df: DataFrame, max_rows: int = LOCAL_COPY_ROWS):
     """Materialise a small aggregate once.
 
     One job reads at most ``max_rows + 1`` rows.  If that proves the table
-    small, it comes back as a local relation -- no lineage, safe to
+    small, it comes back as a local table -- no lineage, safe to
     broadcast, nothing recomputed -- and ``(df_local, rows)`` is returned.
     Otherwise the table is written to the shared checkpoint folder and
     ``(df_checkpointed, None)`` is returned: callers then join by shuffle.

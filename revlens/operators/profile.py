@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from revlens.functions.text import word_count
+from revlens.operators.joins import small_local_copy
 
 # Percentiles reported by the word-count description and the
 # histogram layout (100 bins over [0, 256], last bin closed).
@@ -87,33 +88,24 @@ def crosscount(df: DataFrame, cat: str = "product_category", label: str = "senti
     """Rows per (sentiment, category): the data behind a grouped count plot.
 
     ``zero_fill`` reports 0 for an observed sentiment missing in a category
-    (the observed grid) -- a pivot over the observed labels and an unpivot,
-    not a cross join.  Null keys form their own rows, as in the plain count.
+    (the observed grid): each category explodes the observed labels.  Null keys form their own rows, as in the plain count.
     """
     if not zero_fill:
         return (df.groupBy(label, cat).agg(F.count(F.lit(1)).alias("count_reviews"))
                 .orderBy(F.col(label).asc_nulls_last(), F.col(cat).asc_nulls_last()))
-    labels = [r[0] for r in df.select(label).distinct().limit(max_labels + 1).collect()]
+    # The counted cells are the only pass over the data; labels come from them.
+    cells, _ = small_local_copy(df.groupBy(label, cat).agg(F.count(F.lit(1)).alias("count_reviews")))
+    labels = [r[0] for r in cells.select(label).distinct().limit(max_labels + 1).collect()]
     if len(labels) > max_labels:
         raise ValueError(f"{label} has more than {max_labels} values")
-    observed = [v for v in labels if v is not None]
-    parts = []
-    if observed:
-        observed.sort()
-        pivoted = (df.where(F.col(label).isNotNull())
-                   .groupBy(cat).pivot(label, observed).agg(F.count(F.lit(1))))
-        cols = pivoted.columns[1:]
-        label_type = dict(df.dtypes)[label]
-        pairs = ", ".join(f"CAST({v!r} AS {label_type}), coalesce(`{c}`, 0)"
-                          for v, c in zip(observed, cols))
-        parts.append(pivoted.select(
-            F.expr(f"stack({len(cols)}, {pairs}) AS ({label}, count_reviews)"), cat))
-    if None in labels:
-        parts.append(df.where(F.col(label).isNull()).groupBy(label, cat)
-                     .agg(F.count(F.lit(1)).alias("count_reviews")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    observed = sorted(v for v in labels if v is not None)
+    # Each category asks for every observed label; absent cells count 0.
+    grid = (cells.where(F.col(label).isNotNull()).select(cat).distinct()
+            .withColumn(label, F.explode(F.array(*map(F.lit, observed)).cast(f"array<{dict(df.dtypes)[label]}>"))))
+    kept = cells.select(F.col(label).alias("_l"), F.col(cat).alias("_c"), "count_reviews")
+    filled = (grid.join(kept, F.col("_l").eqNullSafe(F.col(label)) & F.col("_c").eqNullSafe(F.col(cat)), "left")
+              .select(label, cat, F.coalesce("count_reviews", F.lit(0)).alias("count_reviews")))
+    out = filled.unionByName(cells.where(F.col(label).isNull()).select(label, cat, "count_reviews"))
     return (out.select(label, cat, F.col("count_reviews").cast("bigint").alias("count_reviews"))
             .orderBy(F.col(label).asc_nulls_last(), F.col(cat).asc_nulls_last()))
 

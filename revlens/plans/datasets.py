@@ -1,11 +1,8 @@
 """Cleaned datasets derived from the stand-in tables (see FIXTURES.md).
 
-The cleaned reviews are written once per (application, data folder) as
-Parquet into the shared checkpoint folder -- the written-table step of the
-workflow (clean, write, then query the written table).  Every later pass
-then reads only the columns it needs: cleaning needs ``review_body IS NOT
-NULL``, which would otherwise make every narrow pass (category counts,
-hash histograms, split quotas) read the whole review text again.
+Both are lazy frames: a query that counts categories scans the columns it
+needs and writes nothing.  Only the jobs (``plans/jobs.py``) and the flows
+write tables, where writing is the feature.
 """
 
 from __future__ import annotations
@@ -15,32 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from revlens.operators.cleaning import (
     clean_reviews, drop_incomplete, label_sentiment, rare_category_filter,
 )
-from revlens.session import scratch_path
 from revlens.sources.tables import order_reviews, reviews
 
-_WRITTEN: dict = {}
-
-
-def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """``build()`` written once as Parquet under the shared folder, then read."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _WRITTEN:
-        path = scratch_path(spark, name)
-        build().write.mode("overwrite").parquet(path)
-        _WRITTEN[key] = path
-    return spark.read.parquet(_WRITTEN[key])
-
 
 def clean_fixture_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, sentiment, review_body, product_category (language) of every
     labelled document, rare categories (<= 10 rows) removed."""
-    return materialized(spark, sf_dir, "clean-reviews",
-                        lambda: clean_reviews(reviews(spark, sf_dir), keep_columns=["id"]))
+    return clean_reviews(reviews(spark, sf_dir), keep_columns=["id"])
 
 
 def clean_order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, sentiment, product_category (market segment) of every order."""
-    def build():
-        df = drop_incomplete(order_reviews(spark, sf_dir), ("star_rating", "product_category"))
-        return rare_category_filter(label_sentiment(df)).select("id", "sentiment", "product_category")
-    return materialized(spark, sf_dir, "clean-order-reviews", build)
+    df = drop_incomplete(order_reviews(spark, sf_dir), ("star_rating", "product_category"))
+    return rare_category_filter(label_sentiment(df)).select("id", "sentiment", "product_category")

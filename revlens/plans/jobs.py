@@ -7,7 +7,7 @@ paths.  The plot-ready tables are the outputs; nothing is drawn.
 profile_job   raw review CSV -> clean CSV -> catalog table -> SQL profile
 bias_job      clean CSV -> bias report -> balanced CSV -> bias report again
 train_job     balanced CSV -> training text (train/validation) -> candidate
-              leaderboard -> best n-gram model -> scored sample reviews
+              leaderboard -> best candidate -> scored sample reviews
 """
 
 from __future__ import annotations
@@ -36,9 +36,17 @@ def _write_json(df: DataFrame, path: str) -> str:
     return path
 
 
-def with_row_id(df: DataFrame) -> DataFrame:
-    """A stable row id for files that carry none (seeded sampling needs one)."""
-    return df.withColumn("id", F.monotonically_increasing_id())
+def with_row_id(df: DataFrame, path: str) -> DataFrame:
+    """Rows with an ``id`` from their content, written once under ``path``.
+
+    The id hashes every column and, for equal rows, a running number.  Equal
+    rows are counted (partial aggregation) and spread out again, so the ids
+    depend neither on the files' packing nor on the order of the rows.
+    """
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_times"))
+    numbered = counted.withColumn("_tie", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times"))))
+    numbered.select(F.xxhash64(*df.columns, "_tie").alias("id"), *df.columns).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def profile_job(spark: SparkSession, raw_path: str, output: str,
@@ -75,27 +83,42 @@ def bias_job(spark: SparkSession, clean_path: str, output: str,
     cfg = read_bias_config(spark, config_path) if config_path else BiasConfig(
         label="sentiment", positive_values=[1], facets=["product_category"],
         methods=list(bias.ALL_METHODS))
-    facet = cfg.facets[0]
-    clean = with_row_id(read_clean_reviews(spark, clean_path))
-    out["crosscount_unbalanced"] = _write_json(profile.crosscount(clean, facet, cfg.label),
-                                               _path(output, "crosscount/unbalanced"))
-    out["bias_unbalanced"] = _write_json(bias.bias_report_from_config(clean, cfg),
-                                         _path(output, "bias/unbalanced"))
-    balanced = sampling.balance_by_downsampling(clean, (facet, cfg.label), "id", seed)
+    clean = with_row_id(read_clean_reviews(spark, clean_path), _path(output, "rows/clean"))
+    missing = [h for h in cfg.headers if h not in clean.columns]
+    if missing:
+        raise ValueError(f"headers of the configuration that the data lacks: {missing}")
+
+    def crosscounts(df: DataFrame, name: str) -> str:
+        """Per facet, under the facet's name when there are several."""
+        for facet in cfg.facets:
+            at = name if len(cfg.facets) == 1 else f"{name}/{facet}"
+            _write_json(profile.crosscount(df, facet, cfg.label), _path(output, at))
+        return _path(output, name)
+
+    def report(df: DataFrame, name: str) -> str:
+        found = bias.bias_report_from_config(df, cfg)
+        return _write_json(found.withColumn("title", F.lit(cfg.report_title)), _path(output, name))
+
+    out["crosscount_unbalanced"] = crosscounts(clean, "crosscount/unbalanced")
+    out["bias_unbalanced"] = report(clean, "bias/unbalanced")
+    # Every combination of the facets' values and the label gets equally many rows.
+    balanced = sampling.balance_by_downsampling(clean, (*cfg.facets, cfg.label), "id", seed)
     out["balanced_csv"] = _path(output, "balanced")
     write_clean_csv(balanced.drop("id"), out["balanced_csv"])
-    rebalanced = with_row_id(read_clean_reviews(spark, out["balanced_csv"]))
-    out["crosscount_balanced"] = _write_json(profile.crosscount(rebalanced, facet, cfg.label),
-                                             _path(output, "crosscount/balanced"))
-    out["bias_balanced"] = _write_json(bias.bias_report_from_config(rebalanced, cfg),
-                                       _path(output, "bias/balanced"))
+    rebalanced = read_clean_reviews(spark, out["balanced_csv"])
+    out["crosscount_balanced"] = crosscounts(rebalanced, "crosscount/balanced")
+    out["bias_balanced"] = report(rebalanced, "bias/balanced")
     return out
 
 
 def train_job(spark: SparkSession, balanced_path: str, output: str, seed: int = 42,
-              test_size: float = 0.1, candidates=None) -> dict:
+              test_size: float = 0.1, candidates=None, max_candidates: int = 3,
+              target: str = "sentiment") -> dict:
     out = {}
-    df = with_row_id(read_clean_reviews(spark, balanced_path)).where(F.col("sentiment").isNotNull())
+    rows = read_clean_reviews(spark, balanced_path)
+    if target != "sentiment":
+        rows = rows.drop("sentiment").withColumnRenamed(target, "sentiment")
+    df = with_row_id(rows.where(F.col("sentiment").isNotNull()), _path(output, "rows/balanced"))
     out["projection_csv"] = _path(output, "projection")
     write_training_projection(df, out["projection_csv"])
     split = sampling.stratified_split(df, "sentiment", test_size, "id", seed)
@@ -106,16 +129,13 @@ def train_job(spark: SparkSession, balanced_path: str, output: str, seed: int =
         write_labelled_text(prepared.where(F.col("split") == part), out[f"{part}_text"], prefixed=True)
     train = split.where(F.col("split") == "train")
     validation = split.where(F.col("split") == "validation")
-    results = cand.fit_candidates(train, validation, candidates)
+    results = cand.fit_candidates(train, validation, candidates, max_candidates=max_candidates)
     out["leaderboard"] = _write_json(cand.leaderboard(spark, results), _path(output, "leaderboard"))
-    best_pipeline = next((r.model for r in results if r.name == "ngram_lr"), None)
-    if best_pipeline is None:
-        best_pipeline = cand.fit_cached(cand.ngram_lr_pipeline(), train)
-    out["model"] = _path(output, "model/ngram_lr")
-    best_pipeline.write().overwrite().save(out["model"])
+    best = cand.best_result(results)
+    out["model"] = cand.save_candidate(best, _path(output, "model"))
     samples = spark.createDataFrame([(i, t) for i, t in enumerate(text.SAMPLE_SCORING_REVIEWS)],
                                     "id bigint, review_body string")
-    out["scores"] = _write_json(cand.score_reviews(best_pipeline, samples), _path(output, "scores"))
+    out["scores"] = _write_json(cand.score_with_candidate(best, samples), _path(output, "scores"))
     return out
 
 
@@ -132,14 +152,19 @@ def main(argv=None) -> None:
     b.add_argument("clean"), b.add_argument("output"), b.add_argument("--config")
     c = sub.add_parser("train", help="balanced CSV -> training text, candidates, model, scores")
     c.add_argument("balanced"), c.add_argument("output")
+    c.add_argument("--max-candidates", type=int, default=3), c.add_argument("--target", default="sentiment")
     p.add_argument("--master", default=os.environ.get("REVLENS_MASTER", "local[*]"))
     args = p.parse_args(argv)
-    spark = local_session(cpus=args.master[6:-1] if args.master.startswith("local[") else "*")
+    if args.master.startswith("local"):
+        spark = local_session(cpus=args.master[6:-1] or "*")
+    else:
+        spark = SparkSession.builder.master(args.master).appName("revlens").getOrCreate()
     if args.job == "profile":
         res = profile_job(spark, args.raw, args.output)
     elif args.job == "bias":
         res = bias_job(spark, args.clean, args.output, args.config)
     else:
-        res = train_job(spark, args.balanced, args.output)
+        res = train_job(spark, args.balanced, args.output, max_candidates=args.max_candidates,
+                        target=args.target)
     print(json.dumps(res, indent=2))
     spark.stop()

@@ -201,19 +201,25 @@ def q_min_cell_size_orders(spark, sf_dir):
     return profile.min_cell_size(clean_order_reviews(spark, sf_dir))
 
 
+def review_texts(spark, sf_dir):
+    """id and review_body alone: word counts need no labels."""
+    return load_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"),
+                                                          F.col("text").alias("review_body"))
+
+
 @query("review_word_counts")
 def q_review_word_counts(spark, sf_dir):
-    return profile.review_word_counts(reviews(spark, sf_dir))
+    return profile.review_word_counts(review_texts(spark, sf_dir))
 
 
 @query("word_count_describe")
 def q_word_count_describe(spark, sf_dir):
-    return round_doubles(profile.word_count_describe(reviews(spark, sf_dir)))
+    return round_doubles(profile.word_count_describe(review_texts(spark, sf_dir)))
 
 
 @query("word_count_histogram")
 def q_word_count_histogram(spark, sf_dir):
-    return round_doubles(profile.word_count_histogram(reviews(spark, sf_dir)))
+    return round_doubles(profile.word_count_histogram(review_texts(spark, sf_dir)))
 
 
 # --------------------------------------------------------------------- bias
@@ -493,8 +499,7 @@ def q_score_reviews(spark, sf_dir):
     candidate of the leaderboard."""
     _, validation = _train_validation(spark, sf_dir)
     _, results = _leaderboard(spark, sf_dir)
-    best = max(results, key=lambda r: (r.accuracy if r.accuracy is not None else -1.0,
-                                       [-ord(c) for c in r.name]))
+    best = cand.best_result(results)
     samples = spark.createDataFrame(
         [(-(i + 1), t) for i, t in enumerate(text_ops.SAMPLE_SCORING_REVIEWS)],
         "id bigint, review_body string")

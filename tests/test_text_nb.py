@@ -73,11 +73,11 @@ def brute_nb(train_rows, test_rows, min_count=2, alpha=1.0):
     return preds
 
 
-@pytest.mark.parametrize("max_rows", [10**6, 0])  # broadcast, then the salted path
-def test_naive_bayes_matches_brute_force(spark, corpus, max_rows):
+@pytest.mark.parametrize("max_bytes", [10**6, 0])  # broadcast, then the salted path
+def test_naive_bayes_matches_brute_force(spark, corpus, max_bytes):
     data = T.with_tokens(corpus)
     model = nb.fit_naive_bayes(data)
-    pred = nb.predict_naive_bayes(model, data, keep=("sentiment",), max_broadcast_rows=max_rows)
+    pred = nb.predict_naive_bayes(model, data, keep=("sentiment",), max_broadcast_bytes=max_bytes)
     got = {r.id: r.prediction for r in pred.collect()}
     rows = data.orderBy("id").collect()
     exp = brute_nb([(r.sentiment, r.tokens) for r in rows], [r.tokens for r in rows])
