@@ -161,7 +161,8 @@ def _stubborn(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
 
     keys = ("band", "block", "chunk")
-    return (others.select(columns).groupBy(*keys).cogroup(against.select(columns).groupBy(*keys))
+    others = others.select(*(F.col(c).alias(c) for c in columns))  # told apart from the members' columns
+    return (others.groupBy(*keys).cogroup(against.select(columns).groupBy(*keys))
             .applyInPandas(compare, "a long, b long").distinct())
 
 
