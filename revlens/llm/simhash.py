@@ -69,7 +69,7 @@ def fingerprints(df: DataFrame, keys: list[str], texts: dict[str, Column]) -> Da
     each = (_with_terms(df.select(*keys, F.explode(which).alias("of")).select(
                 *keys, F.col("of.i").alias("__i"), F.col("of.t").alias("__text")), "__text")
             .select(*keys, "__i", F.posexplode_outer("terms").alias("__at", "term"))
-            .withColumn("term2", F.xxhash64("term", F.lit(1))))
+            .withColumn("term2", F.when(F.col("term").isNotNull(), F.xxhash64("term", F.lit(1)))))
     lanes = [f"v{j}" for j in range(BITS // 4)]
     narrow = (each.select(*keys, "__i", F.floor(F.coalesce("__at", F.lit(0)) / STRETCH).alias("__stretch"), "term",
                           *(v.alias(c) for v, c in zip(_votes(), lanes)))

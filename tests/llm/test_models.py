@@ -85,7 +85,7 @@ def test_attention_gradient_and_mask():
     rng = np.random.default_rng(0)
     model = attention.Attention.fresh(20, 7, np.zeros(7))
     ids = rng.integers(0, 20, (3, attention.WINDOW))
-    ids[0, :40] = -1
+    ids[0, :attention.WINDOW - attention.SCORED + 8] = -1
     want = rng.integers(-1, 7, (3, attention.SCORED))
     want[0, :8] = -1
     loss, grads = attention.gradient(model, ids, want)
