@@ -82,13 +82,32 @@ def dictionary(texts: list[bytes]) -> bytes:
         return b"".join(own)[-DICTIONARY_BYTES:]
 
 
+def _dictionaries(rows: DataFrame) -> tuple[bytes, bytes]:
+    """Of the good and of the bad texts, from equally many bytes of both."""
+    raw = rows.select("__id", "label", F.encode("text", "utf-8").alias("raw")).where("length(raw) > 0")
+    sizes = {r["label"]: r["n"] for r in raw.groupBy("label").agg(F.sum(F.length("raw")).alias("n")).collect()}
+    bound = min(DICTIONARY_TEXT, sizes.get(0, 0), sizes.get(1, 0))
+    out = []
+    for label in (1, 0):
+        taken, size = [], 0
+        ordered = raw.where(F.col("label") == label).orderBy(F.xxhash64("__id"), "raw")
+        for row in ordered.toLocalIterator() if bound else ():
+            taken.append(bytes(row["raw"]))
+            size += len(taken[-1])
+            if size >= bound:
+                break
+        out.append(dictionary(taken) if taken else b"")
+    return tuple(out)
+
+
 def quality_scores(df: DataFrame, labelled: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    rows: int = LABELLED_ROWS) -> Column:
     """Score column for ``df``: probability that a text is good.
 
     ``labelled`` has columns doc_id and label (1: good); at most ``rows`` of
-    them, dealt by a hash of the id, are used: half for dictionaries, half
-    for the curve.
+    them, dealt by a hash of the id, are used.  Two halves give a pair of
+    dictionaries each; the curve is fitted on every row's sizes with the
+    other half's pair, and the first pair serves the scores.
     """
     dealt = F.pmod(F.xxhash64("__id", F.lit(7)), F.lit(2))
     chosen = (labelled.where("label in (0, 1) and doc_id is not null")
@@ -96,26 +115,19 @@ def quality_scores(df: DataFrame, labelled: DataFrame, doc_id: str = "doc_id", t
               .orderBy(F.xxhash64("__id"), "__id", "label").limit(rows))
     sample = cut(df.select(df[doc_id].cast("long").alias("__id"), df[text].alias("text"))
                  .join(F.broadcast(chosen), "__id").withColumn("side", dealt))
-    material = sample.where("side = 0").select("__id", "label", F.encode("text", "utf-8").alias("raw"))
-    dictionaries = []
-    for label in (1, 0):
-        taken, size = [], 0
-        for row in material.where(F.col("label") == label).orderBy(F.xxhash64("__id"), "raw").toLocalIterator():
-            if row["raw"]:
-                taken.append(bytes(row["raw"]))
-                size += len(row["raw"])
-            if size >= DICTIONARY_TEXT:
-                break
-        dictionaries.append(dictionary(taken) if taken else b"")
-    both = tuple(dictionaries)
+    sides = [_dictionaries(sample.where(F.col("side") == side)) for side in (0, 1)]
+    both = sides[0] if all(sides[0]) else sides[1]
 
     def measure(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            yield pd.DataFrame({"label": part["label"], "x": [list(features(t, both)) for t in part["text"]]})
+            yield pd.DataFrame({"label": part["label"], "x": [
+                list(features(t, sides[1 - side])) for t, side in zip(part["text"], part["side"])]})
 
     curve = None
     if all(both):
-        seen = sample.where("side = 1").select("label", "text").mapInPandas(
+        # Every row is measured with the dictionaries that it isn't part of.
+        whole = [side for side in (0, 1) if all(sides[1 - side])]
+        seen = sample.where(F.col("side").isin(whole)).select("label", "text", "side").mapInPandas(
             measure, "label int, x array<double>").toPandas()
         if seen["label"].nunique() == 2:
             curve = Curve(np.stack(seen["x"].to_list()), seen["label"].to_numpy(float))
