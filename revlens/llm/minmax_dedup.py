@@ -125,23 +125,26 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _stubborn(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) across the components of buckets that stay open.
 
-    Within a bucket every member outside its largest component is compared
-    with all members, block against block: no pair becomes a row unless it
-    is a link, and a task holds one block of either side.
+    Buckets with the same largest component form one group.  Its members
+    outside that component are compared with all its members, block against
+    block: no pair becomes a row unless it is a link, and a task holds one
+    block of either side.  Places are dealt on narrow rows; sets come last.
     """
     sizes = members.groupBy("band", "component").count()
-    facts = (sizes.groupBy("band").agg(F.max_by("component", F.struct("count", "component")).alias("largest"),
-                                       F.sum("count").alias("rows"), F.max("count").alias("top"))
-             .select("band", "largest", F.expr(f"(rows - 1) div {BLOCK_MEMBERS}").alias("chunks"),
-                     F.expr(f"(rows - top - 1) div {BLOCK_OTHERS}").alias("blocks")))
-    own = members.select("band", "rep", "component").join(facts, "band").join(sets, "rep")
-    place = F.row_number().over(Window.partitionBy("band").orderBy("rep")) - 1
-    chunk = F.floor(place / BLOCK_MEMBERS)
+    largest = sizes.groupBy("band").agg(F.max_by("component", F.struct("count", "component")).alias("largest"))
+    own = cut(members.select("band", "rep", "component").join(largest, "band")
+              .select("largest", "rep", "component").distinct())
+    inside = F.col("component") == F.col("largest")
+    facts = own.groupBy("largest").agg(
+        F.expr(f"(count(*) - 1) div {BLOCK_MEMBERS}").alias("chunks"),
+        F.expr(f"(count_if(component != largest) - 1) div {BLOCK_OTHERS}").alias("blocks"))
+    place = F.row_number().over(Window.partitionBy("largest").orderBy("rep")) - 1
     every = lambda last: F.explode(F.sequence(F.lit(0).cast("long"), F.col(last)))
-    against = own.withColumn("chunk", chunk).withColumn("block", every("blocks"))
-    others = (own.where("component != largest").withColumn("block", F.floor(place / BLOCK_OTHERS))
-              .withColumn("chunk", every("chunks")))
-    columns = ["band", "block", "chunk", "rep", "component", "shingles"]
+    own = own.join(facts, "largest")
+    against = own.withColumn("chunk", F.floor(place / BLOCK_MEMBERS)).withColumn("block", every("blocks")).join(sets, "rep")
+    others = (own.where(~inside).withColumn("block", F.floor(place / BLOCK_OTHERS))
+              .withColumn("chunk", every("chunks")).join(sets, "rep"))
+    columns = ["largest", "block", "chunk", "rep", "component", "shingles"]
 
     def compare(_, u: pd.DataFrame, m: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -160,7 +163,7 @@ def _stubborn(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 found += [(min(rep, r), max(rep, r)) for r in reps[near].tolist()]
         return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
 
-    keys = ("band", "block", "chunk")
+    keys = ("largest", "block", "chunk")
     others = others.select(*(F.col(c).alias(c) for c in columns))  # told apart from the members' columns
     return (others.groupBy(*keys).cogroup(against.select(columns).groupBy(*keys))
             .applyInPandas(compare, "a long, b long").distinct())
