@@ -191,7 +191,7 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, doc_id: st
     # What is known of each member's Jaccard distance to its bucket's first pivot.
     members = members.withColumns({"least": F.lit(0.0), "most": F.lit(1.0)})
     reach = 1 - percent / 100 + 1e-9
-    links, tested, pivots = None, None, 1
+    tested, pivots = None, 1
     while True:
         labelled = members.join(label.withColumnRenamed("node", "rep"), "rep")
         open_bands = (labelled.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"))
@@ -219,10 +219,14 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, doc_id: st
             tested = pairs = cut(pairs)
             seen = cut(_compared(pairs, sets))
             new = seen.where(F.col("i") * 100 >= F.col("u") * percent).select("a", "b")
-        links = new if links is None else links.union(new)
         if not new.isEmpty():
-            found = components(links)
-            label = cut(label.join(found.withColumnRenamed("component", "better"), "node", "left")
+            # Only the new links, between the components so far, are followed.
+            ends = label.withColumnRenamed("component", "of")
+            edges = (new.join(ends.select(F.col("node").alias("a"), F.col("of").alias("x")), "a")
+                     .join(ends.select(F.col("node").alias("b"), F.col("of").alias("y")), "b")
+                     .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a < b").distinct())
+            found = components(edges).select(F.col("node").alias("component"), F.col("component").alias("better"))
+            label = cut(label.join(found, "component", "left")
                         .select("node", F.coalesce("better", "component").alias("component")))
         if last:
             break
