@@ -5,12 +5,16 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from revlens.llm import attention, simhash, topk
+from revlens.llm import attention, attention_lm, simhash, topk
 from revlens.llm.attention_lm import lm_scores, words_of
+from revlens.llm.bpe import cached_ids
 from revlens.llm.oracles import ORACLE_SQL
+from revlens.llm.registry import BYTE_BPE
 from revlens.llm.toxicity import label_model, toxicity_scores
 from revlens.llm.zstd_quality import quality_scores
 
@@ -81,6 +85,50 @@ def test_lm_edges(edges, nothing):
     assert all(math.isfinite(r.score) for r in lm_scores(edges, path, F.lit(True)).collect())
 
 
+def test_lm_inside_words_from_all_counts(spark, docs, monkeypatch):
+    """Every distinct word's probability uses all counts, held by the tasks or joined."""
+    path = public_tokenizers.path(BYTE_BPE)
+    some = docs.where("doc_id < 60").select("doc_id", "text")
+    held = F.col("doc_id") % 5 == 0
+    whole = {r.doc_id: r for r in lm_scores(some, path, held).collect()}
+    monkeypatch.setattr(attention_lm, "HEAD_WORDS", 30)
+    monkeypatch.setattr(attention_lm, "TABLE_ENTRIES", 30, raising=False)
+    few = {r.doc_id: r for r in lm_scores(some, path, held).collect()}
+    for i, r in whole.items():
+        assert few[i].score == pytest.approx(r.score, rel=1e-4) and few[i].n_known == r.n_known
+
+    words = attention_lm.count_words(some.withColumn("held_out", held))
+    got = {r.h: r for r in attention_lm.build_tables(words, 48, path)[1].collect()}
+    encode, count = cached_ids(path), {}
+    for r in some.collect():
+        for w in words_of(r.text):
+            count[w] = count.get(w, 0) + (r.doc_id % 5 != 0)
+    ids = {w: [*map(int, encode.ordinary(" " + w.decode())), attention_lm.END_ID] for w in count}
+    seen, total, kinds = Counter(), Counter(), Counter()
+    for w, n in count.items():
+        for k in range(1, len(ids[w])):
+            for order in range(min(3, k) + 1):
+                context = tuple(ids[w][k - order:k])
+                seen[context, ids[w][k]] += n
+                total[context] += n
+    for (context, _), n in seen.items():
+        kinds[context] += max(n - 0.7, 0)
+
+    def p(context, x):
+        if not context:
+            return (seen[(), x] + 0.05) / (total[()] + 0.05 * (attention_lm.END_ID + 1))
+        short = p(context[1:], x)
+        if not total[context]:
+            return short
+        return max(seen[context, x] - 0.7, 0) / total[context] + (1 - kinds[context] / total[context]) * short
+
+    assert len(got) == len(count) and any(n == 0 for n in count.values())
+    for w, n in count.items():
+        r = got[xxhash.xxh3_64_intdigest(w) - (1 << 64) * (xxhash.xxh3_64_intdigest(w) >> 63)]
+        want = sum(math.log(p(tuple(ids[w][max(0, k - 3):k]), ids[w][k])) for k in range(1, len(ids[w])))
+        assert r.n == n and r.inside == pytest.approx(want)
+
+
 def test_attention_gradient_and_mask():
     rng = np.random.default_rng(0)
     model = attention.Attention.fresh(20, 7, np.zeros(7))
