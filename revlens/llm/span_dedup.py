@@ -1,9 +1,10 @@
 """Removal of repeated runs of sentences.
 
-From every sentence a run goes on until it holds several sentences and
-enough words; the hashes of all runs of all texts are joined globally.  The
-first occurrence of a run (smallest document id, then position) stays, and
-the sentences covered by any other occurrence are removed.
+From every sentence a run goes on, and back, until it holds several sentences
+and enough words; the hashes of all runs of all texts are joined globally.
+Every longer run is covered by such runs inside it.  The first occurrence of a
+run (smallest document id, then position) stays, and the sentences covered by
+any other occurrence are removed.
 
 Defined cases: null texts stay null and empty texts empty; a text whose
 sentences are all repeated becomes empty and its row stays; rows repeated
@@ -37,20 +38,22 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 
 def runs(text: str, least_sentences: int, least_words: int) -> list[tuple[int, int, int]]:
-    """(hash, first sentence, sentence after the last) of every run of ``text``.
+    """(hash, first sentence, sentence after the last) of the shortest run from
+    and the shortest run up to every sentence of ``text``, in order.
 
     Case and the kind of white space don't count.
     """
     words = [text[a:b].lower().split() for a, b in sentences(text)]
+    if len(words) < least_sentences:
+        return []
     totals = np.cumsum([0, *map(len, words)])
     flat = [" ".join(w) for w in words]
-    out, at = [], np.searchsorted(totals, totals[:-1] + least_words) if len(words) else []
-    for first, enough in enumerate(at):
-        end = max(first + least_sentences, int(enough))
-        if end > len(flat):
-            break
-        out.append((xxhash.xxh3_64_intdigest("\n".join(flat[first:end])), first, end))
-    return out
+    places = np.arange(len(words) + 1)
+    ends = np.maximum(places + least_sentences, np.searchsorted(totals, totals + least_words))
+    starts = np.minimum(places - least_sentences, np.searchsorted(totals, totals - least_words, side="right") - 1)
+    found = {(a, b) for a, b in zip(places.tolist(), ends.tolist()) if b < len(totals)}
+    found.update((a, b) for a, b in zip(starts.tolist(), places.tolist()) if a >= 0)
+    return [(xxhash.xxh3_64_intdigest("\n".join(flat[a:b])), a, b) for a, b in sorted(found)]
 
 
 def span_dedup(df: DataFrame, least_sentences: int = SENTENCES, least_words: int = WORDS,

@@ -119,6 +119,43 @@ def test_spans_equal_brute_force(spark, docs):
         assert (got[i].n_removed, got[i].n_sentences) == (len(gone), len(cuts))
 
 
+def all_runs(rows, least_sentences, least_words):
+    """Sentences of each row in a run, of any length, that stands earlier too."""
+    first, found, out = {}, [], {}
+    for i, t in sorted(rows):
+        own = [tuple(t[a:b].lower().split()) for a, b in span_dedup.sentences(t)]
+        for a in range(len(own)):
+            for b in range(a + least_sentences, len(own) + 1):
+                if sum(map(len, own[a:b])) >= least_words:
+                    first.setdefault(tuple(own[a:b]), (i, a))
+                    found.append((i, a, b, tuple(own[a:b])))
+    for i, a, b, run in found:
+        if first[run] != (i, a):
+            out.setdefault(i, set()).update(range(a, b))
+    return out
+
+
+def test_every_repeated_run_goes_whole(spark):
+    rnd = random.Random(5)
+    stock = [" ".join(rnd.choice("abcdefghij") * 3 + str(k) for _ in range(rnd.choice([1, 1, 2, 5, 10, 12]))) + ". "
+             for k in range(60)]
+    passages = [[rnd.choice(stock) for _ in range(rnd.randint(2, 7))] for _ in range(25)]
+    rows = []
+    for i in range(80):
+        parts = [rnd.choice([rnd.choice(passages), [f"Own {i} {k}. "], [rnd.choice(stock)]]) for k in range(4)]
+        rows.append((i, "".join(x for part in parts for x in part)))
+    for i, tail in ((90, (12, 1, 1)), (92, (10, 5, 5))):
+        passage = "".join(" ".join(f"w{i}x{k}x{j}" for j in range(n)) + ". " for k, n in enumerate(tail))
+        rows += [(i, passage + "One end."), (i + 1, passage + "Another end.")]
+    want = all_runs(rows, 2, 12)
+    got = {r.doc_id: r for r in span_dedup.span_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        cuts = span_dedup.sentences(t)
+        kept = "".join(t[a:b] for s, (a, b) in enumerate(cuts) if s not in want.get(i, ()))
+        assert got[i].text.strip() == kept.strip() and got[i].n_removed == len(want.get(i, ()))
+    assert got[91].text == got[93].text == "Another end."
+
+
 def test_planted_passage_goes_except_first(spark):
     rnd = random.Random(3)
     word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
