@@ -3,9 +3,15 @@
 From every sentence a run goes on, and back, until it holds several sentences
 and enough words; the hashes of all runs of all texts are joined globally.
 Every longer run is covered by such runs inside it.  The first occurrence of a
-run (smallest document id, then position) stays, and the sentences covered by
+run (smallest document id, then position) stays, and run (smallest document id, then position) stays, and the sentences covered by
 any other occurrence are removed.
 
+A sentence of more than LONG words counts as several: it ends after words
+chosen by their own letters and the word before, or by ; and :, so
+that two copies are cut at the same places whatever stands around them.  What
+stays of a repeated passage: at either edge, the part of a sentence up to the
+first such place; whole, a lone sentence of at most LONG words.
+
 Defined cases: null texts stay null and empty texts empty; a text whose
 sentences are all repeated becomes empty and its row stays; rows repeated
 with equal id and text count once and get equal results; other columns pass
@@ -16,6 +22,7 @@ n_removed are replaced).
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,13 +35,37 @@ from revlens.llm.tables import cut
 
 #: A run holds at least this many sentences and words.
 SENTENCES, WORDS = 2, 12
+#: A sentence of more words is cut, on average after CHANCE words, at the latest after LONG.
+LONG, CHANCE = 24, 8
 _END = re.compile(r"(?<=[.!?])\s+|\n+")
+_WORD = re.compile(r"\S+\s*")
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
-    """(start, next start) of each sentence; the text between is covered whole."""
+    """(start, next start) of each sentence, or part of a long one; the text
+    between is covered whole."""
     starts = [0, *(m.end() for m in _END.finditer(text))]
-    return [(a, b) for a, b in zip(starts, [*starts[1:], len(text)]) if b > a]
+    out = []
+    for a, b in zip(starts, [*starts[1:], len(text)]):
+        if b - a > 2 * LONG and len(text[a:b].split()) > LONG:
+            out += _parts(text, a, b)
+        elif b > a:
+            out.append((a, b))
+    return out
+
+
+def _parts(text: str, start: int, stop: int) -> list[tuple[int, int]]:
+    """Parts of a long sentence, cut behind words chosen by the two words before the cut."""
+    out, before, held = [], "", 0
+    for m in _WORD.finditer(text, start, stop):
+        word = m[0].rstrip().lower()
+        held += 1
+        if m.end() < stop and (held == LONG or word[-1] in ";:" or
+                               zlib.crc32(f"{before} {word}".encode()) % CHANCE == 0):
+            out.append((start, m.end()))
+            start, held = m.end(), 0
+        before = word
+    return [*out, (start, stop)]
 
 
 def runs(text: str, least_sentences: int, least_words: int) -> list[tuple[int, int, int]]:

@@ -156,6 +156,24 @@ def test_every_repeated_run_goes_whole(spark):
     assert got[91].text == got[93].text == "Another end."
 
 
+def test_long_sentences_go_in_parts(spark):
+    rnd = random.Random(8)
+    line = lambda n: " ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    whole, inner, tail = line(60), line(120), line(80)
+    rows = [(1, whole), (2, whole.upper()), (3, f"Start {line(9)}. {whole}. Other end"), (4, line(40)),
+            (5, f"{line(30)} {inner} {line(30)}."), (6, f"{line(45)} {inner} {line(5)}."),
+            (7, f"Good whole sentence {line(8)}. {tail}"), (8, f"Good whole sentence {line(8)}. {tail} {line(30)}.")]
+    got = {r.doc_id: r.text for r in span_dedup.span_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in (1, 4, 5, 7):
+        assert got[i] == rows[i - 1][1]
+    assert got[2] == ""
+    assert len(set(got[3].split()) & set(whole.split())) <= span_dedup.LONG  # its last word has a full stop here
+    assert len(set(got[6].split()) & set(inner.split())) <= 2 * span_dedup.LONG
+    assert len(set(got[8].split()) & set(tail.split())) <= span_dedup.LONG
+    assert "".join(rows[4][1][a:b] for a, b in span_dedup.sentences(rows[4][1])) == rows[4][1]
+    assert max(len(rows[4][1][a:b].split()) for a, b in span_dedup.sentences(rows[4][1])) <= span_dedup.LONG
+
+
 def test_planted_passage_goes_except_first(spark):
     rnd = random.Random(3)
     word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
