@@ -85,6 +85,26 @@ def test_lm_edges(edges, nothing):
     assert all(math.isfinite(r.score) for r in lm_scores(edges, path, F.lit(True)).collect())
 
 
+def test_every_text_gives_a_slice():
+    """Whatever its place among the rows, also a short or empty text."""
+    taken = []
+
+    class Seen:
+        tables, encode = type("T", (), {"end": 0}), type("E", (), {"kind": np.uint32})
+
+        def of_words(self, split):
+            taken.append(list(split))
+            return iter(())
+
+    texts = [(" ".join(f"d{i}w{k}" for k in range(i * 7 % 400)), 977 * (-1) ** i * (i + 1) ** 5) for i in range(120)]
+    attention_lm._train(attention.Attention.fresh(20, 7, np.zeros(7)), iter([texts]), Seen(), attention_lm.SHARE, 0.01)
+    one_by_one = taken.pop()
+    attention_lm._train(attention.Attention.fresh(20, 7, np.zeros(7)), iter([texts[::-1]]), Seen(), attention_lm.SHARE, 0.01)
+    own = {w[0].split(b"w")[0] for w in one_by_one if w}
+    assert own == {f"d{i}".encode() for i, (t, _) in enumerate(texts) if t}
+    assert sorted(taken[0]) == sorted(one_by_one)
+
+
 def test_lm_inside_words_from_all_counts(spark, docs, monkeypatch):
     """Every distinct word's probability uses all counts, held by the tasks or joined."""
     path = public_tokenizers.path(BYTE_BPE)
