@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 
 from revlens.llm.attention_lm import lm_scores
 from revlens.llm.minmax_dedup import near_duplicates
+from revlens.llm.mixing import mix_sources
 from revlens.llm.oracles import ORACLE_SQL  # noqa: F401 - read by the entry module
 from revlens.llm.packing import best_fit_packing
+from revlens.llm.resampling import importance_resample
 from revlens.llm.sentencepiece_fst import encode_documents
 from revlens.llm.simhash import document_fingerprints
 from revlens.llm.span_dedup import span_dedup
+from revlens.llm.spelling import spelling_variants
 from revlens.llm.tables import table
 from revlens.llm.token_counts import token_counts
 from revlens.llm.topk import top_k
@@ -83,7 +86,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_fingerprints(table(spark, sf_dir, "documents")).drop("next_fingerprint")
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"), weights=(5, 2, 1), percent=100, times=3).shares()
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, wanted = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return importance_resample(docs, wanted, percent=10, min_words=20, buckets=10_000, runs=1, seed=2024).drop("n_words")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), least=6, least_n=5, every=199, ratio=5)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minmax_near_dedup, op2_substring_dedup, op3_exact_top_k, op4_toxicity, op5_quality,
     op6_best_fit_packing, op7_lm_scoring, op8_sentencepiece_fst,
-    op9_token_counts, op10_simhash)}
+    op9_token_counts, op10_simhash, op11_source_mixing, op12_importance_resampling,
+    op13_spelling_variants)}
