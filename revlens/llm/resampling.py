@@ -166,9 +166,12 @@ def cutoff(rows: DataFrame, take: int, n: int, score: str = "score", doc_id: str
     for by in ("down", "id"):
         while n > most:
             low, high, under, inside = _bracket(rows, by, rank, n)
-            rows, rank = rows.where(F.col(by).between(low, high)), rank - under
-            narrowed, n = inside < n, inside
-            if low == high or not narrowed:
+            if inside == n and low < high:  # a bracket of everything: halved by value
+                middle = (low + high) // 2
+                first = rows.where(F.col(by) <= middle).count()
+                low, high, under, inside = (low, middle, 0, first) if rank < first else (middle + 1, high, first, n - first)
+            rows, rank, n = rows.where(F.col(by).between(low, high)), rank - under, inside
+            if low == high:
                 break
     if n > most:  # one (score, id) repeated
         down, own = rows.first()

@@ -79,7 +79,8 @@ def word_counts(df: DataFrame, least: int = 6, least_n: int = 5, every: int = 19
                 if len(held) >= MEMORY:
                     yield frame(held)
                     held.clear()
-        yield frame(held)
+        if held:
+            yield frame(held)
 
     return (df.select(df[doc_id].cast("long").alias("doc_id"), df[text].alias("text"))
             .mapInPandas(count, "word string, n long")

@@ -29,7 +29,7 @@ def nothing(spark):
 
 @pytest.fixture(scope="session")
 def docs(spark):
-    return spark.read.parquet(f"{SF}/documents.parquet").cache()
+    return spark.read.parquet(f"{SF}/documents.parquet")
 
 
 @pytest.fixture(scope="session")

@@ -1,0 +1,158 @@
+"""Source mixing against a plain walk over streams, blocks and slots."""
+
+import re
+from collections import Counter, defaultdict
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from revlens.llm import mixing
+from revlens.llm.mixing import mix_sources, n_words, permuted
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_targets(sizes, weights=(5, 2, 1), percent=100, times=3):
+    """Exact targets by repeated sharing; ``sizes`` maps source to words."""
+    names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s])
+    names += [None] if None in sizes else []
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(names)}
+    asked, full = Fraction(sum(sizes.values())) * percent / 100, set()
+    while True:
+        rest = [s for s in names if s not in full]
+        left = asked - sum(times * sizes[s] for s in full)
+        out = {s: times * sizes[s] if s in full else left * weight[s] / sum(weight[r] for r in rest) for s in names}
+        above = {s for s in rest if out[s] > times * sizes[s]}
+        if not above:
+            return out
+        full |= above
+
+
+def test_word_sizes():
+    for text in (None, "", " ", "a", " a b ", "a\x0bb\x1cc", "é\x85 x y", "\ta\n\nb"):
+        assert n_words(text) == len(re.findall(r"[^\x20\x09-\x0D]+", text or "")), repr(text)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 64, 1000, 4097])
+def test_permutations(n):
+    i = np.arange(n)
+    for key in (0, 7, 2**63):
+        k = np.full(n, key, np.uint64)
+        out = permuted(i, np.full(n, n), k)
+        assert sorted(out.tolist()) == i.tolist()
+        assert (permuted(out, np.full(n, n), k, back=True) == i).all()
+    if n > 60:
+        assert (permuted(i, np.full(n, n), np.full(n, 1)) != permuted(i, np.full(n, n), np.full(n, 2))).any()
+
+
+def test_query_keeps_targets_and_limits(spark, queries):
+    got = queries["op11_source_mixing"](spark, SF).toPandas()
+    docs = spark.read.parquet(f"{SF}/documents.parquet").toPandas()
+    merged = got.merge(docs, on="doc_id")
+    assert len(got) == len(docs) == len(merged)
+    sizes = defaultdict(int)
+    for s, t in zip(docs["source"], docs["text"]):
+        sizes[s] += n_words(t)
+    want = plain_targets(sizes)
+    assert (merged["size"] == merged["text"].map(n_words)).all()
+    assert (merged["taken"] <= 3 * merged["size"]).all()
+    for s, rows in merged.groupby("source"):
+        assert set(rows["source_size"]) == {sizes[s]}
+        assert rows["target"].iloc[0] == pytest.approx(float(want[s]))
+        assert abs(rows["taken"].sum() - float(want[s])) <= 1
+    again = queries["op11_source_mixing"](spark, SF).toPandas()
+    assert sorted(map(tuple, again.values)) == sorted(map(tuple, got.values))
+
+
+def corpus(spark):
+    rows = []
+    for i in range(120):
+        source = "hot" if i % 3 else ["a", "B", "é", None, "tiny"][i // 3 % 5]
+        rows.append((i, source, " ".join(f"{i}w{j}" for j in range(1 + i * 7 % 40))))
+    rows += [(500, "tiny", None), (501, "empty", ""), (502, "empty", " \n"), (7, "hot", "7w0"), (7, "hot", "7w0"),
+             (503, "long", " ".join(f"x{j}" for j in range(3000))), (None, "a", "no id here")]
+    return spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, source string, text string, block string, n long")
+
+
+def test_slots_and_shares_equal_a_plain_walk(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_DOCS", 10)
+    monkeypatch.setattr(mixing, "SOURCE_CHUNK", 3)
+    monkeypatch.setattr(mixing, "SHARD_CHUNK", 4)
+    df = corpus(spark)
+    for percent, repeat in ((100, 3), (40, 3), (400, 2)):
+        mix = mix_sources(df, percent=percent, times=repeat, block_words=16, shard_slots=8)
+        sources = {r.source_no: r for r in mix.sources.collect()}
+        sizes = {r.source: r.source_size for r in sources.values()}
+        want = plain_targets(sizes, percent=min(percent, 100 * repeat), times=repeat)
+        assert {r.source: r.target for r in sources.values()} == pytest.approx({s: float(t) for s, t in want.items()})
+        # Streams: no gap, no overlap.
+        stream = defaultdict(dict)
+        for r in mix.documents.collect():
+            for j, w in enumerate((r.text or "").split()):
+                assert stream[r.source_no].setdefault(r.start + j, (r.doc_id, r.bucket, r.n, w)) == (r.doc_id, r.bucket, r.n, w)
+        for no, r in sources.items():
+            assert sorted(stream[no]) == list(range(r.source_size))
+        # Slots: each numbered once, blocks taken evenly, shards full.
+        slots = mix.slots.collect()
+        taken, per_block = Counter(), defaultdict(Counter)
+        for s in slots:
+            size = sources[s.source_no].source_size
+            first = s.block * 16
+            assert 0 < s.words <= min(16, size - first)
+            per_block[s.source_no][s.block] += 1
+            for j in range(first, first + s.words):
+                taken[(s.source_no, *stream[s.source_no][j][:3])] += 1
+        assert {(s.source_no, s.slot) for s in slots} == {(no, k) for no, r in sources.items() for k in range(r.n_slots)}
+        assert len({(s.source_no, s.slot) for s in slots}) == len(slots)
+        for no, counts in per_block.items():
+            assert sum(1 for _ in counts) == sources[no].n_blocks or max(counts.values()) == 1
+            assert max(counts.values()) - min(counts.values()) <= 1 and max(counts.values()) <= repeat
+        held = Counter(s.shard for s in slots)
+        assert all(n == 8 for shard, n in held.items() if shard != max(held))
+        # The shares are what the slots hold.
+        got = mix.shares().collect()
+        assert len(got) == df.count()
+        by_doc = Counter()
+        for key, n in taken.items():
+            by_doc[key[1]] += n
+        mine = Counter()
+        for r in got:
+            mine[r.doc_id] += r.taken
+            assert r.taken <= repeat * r.size
+        assert +mine == +by_doc
+        for no, r in sources.items():
+            assert sum(n for key, n in taken.items() if key[0] == no) == r.words == int(r.target + 0.5)
+
+
+def test_texts_hold_the_spans(spark):
+    mix = mix_sources(corpus(spark), block_words=16, shard_slots=8)
+    words = Counter(w for r in mix.texts().collect() for w in r.text.split())
+    spans = Counter()
+    for r in mix.spans().collect():
+        spans.update((r.text or "").split()[r.first:r.first + r.length])
+    assert words == spans and sum(words.values()) == mix.sources.selectExpr("sum(words)").first()[0]
+
+
+def test_order_and_partitions_do_not_matter(spark):
+    df = corpus(spark).where("doc_id is not null and doc_id <> 7")
+    one, many = (sorted(map(tuple, mix_sources(d, block_words=16, shard_slots=8).shares().collect()))
+                 for d in (df.coalesce(1), df.orderBy("text").repartition(7)))
+    assert one == many
+
+
+def test_source_counts_vary_by_shard(spark):
+    rows = [(i, f"s{i % 2}", "w " * 64) for i in range(400)]
+    mix = mix_sources(spark.createDataFrame(rows, "doc_id long, source string, text string"),
+                      weights=(1, 1), block_words=16, shard_slots=64)
+    counts = [r.n for r in mix.slots.where("source_no = 0").groupBy("shard").count().withColumnRenamed("count", "n").collect()]
+    assert len(set(counts)) > 3 and abs(sum(counts) / len(counts) - 32) < 1.5
+
+
+def test_edges(spark, edges, nothing):
+    got = mix_sources(edges.withColumn("source", edges.lang)).shares()
+    assert got.count() == edges.count()
+    assert got.where("size = 0 and taken > 0").isEmpty()
+    assert mix_sources(nothing.withColumn("source", nothing.lang)).shares().collect() == []
+    blank = spark.createDataFrame([(1, "a", ""), (2, None, None)], "doc_id long, source string, text string")
+    assert [(r.size, r.target, r.taken) for r in mix_sources(blank).shares().collect()] == [(0, 0.0, 0)] * 2
