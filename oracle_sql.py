@@ -376,6 +376,15 @@ grams AS (
   FROM toks, (VALUES (1), (2), (3)) v(n))
 SELECT n, ngram, count(*) AS ngram_count FROM grams GROUP BY n, ngram""")
 
+ORACLE_SQL["frequent_ngrams"] = ORACLE_SQL["word_ngrams"] + " HAVING count(*) >= 2"
+
+ORACLE_SQL["frequent_tokens"] = with_reviews(TOKENS_CTE + """,
+each AS (SELECT id, unnest(tokens) AS token FROM toks),
+often AS (SELECT token FROM each GROUP BY token HAVING count(*) >= 2),
+kept AS (SELECT id, count(*) AS n FROM each JOIN often USING (token) GROUP BY id)
+SELECT t.id, len(t.tokens)::BIGINT AS n_tokens, coalesce(k.n, 0)::BIGINT AS n_kept
+FROM toks t LEFT JOIN kept k USING (id)""")
+
 # -------------------------------------------------------------- naive Bayes
 NB_CTE = SPLIT_CTE + f""",
 ntoks AS (SELECT id, sentiment, split, {tokens_sql(tok_sql('review_body'))} AS tokens FROM split),

@@ -12,11 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from revlens.functions.sentiment import rating_to_sentiment
-from revlens.models import candidates as cand
-from revlens.operators import bias, cleaning, naive_bayes as nb, profile, sampling
+from revlens.models import candidates as cand, embedding
+from revlens.operators import bias, cleaning, frequent, naive_bayes as nb, profile, sampling
 from revlens.operators import text as text_ops
 from revlens.plans import flows, sql as sql_plans
 from revlens.plans.datasets import clean_fixture_reviews, clean_order_reviews
+from revlens.session import ensure_checkpoint_dir
 from revlens.sources.csv_io import labelled_lines
 from revlens.sources.tables import load_table, reviews
 
@@ -355,6 +356,23 @@ def q_word_ngrams(spark, sf_dir):
     return text_ops.ngram_counts(text_ops.with_tokens(clean_fixture_reviews(spark, sf_dir)))
 
 
+@query("frequent_ngrams")
+def q_frequent_ngrams(spark, sf_dir):
+    """The n-grams seen at least twice, counted level by level."""
+    return frequent.frequent_ngrams(text_ops.with_tokens(clean_fixture_reviews(spark, sf_dir)))
+
+
+@query("frequent_tokens")
+def q_frequent_tokens(spark, sf_dir):
+    """Tokens of every review, and those left of words seen at least twice."""
+    ensure_checkpoint_dir(spark)
+    held = (text_ops.with_tokens(clean_fixture_reviews(spark, sf_dir))
+            .select("id", frequent.token_hashes("tokens").alias("hashes")).checkpoint(eager=True))
+    kept = frequent.keep_frequent(held.withColumn("n_tokens", F.size("hashes").cast("bigint")),
+                                  frequent.min_count_hashes(held, 2))
+    return kept.select("id", "n_tokens", F.size("hashes").cast("bigint").alias("n_kept"))
+
+
 # -------------------------------------------------------------- naive Bayes
 
 
@@ -440,12 +458,23 @@ def _train_validation(spark, sf_dir):
 
 
 # Fitted models are deterministic for a given input, so one fit per
-# (application, data folder) serves every query that needs it.
+# application and state of the two tables' files serves every query.
 _FITTED: dict = {}
 
 
+def _files(spark, sf_dir) -> int:
+    """Changes with any file of the tables that models learn from."""
+    stamp = 0
+    for name in ("documents", "labels"):
+        seen = load_table(spark, sf_dir, name).select("_metadata.file_path", "_metadata.file_size",
+                                                      "_metadata.file_modification_time").distinct()
+        own = F.xxhash64("file_path", "file_size", "file_modification_time", F.lit(name))
+        stamp ^= seen.agg(F.bit_xor(own)).first()[0] or 0
+    return stamp
+
+
 def _memo(spark, sf_dir, name, build):
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, _files(spark, sf_dir), name)
     if key not in _FITTED:
         _FITTED[key] = build()
     return _FITTED[key]
@@ -474,6 +503,29 @@ def q_training_metrics(spark, sf_dir):
     return cand.training_metrics(spark, model, acc)
 
 
+def embedding_model(spark, sf_dir):
+    def build():
+        train, validation = (text_ops.with_tokens(d) for d in _train_validation(spark, sf_dir))
+        return embedding.fit_embedding_classifier(train, validation)
+    return _memo(spark, sf_dir, "embedding", build)
+
+
+@query("train_embedding_classifier")
+def q_train_embedding_classifier(spark, sf_dir):
+    """Validation reviews labelled by the embedding classifier with its
+    published settings."""
+    _, validation = _train_validation(spark, sf_dir)
+    return (embedding_model(spark, sf_dir).predict(text_ops.with_tokens(validation), keep=("sentiment",))
+            .select("id", "sentiment", "prediction"))
+
+
+@query("embedding_training_metrics")
+def q_embedding_training_metrics(spark, sf_dir):
+    """Loss on the training and accuracy on the validation part per epoch."""
+    return spark.createDataFrame(embedding_model(spark, sf_dir).metrics,
+                                 "epoch int, metric_name string, value double")
+
+
 def _leaderboard(spark, sf_dir):
     def build():
         train, validation = _train_validation(spark, sf_dir)

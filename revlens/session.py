@@ -8,8 +8,10 @@ command line only.
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -62,3 +64,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package: it is sent along once per
+    application unless the workers' PYTHONPATH already holds it."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    root, sc = os.path.dirname(package), spark.sparkContext
+    if sc.applicationId in _SHIPPED or root in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    home = os.path.join(sc._temp_dir, f"package-{uuid.uuid4().hex}.zip")
+    with zipfile.ZipFile(home, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, root))
+    before = list(sys.path)
+    sc.addPyFile(home)
+    sys.path[:] = before  # the driver goes on importing from the folder
+    _SHIPPED.add(sc.applicationId)
