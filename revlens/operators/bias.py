@@ -22,7 +22,7 @@ cross-joined and no data row reaches the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Metric names in report order.
 ALL_METHODS = ["CI", "DPL", "KL", "JS", "LP", "TVD", "KS"]
@@ -40,18 +40,30 @@ def _max(cols: list[Column]) -> Column:
     return cols[0] if len(cols) == 1 else F.greatest(*cols)
 
 
+def _cells(df: DataFrame, label: str, facet: str, min_rows_exclusive: int) -> DataFrame:
+    """Rows per facet value and label, without nulls and rare facet values."""
+    cells = (df.where(F.col(facet).isNotNull()).groupBy(facet, label).agg(F.count(F.lit(1)).alias("n")))
+    if min_rows_exclusive > 0:
+        of_facet = F.sum("n").over(Window.partitionBy(facet))
+        cells = cells.withColumn("_rows", of_facet).where(F.col("_rows") > min_rows_exclusive).drop("_rows")
+    return cells.where(F.col(label).isNotNull())
+
+
 def bias_report(df: DataFrame, label: str = "sentiment", facet: str = "product_category",
                 positive_values=(1,), methods=None, max_labels: int = MAX_LABELS,
-                max_local_rows: int | None = None) -> DataFrame:
-    """One row per facet value: ``facet_value`` and one column per method."""
+                max_local_rows: int | None = None, min_rows_exclusive: int = 0) -> DataFrame:
+    """One row per facet value: ``facet_value`` and one column per method.
+
+    Facet values with at most ``min_rows_exclusive`` rows (null labels count)
+    are left out before anything else, from the counted cells: rows need no
+    pass of their own for it."""
     methods = [m.upper() for m in (methods or ALL_METHODS)]
     unknown = [m for m in methods if m not in ALL_METHODS]
     if unknown:
         raise ValueError(f"unknown bias methods: {unknown}")
     from revlens.operators.joins import LOCAL_COPY_ROWS, small_local_copy
     cell_counts, cell_rows = small_local_copy(
-        df.where(F.col(label).isNotNull() & F.col(facet).isNotNull())
-        .groupBy(facet, label).agg(F.count(F.lit(1)).alias("n")),
+        _cells(df, label, facet, min_rows_exclusive),
         LOCAL_COPY_ROWS if max_local_rows is None else max_local_rows)
     if cell_rows is not None:
         sums: dict = {}

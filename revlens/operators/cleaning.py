@@ -60,13 +60,19 @@ def rare_category_filter(df: DataFrame, category_col: str = "product_category",
     over the data) and semi-joined back: broadcast when their number is
     proved small, otherwise checkpointed and joined by shuffle.
     """
+    kept = frequent_categories(df, category_col, min_rows_exclusive, max_broadcast_rows)
+    return df.join(kept, category_col, "left_semi")
+
+
+def frequent_categories(df: DataFrame, category_col: str = "product_category", min_rows_exclusive: int = 10,
+                        max_broadcast_rows: int = LOCAL_COPY_ROWS) -> DataFrame:
+    """The categories that ``rare_category_filter`` keeps, ready to be joined:
+    counted in one pass, marked for broadcast when proved small."""
     kept = (category_sizes(df.where(F.col(category_col).isNotNull()), category_col)
             .where(F.col("category_rows") > min_rows_exclusive)
             .select(category_col))
     kept, small = small_local_copy(kept, max_broadcast_rows)
-    if small is not None:
-        kept = F.broadcast(kept)
-    return df.join(kept, category_col, "left_semi")
+    return kept if small is None else F.broadcast(kept)
 
 
 def clean_reviews(df: DataFrame, category_col: str = "product_category",

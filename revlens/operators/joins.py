@@ -54,19 +54,21 @@ def lookup_join(big: DataFrame, lookup: DataFrame, key: str, spread_col: str,
 
 
 LOCAL_COPY_ROWS = 100_000
+LOCAL_COPY_TEXT = 64 * 1024 * 1024  # characters of all strings of a local copy
 
 
 def small_local_copy(df: DataFrame, max_rows: int = LOCAL_COPY_ROWS):
     """Materialise a small aggregate once.
 
     One job reads at most ``max_rows + 1`` rows.  If that proves the table
-    small, it comes back as a local table -- no lineage, safe to
+    small (in rows and in the text they hold), it comes back as a local table -- no lineage, safe to
     broadcast, nothing recomputed -- and ``(df_local, rows)`` is returned.
     Otherwise the table is written to the shared checkpoint folder and
     ``(df_checkpointed, None)`` is returned: callers then join by shuffle.
     """
     rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
+    text = sum(len(v) for r in rows for v in r if isinstance(v, (str, bytes)))
+    if len(rows) <= max_rows and text <= LOCAL_COPY_TEXT:
         return df.sparkSession.createDataFrame(rows, df.schema), rows
     from revlens.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)

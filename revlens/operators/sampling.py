@@ -7,6 +7,9 @@ one task; with one group holding a third of all rows that task becomes the
 job.  Instead the hash space is cut into ordered buckets (its leading hex
 digits sort like the hash):
 
+0. *narrow*: (id, group columns, hash) of every row, written once; callers
+   that already have such rows pass them.  All steps but the last read these
+   rows, so the data with its texts is read once here and once for the answer;
 1. *histogram*: rows per (group, leading ``digits`` hex digits) -- a
    partial aggregation, at most groups x 16**digits small rows, kept as a
    local relation when proved small, else checkpointed;
@@ -33,6 +36,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from revlens.functions.hashing import DEFAULT_SEED, hash_bucket, seeded_hash
 from revlens.operators.joins import LOCAL_COPY_ROWS, small_local_copy
+from revlens.session import ensure_checkpoint_dir
 
 HASH_DIGITS = 2        # first histogram level: 256 buckets per group
 STEP_DIGITS = 2        # each refinement: 256 sub-buckets of a boundary bucket
@@ -44,25 +48,65 @@ _HELPERS = ["_h", "_b"]
 @dataclass
 class Keyed:
     data: DataFrame        # input rows + _h (hash) + _b (first-level bucket)
+    narrow: DataFrame      # id, group cols, _h, written once
     hist: DataFrame        # group cols, _b, _n  (local relation or checkpoint)
     groups: list
     id_col: str
     digits: int = HASH_DIGITS
+    rows: list | None = None   # hist, where proved small
+
+
+def narrow_rows(df: DataFrame, cols, id_col: str = "id", seed: int = DEFAULT_SEED) -> DataFrame:
+    """(id, ``cols``, hash) of every row, written to the shared folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.select(id_col, *cols, seeded_hash(id_col, seed).alias("_h")).checkpoint(eager=True)
 
 
 def hash_histogram(df: DataFrame, groups, id_col: str = "id", seed: int = DEFAULT_SEED,
-                   digits: int = HASH_DIGITS) -> Keyed:
+                   digits: int = HASH_DIGITS, narrow: DataFrame | None = None) -> Keyed:
     groups = list(groups)
     keyed = (df.withColumn("_h", seeded_hash(id_col, seed))
              .withColumn("_b", hash_bucket("_h", digits)))
-    hist, _ = small_local_copy(keyed.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_n")))
-    return Keyed(keyed, hist, groups, id_col, digits)
+    if narrow is None:
+        narrow = narrow_rows(df, groups, id_col, seed)
+    hist, rows = small_local_copy(narrow.groupBy(*groups, hash_bucket("_h", digits).alias("_b"))
+                               .agg(F.count(F.lit(1)).alias("_n")))
+    return Keyed(keyed, narrow, hist, groups, id_col, digits, rows)
 
 
 def group_sizes(k: Keyed) -> DataFrame:
     return k.hist.groupBy(*k.groups).agg(F.sum("_n").cast("bigint").alias("group_rows"))
 
 
+def _local_sizes(k: Keyed) -> dict:
+    """Rows per group from a histogram that is at hand."""
+    sizes: dict = {}
+    for r in k.rows:
+        key = tuple(r[c] for c in k.groups)
+        sizes[key] = sizes.get(key, 0) + r["_n"]
+    return sizes
+
+
+def _local_thresholds(k: Keyed, quotas: dict):
+    """``_thresholds`` of a histogram that is at hand; ``quotas`` by group."""
+    fields = ["_b_star", "_r", "_n_star", "_full"]
+    types = {f.name: f.dataType.simpleString() for f in k.hist.schema}
+    schema = ", ".join([*(f"`{c}` {types[c]}" for c in k.groups), f"_b_star {types['_b']}",
+                        "_r bigint", "_n_star bigint", "_full boolean"])
+    found, before = {}, {}
+    for r in sorted(k.rows, key=lambda r: r["_b"]):
+        key = tuple(r[c] for c in k.groups)
+        start = before.get(key, 0)
+        before[key] = start + r["_n"]
+        quota = quotas.get(key, 0)
+        if start < quota:  # the last bucket that starts under the quota
+            taken = min(quota - start, r["_n"])
+            found[key] = (r["_b"], taken, r["_n"], taken == r["_n"])
+    rows = [dict(zip([*k.groups, *fields], (*key, *v))) for key, v in found.items()]
+    spark = k.hist.sparkSession
+    return spark.createDataFrame([tuple(r.values()) for r in rows], schema), rows
+
+
 def _thresholds(hist: DataFrame, g: list, quota, max_rows: int):
     """Per group with a positive quota: boundary bucket ``_b_star``, rows
     still needed from it ``_r``, its size ``_n_star`` and whether it is taken
@@ -88,12 +132,13 @@ def _thresholds(hist: DataFrame, g: list, quota, max_rows: int):
 
 def flag_first_rows(k: Keyed, quota, flag: str = "_selected",
                     max_broadcast_rows: int = LOCAL_COPY_ROWS,
-                    rank_limit: int = RANK_LIMIT) -> DataFrame:
+                    rank_limit: int = RANK_LIMIT, quotas: dict | None = None) -> DataFrame:
     """Add boolean ``flag``: row is among the first ``quota`` rows of its group.
 
     ``quota`` is a Column over the group columns (a literal, or a CASE over
     a few labels) or a DataFrame of group columns + ``quota``; groups
-    without a quota get none selected.
+    without a quota get none selected.  ``quotas`` says the same by group
+    tuple; with it a small histogram needs no job.
     """
     g = k.groups
 
@@ -101,7 +146,10 @@ def flag_first_rows(k: Keyed, quota, flag: str = "_selected",
         return F.broadcast(df) if rows is not None else df
 
     levels = []  # (digits, thresholds, local rows)
-    th, rows = _thresholds(k.hist, g, quota, max_broadcast_rows)
+    if k.rows is not None and quotas is not None and len(k.rows) <= max_broadcast_rows:
+        th, rows = _local_thresholds(k, quotas)
+    else:
+        th, rows = _thresholds(k.hist, g, quota, max_broadcast_rows)
     digits = k.digits
     levels.append((digits, th, rows))
     boundary = None
@@ -115,7 +163,7 @@ def flag_first_rows(k: Keyed, quota, flag: str = "_selected",
         if biggest is None:
             break
         cut = side(partial.select(*g, F.col("_b_star").alias("_cut"), "_r"), rows)
-        in_cut = (k.data.select(k.id_col, *g, "_h")
+        in_cut = (k.narrow.select(k.id_col, *g, "_h")
                   .join(cut, g, "inner")
                   .where(hash_bucket("_h", digits) == F.col("_cut")))
         if biggest <= rank_limit or digits + STEP_DIGITS > MAX_DIGITS:
@@ -169,16 +217,25 @@ def _not_null(df: DataFrame, cols) -> DataFrame:
 
 
 def balance_by_downsampling(df: DataFrame, groups=("product_category", "sentiment"),
-                            id_col: str = "id", seed: int = DEFAULT_SEED) -> DataFrame:
+                            id_col: str = "id", seed: int = DEFAULT_SEED,
+                            narrow: DataFrame | None = None) -> DataFrame:
     """From every observed group draw (without replacement, seeded) as many
-    rows as the smallest group holds.  Rows with a null key are dropped."""
+    rows as the smallest group holds.  Rows with a null key are dropped.
+
+    ``narrow``: ``narrow_rows`` of the same rows and seed, if already there."""
     groups = list(groups)
-    k = hash_histogram(_not_null(df, groups), groups, id_col, seed)
-    sizes = group_sizes(k)
-    smallest = sizes.agg(F.min("group_rows")).first()[0]
+    k = hash_histogram(_not_null(df, groups), groups, id_col, seed,
+                       narrow=None if narrow is None else _not_null(narrow, groups))
+    quotas = None
+    if k.rows is not None:
+        sizes = _local_sizes(k)
+        smallest = min(sizes.values(), default=None)
+        quotas = dict.fromkeys(sizes, smallest)
+    else:
+        smallest = group_sizes(k).agg(F.min("group_rows")).first()[0]
     if smallest is None:  # empty input
         return k.data.drop(*_HELPERS)
-    return (flag_first_rows(k, F.lit(int(smallest))).where(F.col("_selected"))
+    return (flag_first_rows(k, F.lit(int(smallest)), quotas=quotas).where(F.col("_selected"))
             .drop("_selected"))
 
 
@@ -208,14 +265,20 @@ def allocate_train_quotas(class_counts: list[tuple], test_size: float = 0.1) ->
 
 def stratified_split(df: DataFrame, label: str = "sentiment", test_size: float = 0.1,
                      id_col: str = "id", seed: int = DEFAULT_SEED, split_col: str = "split",
-                     min_class_rows: int = 2, max_classes: int = 1000) -> DataFrame:
+                     min_class_rows: int = 2, max_classes: int = 1000,
+                     narrow: DataFrame | None = None) -> DataFrame:
     """Exact stratified train/validation split; adds ``split_col`` with
-    values ``train`` / ``validation``.  Null labels are dropped."""
-    k = hash_histogram(_not_null(df, [label]), [label], id_col, seed)
-    rows = group_sizes(k).limit(max_classes + 1).collect()
-    if len(rows) > max_classes:
+    values ``train`` / ``validation``.  Null labels are dropped.
+
+    ``narrow``: ``narrow_rows`` of the same rows and seed, if already there."""
+    k = hash_histogram(_not_null(df, [label]), [label], id_col, seed,
+                       narrow=None if narrow is None else _not_null(narrow, [label]))
+    if k.rows is not None:
+        counts = [(key[0], n) for key, n in _local_sizes(k).items()]
+    else:
+        counts = [(r[label], int(r["group_rows"])) for r in group_sizes(k).limit(max_classes + 1).collect()]
+    if len(counts) > max_classes:
         raise ValueError(f"more than {max_classes} classes in {label}")
-    counts = [(r[label], int(r["group_rows"])) for r in rows]
     small = [c for c, n in counts if n < min_class_rows]
     if small:
         raise ValueError(f"classes with fewer than {min_class_rows} rows: {small}")
@@ -227,7 +290,7 @@ def stratified_split(df: DataFrame, label: str = "sentiment", test_size: float =
     for c, (_, v) in alloc.items():
         quota = (F.when(F.col(label) == F.lit(c), F.lit(v)) if quota is None
                  else quota.when(F.col(label) == F.lit(c), F.lit(v)))
-    flagged = flag_first_rows(k, quota, "_validation")
+    flagged = flag_first_rows(k, quota, "_validation", quotas={(c,): v for c, (_, v) in alloc.items()})
     return (flagged.withColumn(split_col, F.when(F.col("_validation"), F.lit("validation"))
                                .otherwise(F.lit("train")))
             .drop("_validation"))

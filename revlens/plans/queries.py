@@ -16,10 +16,12 @@ from revlens.models import candidates as cand, embedding
 from revlens.operators import bias, cleaning, frequent, naive_bayes as nb, profile, sampling
 from revlens.operators import text as text_ops
 from revlens.plans import flows, sql as sql_plans
-from revlens.plans.datasets import clean_fixture_reviews, clean_order_reviews
+from revlens.plans.datasets import (
+    clean_fixture_reviews, clean_order_reviews, fixture_reviews_with_narrow, order_reviews_with_narrow,
+)
 from revlens.session import ensure_checkpoint_dir
 from revlens.sources.csv_io import labelled_lines
-from revlens.sources.tables import load_table, reviews
+from revlens.sources.tables import load_table, order_reviews, reviews
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -53,7 +55,29 @@ def labelled_reviews(spark, sf_dir):
 
 
 def split_reviews(spark, sf_dir):
-    return sampling.stratified_split(clean_fixture_reviews(spark, sf_dir))
+    clean, narrow = fixture_reviews_with_narrow(spark, sf_dir)
+    return sampling.stratified_split(clean, narrow=narrow)
+
+
+def balanced(spark, sf_dir):
+    clean, narrow = fixture_reviews_with_narrow(spark, sf_dir)
+    return sampling.balance_by_downsampling(clean, narrow=narrow)
+
+
+def split_orders(spark, sf_dir):
+    clean, narrow = order_reviews_with_narrow(spark, sf_dir)
+    return sampling.stratified_split(clean, narrow=narrow)
+
+
+def balanced_order_reviews(spark, sf_dir):
+    clean, narrow = order_reviews_with_narrow(spark, sf_dir)
+    return sampling.balance_by_downsampling(clean, narrow=narrow)
+
+
+def labelled_orders(spark, sf_dir):
+    """Order reviews with a rating and sentiment, before the rare filter."""
+    return cleaning.label_sentiment(cleaning.drop_incomplete(
+        order_reviews(spark, sf_dir), ("star_rating", "product_category")))
 
 
 def texts_with_samples(spark, sf_dir):
@@ -130,7 +154,7 @@ def q_crosscount_orders(spark, sf_dir):
 
 @query("split_sizes_orders")
 def q_split_sizes_orders(spark, sf_dir):
-    return profile.split_sizes(sampling.stratified_split(clean_order_reviews(spark, sf_dir)))
+    return profile.split_sizes(split_orders(spark, sf_dir))
 
 
 @query("count_sentiment_by_category")
@@ -226,12 +250,12 @@ def q_word_count_histogram(spark, sf_dir):
 # --------------------------------------------------------------------- bias
 @query("bias_report")
 def q_bias_report(spark, sf_dir):
-    return round_doubles(bias.bias_report(clean_fixture_reviews(spark, sf_dir)))
+    return round_doubles(bias.bias_report(labelled_reviews(spark, sf_dir), min_rows_exclusive=10))
 
 
 @query("bias_report_orders")
 def q_bias_report_orders(spark, sf_dir):
-    return round_doubles(bias.bias_report(clean_order_reviews(spark, sf_dir)))
+    return round_doubles(bias.bias_report(labelled_orders(spark, sf_dir), min_rows_exclusive=10))
 
 
 def bias_from_config_file(spark, df, pretty=True):
@@ -251,7 +275,7 @@ def q_bias_from_config(spark, sf_dir):
 def q_bias_from_config_balanced(spark, sf_dir):
     """Single-line configuration, balanced data."""
     return bias_from_config_file(
-        spark, sampling.balance_by_downsampling(clean_fixture_reviews(spark, sf_dir)), pretty=False)
+        spark, balanced(spark, sf_dir), pretty=False)
 
 
 @query("bias_report_fine_category")
@@ -262,34 +286,34 @@ def q_bias_report_fine_category(spark, sf_dir):
 # ----------------------------------------------------------------- sampling
 @query("balanced_reviews")
 def q_balanced_reviews(spark, sf_dir):
-    return sampling.balance_by_downsampling(clean_fixture_reviews(spark, sf_dir))
+    return balanced(spark, sf_dir)
 
 
 @query("balanced_orders")
 def q_balanced_orders(spark, sf_dir):
-    return sampling.balance_by_downsampling(clean_order_reviews(spark, sf_dir))
+    return balanced_order_reviews(spark, sf_dir)
 
 
 @query("crosscount_balanced")
 def q_crosscount_balanced(spark, sf_dir):
-    return profile.crosscount(sampling.balance_by_downsampling(clean_fixture_reviews(spark, sf_dir)))
+    return profile.crosscount(balanced(spark, sf_dir))
 
 
 @query("bias_report_balanced")
 def q_bias_report_balanced(spark, sf_dir):
     return round_doubles(bias.bias_report(
-        sampling.balance_by_downsampling(clean_fixture_reviews(spark, sf_dir))))
+        balanced(spark, sf_dir)))
 
 
 @query("bias_report_balanced_orders")
 def q_bias_report_balanced_orders(spark, sf_dir):
     return round_doubles(bias.bias_report(
-        sampling.balance_by_downsampling(clean_order_reviews(spark, sf_dir))))
+        balanced_order_reviews(spark, sf_dir)))
 
 
 @query("training_projection")
 def q_training_projection(spark, sf_dir):
-    return (sampling.balance_by_downsampling(clean_fixture_reviews(spark, sf_dir))
+    return (balanced(spark, sf_dir)
             .select("sentiment", "review_body"))
 
 
@@ -300,7 +324,7 @@ def q_stratified_split(spark, sf_dir):
 
 @query("stratified_split_orders")
 def q_stratified_split_orders(spark, sf_dir):
-    return sampling.stratified_split(clean_order_reviews(spark, sf_dir)).select("id", "sentiment", "split")
+    return split_orders(spark, sf_dir).select("id", "sentiment", "split")
 
 
 @query("split_sizes")
@@ -377,7 +401,10 @@ def q_frequent_tokens(spark, sf_dir):
 
 
 def nb_fitted(spark, sf_dir):
-    data = text_ops.with_tokens(split_reviews(spark, sf_dir))
+    ensure_checkpoint_dir(spark)
+    # Tokenised once: fitting and predicting read the written tokens.
+    data = (text_ops.with_tokens(split_reviews(spark, sf_dir)).select("id", "sentiment", "split", "tokens")
+            .checkpoint(eager=True))
     model = nb.fit_naive_bayes(data.where(F.col("split") == "train"))
     return model, data.where(F.col("split") == "validation")
 
