@@ -574,15 +574,14 @@ def q_best_candidate(spark, sf_dir):
 
 @query("score_reviews")
 def q_score_reviews(spark, sf_dir):
-    """Validation reviews plus the sample reviews, scored by the best
+    """Every review text plus the sample reviews, scored by the best
     candidate of the leaderboard."""
-    _, validation = _train_validation(spark, sf_dir)
     _, results = _leaderboard(spark, sf_dir)
     best = cand.best_result(results)
     samples = spark.createDataFrame(
         [(-(i + 1), t) for i, t in enumerate(text_ops.SAMPLE_SCORING_REVIEWS)],
         "id bigint, review_body string")
-    to_score = validation.select("id", "review_body").unionByName(samples)
+    to_score = review_texts(spark, sf_dir).unionByName(samples)
     return cand.score_with_candidate(best, to_score).withColumn("candidate_name", F.lit(best.name))
 
 
