@@ -6,6 +6,13 @@ next one's docs.  All but the last return the columns of documents.
 
 The classifiers learn labels from the same rows as op4 and op5; every
 stage's statistics come from the documents that its predecessor kept.
+
+Defined cases: every stage takes an empty table and gives one; null and empty
+texts pass the classifiers by the score of a text that says nothing, are no
+near-duplicate, and are packed as their end id alone; without labelled rows
+of both classes nothing is rejected; rows without an id stay; rows that share
+an id are told apart by their texts; other columns pass through to the last
+stage.
 """
 
 from __future__ import annotations
@@ -16,9 +23,10 @@ from pyspark.sql import functions as F
 
 from revlens.llm.minmax_dedup import near_duplicates
 from revlens.llm.packing import best_fit_packing
+from revlens.llm.prefix import ranked
 from revlens.llm.registry import BYTE_BPE, labelled_rows
 from revlens.llm.span_dedup import span_dedup
-from revlens.llm.tables import prepare, table
+from revlens.llm.tables import cut, prepare, table
 from revlens.llm.toxicity import toxicity_scores
 from revlens.llm.zstd_quality import quality_scores
 from revlens.session import scratch_path
@@ -32,30 +40,34 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score is at least 0.7."""
+    """Documents whose quality score is at least 0.7, or that can't be scored
+    as no curve could be fitted."""
     prepare(spark)
     score = quality_scores(docs, labelled_rows(table(spark, sf_dir, "labels"), "quality", 4, 2))
-    return docs.withColumn("__score", score).where("__score >= 0.7").drop("__score")
+    return docs.withColumn("__score", score).where("__score is null or __score >= 0.7").drop("__score")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of every near-duplicate class (five words, 0.8).
+    """One document of every near-duplicate class (five words, 0.8), the first.
 
-    Of rows that repeat an id, one stays; rows without an id stay.
+    Where ids repeat, the rows are numbered in the order of id and text and
+    decided one by one, so a text is never lost through another of its id.
     """
     prepare(spark)
-    classes = near_duplicates(docs, words=5, percent=80)
-    gone = classes.where("not kept").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    if not _repeats(docs):
-        return kept
-    return kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    known = docs.where("doc_id is not null")
+    if _repeats(known):
+        known = ranked(known, ["doc_id", F.xxhash64("text"), "text"], "__row", cut)
+    else:
+        known = known.withColumn("__row", F.col("doc_id"))
+    rows = known.select(F.col("__row").alias("doc_id"), "text")
+    gone = near_duplicates(rows, words=5, percent=80).where("not kept").select(F.col("doc_id").alias("__row")).distinct()
+    kept = known.join(gone, "__row", "left_anti").select(*docs.columns)
+    return kept.unionByName(docs.where("doc_id is null"))
 
 
 def _repeats(docs: DataFrame) -> bool:
     """Whether some id stands in more than one row."""
-    ids = docs.select("doc_id").where("doc_id is not null")
-    return not ids.groupBy("doc_id").count().where("count > 1").isEmpty()
+    return not docs.groupBy("doc_id").count().where("count > 1").isEmpty()
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

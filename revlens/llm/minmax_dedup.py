@@ -16,8 +16,9 @@ members outside the largest component are compared with all members in
 bounded blocks.
 
 Defined cases: null or word-less texts have an empty set and stay alone;
-repeated rows fall in one class; rows of equal id are one node; rows without
-an id link with nothing and have no component; other columns are not read.
+repeated rows fall in one class; rows of equal id and different texts are
+linked by their own texts each, not with one another; rows without an id link
+with nothing and have no component; other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from revlens.llm.components import components
 from revlens.llm.shingles import mix, shingle_set
-from revlens.llm.tables import cut
+from revlens.llm.tables import cut, prepare
 
 #: A band is the minima and maxima of three permutations; at a similarity of
 #: 0.8 a pair escapes all 48 bands with probability (1 - 0.8**6)**48 = 5e-7.
@@ -172,6 +173,7 @@ def _stubborn(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``df``."""
+    prepare(df.sparkSession)
     signed = cut(signatures(df, words, doc_id, text))
     # A class of equal sets: its smallest document stands for it.
     classes = cut(signed.where("set_key is not null and doc_id is not null").groupBy("set_key")

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm.bpe import cached_ids
+from revlens.llm.tables import prepare
 
 #: Open bins of one packing task.
 OPEN_BINS = 256
@@ -113,5 +114,6 @@ def pack(df: DataFrame, capacity: int, tasks: int, bins: int = OPEN_BINS) -> Dat
 def best_fit_packing(df: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2,
                      bins: int = OPEN_BINS, docs_per_task: int = DOCS_PER_TASK) -> DataFrame:
     """Cut, deal and pack; the number of packing tasks follows the table."""
+    prepare(df.sparkSession)
     tasks = max(1, -(-df.count() // docs_per_task))
     return pack(pieces(df, tokenizer, capacity, end_id), capacity, tasks, bins)

@@ -62,7 +62,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     known = labelled_rows(table(spark, sf_dir, "labels"), "quality", 4, 2)
-    return _scored(docs, quality_scores(docs, known), 4, 2, 0.7)
+    return _scored(docs, F.coalesce(quality_scores(docs, known), F.lit(0.5)), 4, 2, 0.7)
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

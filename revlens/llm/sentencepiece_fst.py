@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm.bpe import Remembered
+from revlens.llm.tables import prepare
 
 META = "▁"
 _SEGMENT = regex.compile(f"{META}+[^{META}]*|[^{META}]+")
@@ -132,6 +133,7 @@ def transducer(path: str) -> PieceTransducer:
 
 def encode_documents(df: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids, and whether decoding the ids gives the text back."""
+    prepare(df.sparkSession)
     def encode(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fst = transducer(model)
         for part in parts:

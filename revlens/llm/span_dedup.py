@@ -3,8 +3,8 @@
 From every sentence a run goes on, and back, until it holds several sentences
 and enough words; the hashes of all runs of all texts are joined globally.
 Every longer run is covered by such runs inside it.  The first occurrence of a
-run (smallest document id, then position) stays, and run (smallest document id, then position) stays, and the sentences covered by
-any other occurrence are removed.
+run (smallest document id, then position) stays, and the sentences covered by
+any other occurrence are removed, also by a later one in the same document.
 
 A sentence of more than LONG words counts as several: it ends after words
 chosen by their own letters and the word before, or by ; and :, so
@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm.tables import cut
+from revlens.llm.tables import cut, prepare
 
 #: A run holds at least this many sentences and words.
 SENTENCES, WORDS = 2, 12
@@ -90,6 +90,7 @@ def runs(text: str, least_sentences: int, least_words: int) -> list[tuple[int, i
 def span_dedup(df: DataFrame, least_sentences: int = SENTENCES, least_words: int = WORDS,
                doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``df`` with ``text`` cleaned, and its n_sentences and n_removed."""
+    prepare(df.sparkSession)
     keyed = df.withColumn("__span_key", F.xxhash64(df[doc_id], df[text]))
 
     def hashes(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from revlens.llm.bpe import prefix_counts
+from revlens.llm.tables import prepare
 
 
 def longest_within(counts: np.ndarray, budget: int) -> int:
@@ -45,6 +46,7 @@ def token_counts(df: DataFrame, tokenizer: str, limit: int, doc_id: str = "doc_i
                  text: str = "text") -> DataFrame:
     """Per row: n_bytes, n_tokens, over_limit and cut_chars, the characters
     of the longest prefix that holds at most ``limit`` tokens."""
+    prepare(df.sparkSession)
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counter = prefix_counts(tokenizer)
         for part in parts:

@@ -9,9 +9,9 @@ classifier over the lexicon entries and patterns is then trained on the
 posterior labels and scores every whole text.
 
 Defined cases: null and empty texts get the score of a text without any
-entry; repeated rows get equal scores; without labelled rows of both classes
-every score is 0.5 less than half the tie (0.25: not toxic); other columns
-aren't read.
+entry; repeated rows get equal scores; equal texts labelled differently count
+as one row with the majority's label (ties: not toxic); without labelled rows
+of both classes every score is 0.25 (not toxic); other columns aren't read.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm.linear import fit_logistic, sigmoid
-from revlens.llm.tables import cut
+from revlens.llm.tables import cut, prepare
 
 #: Labelled rows that the classifier is fitted on, at most.
 LABELLED_ROWS = 20_000
@@ -222,11 +222,13 @@ def toxicity_scores(df: DataFrame, labelled: DataFrame, doc_id: str = "doc_id",
     ``labelled`` has columns doc_id and label (0 or 1); at most ``rows`` of
     them, dealt by a hash of the id, are used.
     """
+    prepare(df.sparkSession)
     chosen = (labelled.where("label in (0, 1) and doc_id is not null")
               .select(F.col("doc_id").cast("long").alias("__id"), F.col("label").cast("int").alias("label"))
               .orderBy(F.xxhash64("__id"), "__id", "label").limit(rows))
     sample = cut(df.select(df[doc_id].cast("long").alias("__id"), df[text].alias("text"))
-                 .join(F.broadcast(chosen), "__id").select("text", "label").dropDuplicates(["text"]))
+                 .join(F.broadcast(chosen), "__id").groupBy("text")
+                 .agg((F.avg("label") > 0.5).cast("int").alias("label")))
     entries, weights = fit(sample)
 
     @F.pandas_udf("double")

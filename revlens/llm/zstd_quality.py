@@ -1,14 +1,19 @@
 """Quality by compression.
 
-One zstandard dictionary is built from good and one from bad labelled text.
-A text is cut into blocks, every block is compressed with each dictionary,
-and the difference of the summed sizes, divided by the larger sum, says
-which text it resembles.  A logistic curve fitted on other labelled rows
-turns differences into probabilities.
+The labelled rows are dealt over two halves, and each half gives a pair of
+zstandard dictionaries, one of its good and one of its bad text.  A text is
+cut into blocks, every block is compressed with each dictionary, and the
+difference of the summed sizes says which text it resembles.  The difference
+is normalised twice, by the larger sum and by the text's bytes; the better
+sum per byte says how much a text resembles either at all.  A logistic curve
+over these three numbers, averaged over the two pairs, and their squares makes
+a probability of them; it is fitted on every labelled row's sizes under the
+other half's pair.
 
 Defined cases: null and empty texts compress to equal sizes (difference 0)
 and get the score of that difference; repeated rows get equal scores; without
-labelled rows of both classes every score is 0.5; other columns aren't read.
+labelled rows of both classes (or too few for a pair of dictionaries) every
+score is null; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm.linear import fit_logistic, sigmoid
-from revlens.llm.tables import cut
+from revlens.llm.tables import cut, prepare
 
 #: Labelled rows that dictionaries and curve are fitted on, at most.
 LABELLED_ROWS = 20_000
@@ -47,15 +52,15 @@ def compressors(good: bytes, bad: bytes) -> list[zstandard.ZstdCompressor]:
     return out
 
 
-def features(text: str | None, dictionaries: tuple[bytes, bytes]) -> tuple[float, ...]:
+def features(text: str | None, dictionaries: tuple[bytes, bytes]) -> tuple[float, float, float]:
     """The size difference over the larger sum and over the text's bytes, and
-    what the curve is bent by: the better sum per byte and the log length."""
+    the better sum over the text's bytes, which bends the curve."""
     raw = (text or "").encode()
     if not raw:
-        return 0.0, 0.0, 0.0, 0.0
+        return 0.0, 0.0, 0.0
     own = blocks(raw)
     good, bad = (sum(len(c.compress(b)) for b in own) for c in compressors(*dictionaries))
-    return (bad - good) / max(good, bad), (bad - good) / len(raw), min(good, bad) / len(raw), float(np.log(len(raw)))
+    return (bad - good) / max(good, bad), (bad - good) / len(raw), min(good, bad) / len(raw)
 
 
 class Curve:
@@ -105,10 +110,10 @@ def quality_scores(df: DataFrame, labelled: DataFrame, doc_id: str = "doc_id", t
     """Score column for ``df``: probability that a text is good.
 
     ``labelled`` has columns doc_id and label (1: good); at most ``rows`` of
-    them, dealt by a hash of the id, are used.  Two halves give a pair of
-    dictionaries each; the curve is fitted on every row's sizes with the
-    other half's pair, and the first pair serves the scores.
+    them, dealt by a hash of the id, are used.  Null where no curve can be
+    fitted.
     """
+    prepare(df.sparkSession)
     dealt = F.pmod(F.xxhash64("__id", F.lit(7)), F.lit(2))
     chosen = (labelled.where("label in (0, 1) and doc_id is not null")
               .select(F.col("doc_id").cast("long").alias("__id"), F.col("label").cast("int").alias("label"))
@@ -116,7 +121,7 @@ def quality_scores(df: DataFrame, labelled: DataFrame, doc_id: str = "doc_id", t
     sample = cut(df.select(df[doc_id].cast("long").alias("__id"), df[text].alias("text"))
                  .join(F.broadcast(chosen), "__id").withColumn("side", dealt))
     sides = [_dictionaries(sample.where(F.col("side") == side)) for side in (0, 1)]
-    both = sides[0] if all(sides[0]) else sides[1]
+    pairs = [pair for pair in sides if all(pair)]
 
     def measure(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -124,7 +129,7 @@ def quality_scores(df: DataFrame, labelled: DataFrame, doc_id: str = "doc_id", t
                 list(features(t, sides[1 - side])) for t, side in zip(part["text"], part["side"])]})
 
     curve = None
-    if all(both):
+    if pairs:
         # Every row is measured with the dictionaries that it isn't part of.
         whole = [side for side in (0, 1) if all(sides[1 - side])]
         seen = sample.where(F.col("side").isin(whole)).select("label", "text", "side").mapInPandas(
@@ -132,10 +137,12 @@ def quality_scores(df: DataFrame, labelled: DataFrame, doc_id: str = "doc_id", t
         if seen["label"].nunique() == 2:
             curve = Curve(np.stack(seen["x"].to_list()), seen["label"].to_numpy(float))
 
+    if curve is None:
+        return F.lit(None).cast("double")
+
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        if curve is None:
-            return pd.Series(np.full(len(texts), 0.5))
-        return pd.Series(curve(np.array([features(t, both) for t in texts]).reshape(-1, 4)))
+        seen = [np.array([features(t, pair) for t in texts]).reshape(-1, 3) for pair in pairs]
+        return pd.Series(curve(np.mean(seen, axis=0)))
 
     return score(F.col(text))

@@ -38,11 +38,22 @@ def test_held_out_accuracy(spark, queries, name, column, folds, out, least):
 def test_classifier_edges(spark, edges, nothing, scores):
     labelled = spark.createDataFrame([(7, 1), (8, 0), (10, 0), (4, None), (None, 1)], "doc_id long, label int")
     got = edges.withColumn("found", scores(edges, labelled)).select("found", "text").collect()
-    assert len(got) == edges.count() and all(0 <= r.found <= 1 for r in got)
+    # Two labelled rows are too few for quality's pairs of dictionaries: null.
+    assert len(got) == edges.count() and all(0 <= r.found <= 1 if scores is toxicity_scores else r.found is None for r in got)
     assert len({r.found for r in got if r.text == "one"}) == 1
     assert nothing.withColumn("found", scores(nothing, labelled)).collect() == []
 
 
+def test_equal_texts_count_once_with_the_majority(spark):
+    rows = [(i, "you are a vile fool" if i % 3 else f"calm words {i % 7}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    known = df.select("doc_id", (F.col("doc_id") % 3 > 0).cast("int").alias("label"))
+    known = known.withColumn("label", F.when(F.col("doc_id") == 1, 0).otherwise(F.col("label")))  # one dissent
+    a, b = ([r.found for r in d.withColumn("found", toxicity_scores(d, known)).orderBy("doc_id").collect()]
+            for d in (df.coalesce(1), df.orderBy("text").repartition(5)))
+    assert a == b
+
+
 def test_label_model_finds_accuracies_and_correlations():
     rng = np.random.default_rng(1)
     y = rng.random(4000) < 0.2
