@@ -341,6 +341,32 @@ SELECT id, {norm_sql('review_body')} AS normalized FROM texts"""
 ORACLE_SQL["tokenize_reviews"] = "WITH " + TEXTS_CTE.lstrip(",") + f"""
 SELECT id, {tok_sql('review_body')} AS tokens_text FROM texts"""
 
+ABBREVIATION_CTE = "WITH " + TEXTS_CTE.lstrip(",") + r""",
+seen AS (SELECT unnest(regexp_split_to_array(lower(review_body), '\s+')) AS t FROM texts),
+parts AS (SELECT regexp_extract(t, '^[^\p{L}]*(\p{L}+(?:\.\p{L}+)*)(\.?)[^\p{L}.]*$', 1) AS word,
+                 regexp_extract(t, '^[^\p{L}]*(\p{L}+(?:\.\p{L}+)*)(\.?)[^\p{L}.]*$', 2) = '.' AS period FROM seen),
+counted AS (SELECT word, count(*) FILTER (period) AS n_period, count(*) FILTER (NOT period) AS n_plain
+            FROM parts WHERE word <> '' GROUP BY word),
+shares AS (SELECT sum(n_period)::DOUBLE / sum(n_period + n_plain) AS p FROM counted),
+abbr AS (
+  SELECT word, n_period, n_plain, length(replace(word, '.', ''))::DOUBLE AS letters,
+         CASE WHEN p < 1 THEN
+         -2 * ((n_period * ln(p) + n_plain * ln(1 - p)) - (n_period * ln(0.99::DOUBLE) + n_plain * ln(1 - 0.99::DOUBLE)))
+         * exp(-letters) * (length(word) - letters + 1) * pow(letters, -n_plain::DOUBLE) END AS score
+  FROM counted, shares WHERE n_period > 0)"""
+
+ORACLE_SQL["abbreviation_scores"] = ABBREVIATION_CTE + """
+SELECT word, n_period, n_plain, round(score, 6) AS score FROM abbr"""
+
+ORACLE_SQL["tokenize_abbreviations"] = ABBREVIATION_CTE + f""",
+found AS (SELECT coalesce(list(word), []) AS known FROM abbr WHERE score >= 0.3),
+toks AS (SELECT id, {tokens_sql(tok_sql('review_body'))} AS tokens FROM texts)
+SELECT id, array_to_string(list_filter(list_transform(tokens, lambda t, i:
+    CASE WHEN i < len(tokens) - 1 AND tokens[i + 1] = '.' AND list_contains(known, t) THEN t || '.'
+         WHEN t = '.' AND i > 1 AND i < len(tokens) AND list_contains(known, tokens[i - 1]) THEN NULL
+         ELSE t END), lambda x: x IS NOT NULL), ' ') AS tokens_text
+FROM toks, found"""
+
 ORACLE_SQL["label_prefix"] = with_reviews(""",
 lab AS (SELECT id, CAST(sentiment AS VARCHAR) AS label FROM clean
         UNION ALL SELECT * FROM (VALUES (-1, '__label__1'), (-2, 'able'), (-3, '__label__able')) v(id, label)),

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from revlens.functions.sentiment import rating_to_sentiment
 from revlens.models import candidates as cand, embedding
-from revlens.operators import bias, cleaning, frequent, naive_bayes as nb, profile, sampling
+from revlens.operators import abbreviations as abbr, bias, cleaning, frequent, naive_bayes as nb, profile, sampling
 from revlens.operators import text as text_ops
 from revlens.plans import flows, sql as sql_plans
 from revlens.plans.datasets import (
@@ -344,6 +344,21 @@ def q_tokenize_reviews(spark, sf_dir):
     return text_ops.tokenize_reviews(texts_with_samples(spark, sf_dir)).select("id", "tokens_text")
 
 
+@query("abbreviation_scores")
+def q_abbreviation_scores(spark, sf_dir):
+    """How much every word with a final period looks like an abbreviation."""
+    return round_doubles(abbr.abbreviation_scores(texts_with_samples(spark, sf_dir)))
+
+
+@query("tokenize_abbreviations")
+def q_tokenize_abbreviations(spark, sf_dir):
+    """The tokens of every text, with the corpus' abbreviations kept whole."""
+    texts = texts_with_samples(spark, sf_dir)
+    found = abbr.abbreviations(abbr.abbreviation_scores(texts))
+    kept = abbr.keep_abbreviation_periods(text_ops.with_tokens(texts), found)
+    return kept.select("id", F.array_join("tokens", " ").alias("tokens_text"))
+
+
 @query("label_prefix")
 def q_label_prefix(spark, sf_dir):
     labels = clean_fixture_reviews(spark, sf_dir).select(
