@@ -190,6 +190,8 @@ FROM reviews""")
 ORACLE_SQL["clean_raw_csv"] = with_reviews(
     "SELECT sentiment, review_body, product_category FROM clean")
 
+ORACLE_SQL["clean_raw_csv_splits"] = ORACLE_SQL["clean_raw_csv"]
+
 ORACLE_SQL["clean_reviews"] = with_reviews("SELECT id, sentiment, review_body, product_category FROM clean")
 
 ORACLE_SQL["rare_category_filter"] = with_reviews("""

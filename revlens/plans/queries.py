@@ -109,6 +109,15 @@ def q_clean_raw_csv(spark, sf_dir):
     return cleaning.clean_raw_reviews(read_raw_reviews(spark, path))
 
 
+@query("clean_raw_csv_splits")
+def q_clean_raw_csv_splits(spark, sf_dir):
+    """As clean_raw_csv, each file read by many tasks."""
+    from revlens.session import scratch_path
+    from revlens.sources.csv_io import read_raw_reviews
+    path = flows.write_raw_reviews_csv(spark, reviews(spark, sf_dir), scratch_path(spark, "raw-csv"))
+    return cleaning.clean_raw_reviews(read_raw_reviews(spark, path, splittable=True))
+
+
 @query("clean_reviews")
 def q_clean_reviews(spark, sf_dir):
     return clean_fixture_reviews(spark, sf_dir)

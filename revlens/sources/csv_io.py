@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from revlens.functions.text import add_label_prefix
+from revlens.sources.quoted_csv import read_quoted_csv
 
 # Spellings that pandas' CSV reader turns into a missing value.
 NA_SPELLINGS = [
@@ -49,10 +50,16 @@ def null_if_na(col: str) -> F.Column:
     return F.when(c.isin(*NA_SPELLINGS), F.lit(None).cast("string")).otherwise(c)
 
 
-def read_raw_reviews(spark: SparkSession, path: str, index_column: bool = True) -> DataFrame:
+def read_raw_reviews(spark: SparkSession, path: str, index_column: bool = True,
+                     splittable: bool = False) -> DataFrame:
     """Raw headed CSV; the first (index) column is dropped, NA spellings are
-    null, every other column stays a string (cast later by name)."""
+    null, every other column stays a string (cast later by name).
+
+    ``splittable`` reads large files by many tasks (``quoted_csv``); without
+    it a file, whose quoted cells may hold newlines, is one task's work."""
     df = _reader(spark).load(path)
+    if splittable:
+        df = read_quoted_csv(spark, path, df.columns)
     cols = df.columns[1:] if index_column else df.columns
     return df.select([null_if_na(c).alias(c) for c in cols])
 

@@ -1,0 +1,106 @@
+"""Quoted CSV read by splits: equal to one task per file, whatever the splits."""
+
+import os
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+
+from revlens.sources.csv_io import _reader, read_raw_reviews
+from revlens.sources.quoted_csv import _lines, read_quoted_csv
+
+CONF = "spark.sql.files.maxPartitionBytes"
+
+
+def quoted(cell):
+    return '"' + cell.replace('"', '""') + '"' if any(c in cell for c in '",\n\r') else cell
+
+
+def write(folder, name, rows, end="\n"):
+    path = os.path.join(folder, name)
+    with open(path, "w", newline="") as f:
+        f.write("".join(",".join(map(quoted, r)) + end for r in rows))
+    return path
+
+
+def rows_of(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+@pytest.fixture
+def small_splits(spark):
+    before, parts = spark.conf.get(CONF), spark.conf.get("spark.sql.files.openCostInBytes")
+    yield lambda n: (spark.conf.set(CONF, n), spark.conf.set("spark.sql.files.openCostInBytes", 1))
+    spark.conf.set(CONF, before)
+    spark.conf.set("spark.sql.files.openCostInBytes", parts)
+
+
+def both(spark, path):
+    columns = _reader(spark).load(path).columns
+    return rows_of(read_quoted_csv(spark, path, columns)), rows_of(_reader(spark).load(path))
+
+
+@pytest.mark.parametrize("size", [23, 64, 1000, 100_000])
+def test_equals_one_task_per_file_for_all_split_sizes(spark, tmp_dir, small_splits, size):
+    rows = [["id", "text", "n"]]
+    for i in range(120):
+        text = ["plain words", "a, b", 'say ""x""', "line\nline\n\nline, \"q\"", "é" * (i % 7) + "x",
+                "long " * 40 + "\n" + "tail" * 30, "\n\n\n"][i % 7]
+        rows.append([str(i), text, "x" * (i % 3) + "y"])
+    write(tmp_dir, "a.csv", rows)
+    write(tmp_dir, "b.csv", rows[:1] + [[f"b{r[0]}", *r[1:]] for r in rows[1:50]])
+    small_splits(size)
+    got, want = both(spark, tmp_dir)
+    assert got == want and len(got) == 169
+    if size <= 64:
+        assert _lines(spark, tmp_dir).rdd.getNumPartitions() > 50
+
+
+def test_record_over_many_splits_and_empty_lines(spark, tmp_dir, small_splits):
+    big = "\n".join(f"row {i}, {'z' * (i % 11)}" for i in range(200))
+    path = write(tmp_dir, "a.csv", [["id", "text"], ["1", big], ["2", "x"], ["3", big]])
+    with open(path, "a") as f:
+        f.write("\n\n4,last")  # no newline at the end
+    small_splits(40)
+    got = rows_of(read_quoted_csv(spark, path, ["id", "text"]))
+    assert got == [("1", big), ("2", "x"), ("3", big), ("4", "last")]
+
+
+def test_carriage_returns_end_records(spark, tmp_dir, small_splits):
+    path = write(tmp_dir, "a.csv", [["id", "text"], ["1", "a\nb"], ["2", "c"], ["3", "d,e"]], end="\r\n")
+    small_splits(16)
+    assert rows_of(read_quoted_csv(spark, path, ["id", "text"])) == [("1", "a\nb"), ("2", "c"), ("3", "d,e")]
+
+
+def test_header_alone_empty_file_and_short_rows(spark, tmp_dir):
+    write(tmp_dir, "a.csv", [["id", "text"]])
+    open(os.path.join(tmp_dir, "b.csv"), "w").close()
+    assert rows_of(read_quoted_csv(spark, tmp_dir, ["id", "text"])) == []
+    path = write(tmp_dir, "c.csv", [["id", "text"], ["7"]])
+    assert rows_of(read_quoted_csv(spark, path, ["id", "text"])) == [("7", None)]
+
+
+def test_unclosed_quote_reaches_the_end(spark, tmp_dir, small_splits):
+    path = os.path.join(tmp_dir, "a.csv")
+    with open(path, "w") as f:
+        f.write('id,text\n1,a\n2,"open\nmore\nand more\n')
+    small_splits(12)
+    got = rows_of(read_quoted_csv(spark, path, ["id", "text"]))
+    assert [g[0] for g in got] == ["1", "2"] and "and more" in got[1][1]
+
+
+def test_raw_reader_gives_the_same_rows(spark, tmp_dir, small_splits):
+    path = write(tmp_dir, "a.csv", [[" ", "Review Text", "Rating"]] +
+                 [[str(i), f"text {i}\nnext, \"{i}\"", "nan" if i % 5 == 0 else str(i % 5)] for i in range(60)])
+    small_splits(50)
+    assert rows_of(read_raw_reviews(spark, path, splittable=True).na.fill("")) == \
+        rows_of(read_raw_reviews(spark, path).na.fill(""))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(cells=st.lists(st.text(alphabet='ab",\n ', min_size=0, max_size=20), min_size=1, max_size=25), size=st.integers(7, 60))
+def test_any_cells(spark, tmp_dir, small_splits, cells, size):
+    import tempfile
+    path = write(tempfile.mkdtemp(dir=tmp_dir), "a.csv", [["id", "text"]] + [[str(i), "x" + c] for i, c in enumerate(cells)])
+    small_splits(size)
+    got = rows_of(read_quoted_csv(spark, path, ["id", "text"]))
+    assert got == sorted((str(i), "x" + c) for i, c in enumerate(cells))
