@@ -303,6 +303,19 @@ ORACLE_SQL["bias_from_config_balanced"] = with_reviews(
     + bias_sql("balanced").replace("SELECT CAST(f AS VARCHAR) AS facet_value,",
                                    "SELECT 'product_category' AS facet, CAST(f AS VARCHAR) AS facet_value, "
                                    "'report' AS report,"))
+ORACLE_SQL["bias_from_config_groups"] = "SELECT * FROM (" + with_reviews(
+    bias_sql("clean", "CASE WHEN product_category IN ('en', 'de') THEN 'en,de' "
+                      "WHEN product_category IS NOT NULL THEN 'rest' END")
+    .replace("SELECT CAST(f AS VARCHAR) AS facet_value,",
+             "SELECT 'product_category' AS facet, CAST(f AS VARCHAR) AS facet_value, "
+             "'report' AS report,")) + ") WHERE facet_value = 'en,de'"
+# The sketches' random choices are free; what must hold is their stated error.
+ORACLE_SQL["word_count_quantile_errors"] = with_reviews("""
+SELECT product_category, level, true AS kept
+FROM (SELECT DISTINCT product_category FROM reviews WHERE review_body IS NOT NULL),
+     (SELECT unnest([0.1, 0.25, 0.5, 0.75, 0.9, 0.99])::DOUBLE AS level)""")
+ORACLE_SQL["stream_scored_once"] = "SELECT doc_id AS id, count(DISTINCT doc_id) AS times FROM documents GROUP BY doc_id"
+
 ORACLE_SQL["bias_report_fine_category"] = with_reviews(bias_sql("labelled", "fine_category"))
 
 # ----------------------------------------------------------------- sampling

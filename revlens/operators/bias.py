@@ -141,15 +141,72 @@ def bias_report(df: DataFrame, label: str = "sentiment", facet: str = "product_c
     return stage3.select("facet_value", *[expr[m].alias(m.lower()) for m in methods])
 
 
+def column_of(df: DataFrame, name_or_index, headers=()) -> str:
+    """A column by its name, or by its place (from 0) in the headers, or, without
+    headers, in the data.  A name that looks like a number wins over a place."""
+    name = str(name_or_index)
+    if name in df.columns:
+        return name
+    among = list(headers or df.columns)
+    if not name.isdecimal() or int(name) >= len(among) or among[int(name)] not in df.columns:
+        raise ValueError(f"no column {name_or_index!r} among {df.columns}")
+    return among[int(name)]
+
+
+def _group(df: DataFrame, col: str, values) -> Column:
+    """Whether a column's value is of the group that ``values`` describe.
+
+    A fractional column takes one threshold (larger values are of the group);
+    any other column a list of values, compared as the column's type.  Null stays null."""
+    kind = dict(df.dtypes)[col]
+    if kind in ("float", "double") or kind.startswith("decimal"):
+        if len(values) != 1:
+            raise ValueError(f"{col} is fractional: one threshold expected, got {list(values)}")
+        return F.col(col) > F.lit(float(values[0]))
+    return F.col(col).isin(*[F.lit(str(v)).try_cast(kind) for v in values])
+
+
+def group_name(df: DataFrame, col: str, values) -> str:
+    """How a report calls such a group: ``>2.5`` or ``a,b``."""
+    fractional = dict(df.dtypes)[col] in ("float", "double") or dict(df.dtypes)[col].startswith("decimal")
+    return f">{float(values[0])}" if fractional else ",".join(map(str, values))
+
+
 def bias_report_from_config(df: DataFrame, config) -> DataFrame:
     """Run ``bias_report`` for every facet of a ``BiasConfig``; adds the facet
-    column name (``facet``) and the report name."""
+    column's name (``facet``) and the report name.
+
+    The label and the facets are names or column numbers.  A fractional label
+    is cut at its threshold first.  A facet with values or a threshold has one
+    row, for that group against all others; without, one row per value.
+    Without facets the report is an empty table."""
+    label = column_of(df, config.label, config.headers)
+    fractional = dict(df.dtypes)[label] in ("float", "double") or dict(df.dtypes)[label].startswith("decimal")
+    if fractional:
+        above = _group(df, label, config.positive_values)
+        df, positive = df.withColumn(label, above.cast("int")), [1]
+    else:
+        kind = dict(df.dtypes)[label]
+        spelled = [F.lit(str(v)).try_cast(kind).alias(f"v{i}") for i, v in enumerate(config.positive_values)]
+        positive = list(df.sparkSession.range(1).select(*spelled).first()) if spelled else []
+    methods = config.methods or ALL_METHODS
     parts = []
-    for facet in config.facets:
-        rep = bias_report(df, label=config.label, facet=facet,
-                          positive_values=config.positive_values,
-                          methods=config.methods or ALL_METHODS)
+    for i, named in enumerate(config.facets):
+        facet = column_of(df, named, config.headers)
+        values = (config.facet_values or [None] * len(config.facets))[i]
+        if facet == label:
+            raise ValueError(f"{facet} is the label and a facet")
+        if values:
+            name = group_name(df, facet, values)
+            own = df.withColumn(facet, F.when(_group(df, facet, values), "group").when(F.col(facet).isNotNull(), "rest"))
+            rep = (bias_report(own, label, facet, positive, methods).where("facet_value = 'group'")
+                   .withColumn("facet_value", F.lit(name)))
+        else:
+            rep = bias_report(df, label, facet, positive, methods)
         parts.append(rep.select(F.lit(facet).alias("facet"), "*"))
+    if not parts:
+        schema = "facet string, facet_value string, " + ", ".join(f"{m.lower()} double" for m in methods)
+        return df.sparkSession.createDataFrame([], schema).withColumn("report", F.lit(config.report_name))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

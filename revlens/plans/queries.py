@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from revlens.functions.sentiment import rating_to_sentiment
 from revlens.models import candidates as cand, embedding
-from revlens.operators import abbreviations as abbr, bias, cleaning, frequent, naive_bayes as nb, profile, sampling
+from revlens.operators import abbreviations as abbr, bias, cleaning, frequent, naive_bayes as nb, profile, quantiles, sampling
 from revlens.operators import text as text_ops
 from revlens.plans import flows, sql as sql_plans
 from revlens.plans.datasets import (
@@ -92,6 +92,15 @@ def texts_with_samples(spark, sf_dir):
     return docs.unionByName(extra)
 
 
+def _counted_reviews(spark, sf_dir):
+    from revlens.functions.text import word_count
+    return reviews(spark, sf_dir).select("product_category", "fine_category", word_count("review_body").alias("num_words"))
+
+
+def _word_count_sketches(spark, sf_dir):
+    return quantiles.sketch(_counted_reviews(spark, sf_dir), ["product_category", "fine_category"], "num_words")
+
+
 # ----------------------------------------------------------------- cleaning
 @query("rating_to_sentiment")
 def q_rating_to_sentiment(spark, sf_dir):
@@ -287,11 +296,39 @@ def q_bias_from_config_balanced(spark, sf_dir):
         spark, balanced(spark, sf_dir), pretty=False)
 
 
+@query("bias_from_config_groups")
+def q_bias_from_config_groups(spark, sf_dir):
+    """Label and facet given as column numbers, the label's value as text, and
+    two languages together as the facet's group."""
+    from revlens.session import scratch_path
+    from revlens.sources.config import DEFAULT_BIAS_CONFIG, read_bias_config, write_bias_config
+    config = DEFAULT_BIAS_CONFIG | {
+        "label": "0", "label_values_or_threshold": ["1"],
+        "facet": [{"name_or_index": 2, "value_or_threshold": ["en", "de"]}]}
+    path = write_bias_config(spark, scratch_path(spark, "bias-config"), config)
+    return round_doubles(bias.bias_report_from_config(clean_fixture_reviews(spark, sf_dir), read_bias_config(spark, path)))
+
+
 @query("bias_report_fine_category")
 def q_bias_report_fine_category(spark, sf_dir):
     return round_doubles(bias.bias_report(labelled_reviews(spark, sf_dir), facet="fine_category"))
 
 
+@query("word_count_quantiles")
+def q_word_count_quantiles(spark, sf_dir):
+    """Word-count quantiles per category from sketches kept per fine category."""
+    return quantiles.read(quantiles.merge(_word_count_sketches(spark, sf_dir), ["product_category"]))
+
+
+@query("word_count_quantile_errors")
+def q_word_count_quantile_errors(spark, sf_dir):
+    """Whether each of these quantiles keeps the stated rank error."""
+    counted = _counted_reviews(spark, sf_dir)
+    found = quantiles.read(quantiles.merge(_word_count_sketches(spark, sf_dir), ["product_category"]))
+    return (quantiles.rank_errors(counted, found, "product_category", "num_words")
+            .select("product_category", "level", (F.col("error") <= quantiles.rank_error()).alias("kept")))
+
+
 # ----------------------------------------------------------------- sampling
 @query("balanced_reviews")
 def q_balanced_reviews(spark, sf_dir):
@@ -626,3 +663,24 @@ def q_stream_score_reviews(spark, sf_dir):
     q = start_scoring(model, stream, sink, ckpt, text_col="text")
     q.awaitTermination()
     return spark.read.parquet(sink)
+
+
+@query("stream_scored_once")
+def q_stream_scored_once(spark, sf_dir):
+    """Every document through the restartable sink, started twice on the same
+    checkpoint, the second time with every document delivered again: how often
+    each id was scored."""
+    import os
+
+    from revlens.session import scratch_path
+    from revlens.streaming.scoring import read_scored, start_scoring_once
+    model = ngram_model(spark, sf_dir)
+    arriving = scratch_path(spark, "arriving")
+    documents = load_table(spark, sf_dir, "documents")
+    sink, ckpt = scratch_path(spark, "scored-once"), scratch_path(spark, "scored-once-ckpt")
+    for delivery in ("first", "again"):
+        documents.write.parquet(os.path.join(arriving, f"delivery={delivery}"))
+        stream = (spark.readStream.schema(documents.schema).parquet(os.path.join(arriving, "delivery=*"))
+                  .withColumn("arrived", F.col("_metadata.file_modification_time")).withColumnRenamed("doc_id", "id"))
+        start_scoring_once(model, stream, sink, ckpt, text_col="text").awaitTermination()
+    return read_scored(spark, sink).groupBy("id").agg(F.count(F.lit(1)).alias("times"))

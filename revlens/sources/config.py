@@ -5,16 +5,17 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
-from pyspark.sql.types import (
-    ArrayType, IntegerType, StringType, StructField, StructType,
-)
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+# Values are read as their spelling, numbers and booleans too; the columns' types decide.
 BIAS_CONFIG_SCHEMA = StructType([
     StructField("dataset_type", StringType()),
     StructField("headers", ArrayType(StringType())),
     StructField("label", StringType()),
-    StructField("label_values_or_threshold", ArrayType(IntegerType())),
-    StructField("facet", ArrayType(StructType([StructField("name_or_index", StringType())]))),
+    StructField("label_values_or_threshold", ArrayType(StringType())),
+    StructField("facet", ArrayType(StructType([
+        StructField("name_or_index", StringType()),
+        StructField("value_or_threshold", ArrayType(StringType()))]))),
     StructField("methods", StructType([
         StructField("pre_training_bias", StructType([
             StructField("methods", ArrayType(StringType()))])),
@@ -60,6 +61,13 @@ class BiasConfig:
     dataset_type: str = "text/csv"
     report_name: str = "report"
     report_title: str = "Analysis Report"
+    #: Per facet the values (or the threshold) that make its group, None: each value in turn.
+    facet_values: list = field(default_factory=list)
+
+
+def _plain(spelling: str):
+    """A whole number as such, anything else as it is spelled."""
+    return int(spelling) if spelling.lstrip("-").isdecimal() and str(int(spelling)) == spelling else spelling
 
 
 def read_bias_config(spark: SparkSession, path: str) -> BiasConfig:
@@ -75,8 +83,9 @@ def read_bias_config(spark: SparkSession, path: str) -> BiasConfig:
     report = methods["report"] if methods else None
     return BiasConfig(
         label=r["label"],
-        positive_values=list(r["label_values_or_threshold"] or []),
+        positive_values=[_plain(v) for v in (r["label_values_or_threshold"] or [])],
         facets=[f["name_or_index"] for f in (r["facet"] or [])],
+        facet_values=[f["value_or_threshold"] or None for f in (r["facet"] or [])],
         methods=list(pre or []),
         headers=list(r["headers"] or []),
         dataset_type=r["dataset_type"] or "text/csv",

@@ -10,12 +10,13 @@ SF = "/root/testdata/sf0.001"
 # Keys without an oracle: model training, model comparison and streaming.
 ROWS_ONLY = {"train_text_classifier", "training_metrics", "candidate_leaderboard",
              "best_candidate", "score_reviews", "stream_score_reviews",
-             "train_embedding_classifier", "embedding_training_metrics"}
+             "train_embedding_classifier", "embedding_training_metrics", "word_count_quantiles"}
 
 FAST_KEYS = ["count_by_category_sentiment", "clean_reviews", "bias_report", "balanced_reviews",
              "stratified_split", "word_count_histogram", "tokenize_reviews", "sentiment_totals",
              "nb_predictions", "stage_shapes", "frequent_ngrams", "frequent_tokens",
-             "abbreviation_scores", "tokenize_abbreviations"]
+             "abbreviation_scores", "tokenize_abbreviations", "clean_raw_csv_splits",
+             "bias_from_config_groups", "word_count_quantile_errors"]
 
 
 def test_entry_smoke(spark):
