@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from revlens.functions.sentiment import rating_to_sentiment
-from revlens.models import candidates as cand, embedding
+from revlens.models import candidates as cand, embedding, halving
 from revlens.operators import abbreviations as abbr, bias, cleaning, frequent, naive_bayes as nb, profile, quantiles, sampling
 from revlens.operators import text as text_ops
 from revlens.plans import flows, sql as sql_plans
@@ -607,6 +607,20 @@ def q_train_embedding_classifier(spark, sf_dir):
             .select("id", "sentiment", "prediction"))
 
 
+#: Settings that the halving starts from.
+HALVING_GRID = {f"words_{n}_reg_{reg}": {"max_n": n, "reg_param": reg}
+                for n in (1, 3) for reg in (0.001, 0.01)}
+
+
+@query("halving_table")
+def q_halving_table(spark, sf_dir):
+    """Rung, setting, rows, validation accuracy and whether it went on: n-gram
+    settings on nested samples, the last on all training rows."""
+    train, validation = _train_validation(spark, sf_dir)
+    found = _memo(spark, sf_dir, "halving", lambda: halving.halve_ngram_lr(train, validation, HALVING_GRID))
+    return found.table(spark)
+
+
 @query("embedding_training_metrics")
 def q_embedding_training_metrics(spark, sf_dir):
     """Loss on the training and accuracy on the validation part per epoch."""

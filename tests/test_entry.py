@@ -10,7 +10,8 @@ SF = "/root/testdata/sf0.001"
 # Keys without an oracle: model training, model comparison and streaming.
 ROWS_ONLY = {"train_text_classifier", "training_metrics", "candidate_leaderboard",
              "best_candidate", "score_reviews", "stream_score_reviews",
-             "train_embedding_classifier", "embedding_training_metrics", "word_count_quantiles"}
+             "train_embedding_classifier", "embedding_training_metrics", "word_count_quantiles",
+             "halving_table"}
 
 FAST_KEYS = ["count_by_category_sentiment", "clean_reviews", "bias_report", "balanced_reviews",
              "stratified_split", "word_count_histogram", "tokenize_reviews", "sentiment_totals",
