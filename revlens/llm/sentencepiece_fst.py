@@ -1,15 +1,21 @@
-"""SentencePiece encoding and decoding by weighted transducers.
+"""SentencePiece encoding and decoding by weighted paths.
 
-Three machines are compiled from a model file: the normaliser (a leading
-meta space, spaces to meta spaces), the acceptor of the pieces, and byte
-fallback for characters that no piece covers.  Composed with an input they
-give a lattice whose arcs are pieces between character positions.
+A model file gives a normaliser (a leading meta space, spaces to meta
+spaces), its pieces, and bytes for characters that no piece covers.  Over an
+input they make a lattice whose arcs are pieces between character positions.
 
-The model's merges are not a sum of piece scores, so the weights sit on
-pairs of following arcs: 0 where merging the two pieces' text leaves their
-border, infinite where it merges across.  The tropical shortest path over
-the lattice is then the only path of finite weight, and it is the library's
-segmentation.
+Unigram models weigh an arc by the piece's negative score; the shortest path
+of the tropical semiring is found by relaxing the arcs from left to right, in
+single precision and with the library's preference among equal paths.
+
+Models that segment by merges have no sum of piece scores.  Their weights sit
+on pairs of following arcs: 0 where merging the two pieces' text leaves their
+border, infinite where it merges across.  The only path of finite weight is
+the library's segmentation; it is followed from position to position, taking
+at each the one arc that may come there.  The lattice is walked directly: no
+machine is built and composed beforehand.  Other kinds of models, and unigram
+models with user-defined pieces, without byte pieces or with scores below
+-10^6, are refused.
 
 Defined cases: a null text counts as empty; an empty text has no ids;
 repeated rows are encoded each; other columns are not read.
@@ -34,6 +40,45 @@ META = "▁"
 _SEGMENT = regex.compile(f"{META}+[^{META}]*|[^{META}]+")
 
 
+#: Fields of a model file: its training settings, and in them the kind of model.
+_SETTINGS, _KIND, UNIGRAM, MERGES = 2, 3, 1, 2
+#: Of a piece: the field of its type, and the types of normal and user-defined ones.
+_TYPE, _NORMAL, _USER = 3, 1, 4
+#: How far below the lowest score a character without a piece stands (fixed by the library).
+UNKNOWN_PENALTY = 10.0
+
+
+def _fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """(number, value) of a message's fields; fixed-width values as their bytes."""
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        out = shift = 0
+        while True:
+            byte = message[at]
+            at += 1
+            out |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return out
+
+    while at < len(message):
+        key = number()
+        if key & 7 == 0:
+            yield key >> 3, number()
+        else:
+            size = number() if key & 7 == 2 else {1: 8, 5: 4}[key & 7]
+            yield key >> 3, message[at:at + size]
+            at += size
+
+
+def model_kind(model: bytes) -> int:
+    """1 for unigram (also where none is given), 2 for merges, 3 words, 4 characters."""
+    settings = b"".join(v for n, v in _fields(model) if n == _SETTINGS)
+    return next((v for n, v in reversed(list(_fields(settings))) if n == _KIND), 1)
+
+
 class PieceTransducer(Remembered):
     """Compiled machines of one model, with a bounded memory of words."""
 
@@ -42,6 +87,7 @@ class PieceTransducer(Remembered):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         if model.encode("a ﬁ  b ", out_type=str) and model.decode(model.encode(" ﬁ  b ")) != " ﬁ  b ":
             raise ValueError("only models whose normaliser keeps characters and spaces are supported")
+        self.check(model.serialized_model_proto())
         size = model.vocab_size()
         names = [model.id_to_piece(i) for i in range(size)]
         special = [model.is_control(i) or model.is_unknown(i) or model.is_unused(i) for i in range(size)]
@@ -57,6 +103,11 @@ class PieceTransducer(Remembered):
         self.spell = [spelled.get(i, b"" if special[i] else n.replace(META, " ").encode()) for i, n in enumerate(names)]
         self._weight: dict[int, bool] = {}
 
+    def check(self, model: bytes) -> None:
+        """Refuse models whose segmentation isn't this one."""
+        if model_kind(model) != MERGES:
+            raise ValueError("only models that segment by merges are supported here")
+
     def merged(self, text: str) -> list[str]:
         """Merging by hand: the best-scored neighbours first, leftmost of equals."""
         own = list(text)
@@ -125,10 +176,55 @@ class PieceTransducer(Remembered):
         return spelled.removeprefix(" ")
 
 
+class UnigramTransducer(PieceTransducer):
+    """Pieces weighed one by one: the path of the largest sum of scores."""
+
+    def __init__(self, path: str) -> None:
+        super().__init__(path)
+        self.weights = {n: np.float32(v) for n, v in self.score.items()}
+        self.unknown = np.float32(min(self.weights.values())) - np.float32(UNKNOWN_PENALTY)
+        if len(self.bytes) < 256:
+            raise ValueError("unigram models without byte pieces are not supported")
+        if self.unknown < -1e6:  # sums of singles would lose the other scores
+            raise ValueError("unigram scores below a million are not supported")
+
+    def check(self, model: bytes) -> None:
+        if model_kind(model) != UNIGRAM:
+            raise ValueError("only unigram models are supported here")
+        kinds = {next((v for n, v in _fields(piece) if n == _TYPE), _NORMAL) for n, piece in _fields(model) if n == 1}
+        if _USER in kinds:
+            raise ValueError("unigram models with user-defined pieces are not supported")
+
+    def shortest_path(self, segment: str) -> list[int]:
+        """Ids of the shortest path: every arc relaxes its end, equal sums keep the first."""
+        n, weight_of, longest = len(segment), self.weights.get, self.longest
+        best: list = [None] * (n + 1)
+        begin, best[0] = [0] * (n + 1), np.float32(0)
+        for start in range(n):
+            so_far = best[start]
+            for end in range(start + 1, min(n, start + longest) + 1):
+                weight = weight_of(segment[start:end])
+                if weight is None:
+                    if end > start + 1:
+                        continue
+                    weight = self.unknown  # byte fallback
+                if best[end] is None or so_far + weight > best[end]:
+                    best[end], begin[end] = so_far + weight, start
+        out: list[int] = []
+        end = n
+        while end:
+            piece = self.pieces_ids.get(segment[begin[end]:end])
+            out.extend([piece] if piece is not None else [self.bytes[b] for b in reversed(segment[end - 1].encode())])
+            end = begin[end]
+        return out[::-1]
+
+
 @functools.lru_cache(maxsize=2)
 def transducer(path: str) -> PieceTransducer:
-    """One per worker process."""
-    return PieceTransducer(path)
+    """One per worker process, by the model's kind."""
+    with open(path, "rb") as file:
+        kind = model_kind(file.read())
+    return UnigramTransducer(path) if kind == UNIGRAM else PieceTransducer(path)
 
 
 def encode_documents(df: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,6 +1,7 @@
 """Prefix counts, packing and the transducer against the libraries."""
 
 import random
+import struct
 import zlib
 from collections import defaultdict
 
@@ -12,7 +13,9 @@ from tokenizers import Tokenizer
 
 from revlens.llm import packing
 from revlens.llm.bpe import ByteBpe, cached_ids, prefix_counts
-from revlens.llm.sentencepiece_fst import decode_documents, encode_documents, transducer
+from revlens.llm.sentencepiece_fst import (
+    MERGES, UNIGRAM, PieceTransducer, UnigramTransducer, _fields, decode_documents, encode_documents, model_kind, transducer,
+)
 from revlens.llm.token_counts import longest_within, token_counts, with_prefix_counts
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
@@ -151,6 +154,64 @@ def test_transducer_equals_the_library():
         assert fst.decode(np.array(want, int)) == model.decode(want), repr(t)
 
 
+def number(n):
+    out = b""
+    while n > 127:
+        out, n = out + bytes([n & 127 | 128]), n >> 7
+    return out + bytes([n])
+
+
+def message(fields):
+    """The other direction of _fields."""
+    return b"".join(number(n << 3) + number(v) if isinstance(v, int) else
+                    number(n << 3 | (5 if n == 2 and len(v) == 4 else 2)) + (b"" if n == 2 and len(v) == 4 else number(len(v))) + v
+                    for n, v in fields)
+
+
+def unigram_model(path, change=lambda piece, score: score, kind=UNIGRAM):
+    """The given pieces as a model of another kind, with other scores."""
+    with open(PIECE, "rb") as file:
+        whole = list(_fields(file.read()))
+    out = []
+    for n, v in whole:
+        if n == 1:
+            piece = dict(_fields(v))
+            if piece.get(3, 1) == 1:
+                piece[2] = struct.pack("<f", change(piece[1].decode(), struct.unpack("<f", piece.get(2, bytes(4)))[0]))
+            v = message(piece.items())
+        elif n == 2:
+            v += number(3 << 3) + number(kind)  # the last value counts
+        out.append((n, v))
+    with open(path, "wb") as file:
+        file.write(message(out))
+    return str(path)
+
+
+@pytest.mark.parametrize("change", [
+    lambda piece, score: max(score, -40_000.0) / 1000, lambda piece, score: -1.0,
+    lambda piece, score: -(zlib.crc32(piece.encode()) % 4096) / 256, lambda piece, score: -float(len(piece) ** 2)],
+    ids=["ranks", "equal", "hashed", "short"])
+def test_unigram_paths_equal_the_library(tmp_path, change):
+    path = unigram_model(tmp_path / "own.model", change)
+    fst, model = UnigramTransducer(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    for t in texts(300, 16, 11):
+        want = model.encode(t)
+        assert fst.encode(t).tolist() == want, repr(t)
+        assert fst.decode(np.array(want, int)) == model.decode(want), repr(t)
+
+
+def test_models_of_other_kinds_are_refused(tmp_path):
+    with open(PIECE, "rb") as file:
+        assert model_kind(file.read()) == MERGES
+    path = unigram_model(tmp_path / "own.model")
+    even = unigram_model(tmp_path / "even.model", lambda piece, score: -1.0)
+    assert isinstance(transducer(even), UnigramTransducer) and type(transducer(PIECE)) is PieceTransducer
+    for wrong in (lambda: PieceTransducer(even), lambda: UnigramTransducer(path), lambda: UnigramTransducer(PIECE),
+                  lambda: transducer(unigram_model(tmp_path / "words.model", kind=3))):
+        with pytest.raises(ValueError):
+            wrong()
+
+
 def test_sentencepiece_query_round_trip(spark, docs, queries, edges, nothing):
     model = sentencepiece.SentencePieceProcessor(model_file=PIECE)
     got = {r.doc_id: r for r in queries["op8_sentencepiece_fst"](spark, "/root/testdata/sf0.001").collect()}
