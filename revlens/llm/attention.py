@@ -1,10 +1,14 @@
-"""A small causal self-attention model in numpy.
+"""A causal self-attention model in numpy that predicts every subword of a text.
 
-It reads subword ids (as classes) and predicts the class of each word's
-first subword, or the end of the text.  Texts are cut into overlapping
-windows: every position is scored in exactly one window, with the positions
-before it in that window as context, masked so that nothing after it counts.
-Windows of many texts go through the matrices in one batch.
+Subwords are numbered by falling frequency.  Every one has an input row and an
+output row of its own.  The output is a softmax in two steps: first the class
+of the next subword (classes hold about equal sums of square-rooted counts, so
+frequent subwords stand alone), then the subword among its class.
+
+Texts are cut into overlapping windows: every position is scored in exactly
+one window, with the positions before it in that window as context, masked so
+that nothing after it counts.  Windows of many texts go through the matrices
+in one batch.
 """
 
 from __future__ import annotations
@@ -14,142 +18,235 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Positions of a window, and how many of them it scores (its last ones).
-WINDOW, SCORED = 48, 32
-WIDTH, BATCH = 24, 256
+WINDOW, SCORED = 32, 24
+WIDTH, BATCH, SINGLE = 16, 128, 64
+BEFORE = WINDOW - SCORED
+_LAG = np.arange(BEFORE, WINDOW)[:, None] - np.arange(WINDOW)[None, :]  # scored position minus context position
+_AFTER = np.where(_LAG < 0, np.float32(-1e9), np.float32(0))
+_SCALE = np.float32(1 / np.sqrt(WIDTH))
+
+
+def class_edges(counts: np.ndarray) -> np.ndarray:
+    """Where the classes of subwords in falling order of ``counts`` begin, and
+    the end: the first SINGLE stand alone, then each class grows the part
+    before it by a quarter; subwords without a count are one class."""
+    seen = int((counts > 0).sum())
+    alone = np.arange(min(seen, SINGLE))
+    later = (SINGLE * 1.25 ** np.arange(60)).astype(int)
+    return np.unique(np.r_[0, alone, later[later < seen], seen, len(counts)])
 
 
 @dataclass
 class Attention:
-    """Parameters: class embeddings for keys, values and queries, a bias by
-    distance, and the output layer."""
+    """Rows per subword (input, output, output bias), projections, a bias by
+    distance, and the output rows of the classes.
 
+    Every array has two dimensions; ``steps`` are one learning state a row.
+    """
+
+    embed: np.ndarray
+    out: np.ndarray
+    out_bias: np.ndarray
     query: np.ndarray
     key: np.ndarray
     value: np.ndarray
-    near: np.ndarray
     own: np.ndarray
-    out: np.ndarray
-    bias: np.ndarray
+    near: np.ndarray
+    cls: np.ndarray
+    cls_bias: np.ndarray
 
     @classmethod
-    def fresh(cls, inputs: int, outputs: int, prior: np.ndarray, seed: int = 1) -> "Attention":
+    def fresh(cls, counts: np.ndarray, edges: np.ndarray, seed: int = 1) -> "Attention":
+        """Starts at the shares of the (smoothed) counts."""
         rng = np.random.default_rng(seed)
-        draw = lambda *shape: (rng.standard_normal(shape) * 0.1).astype(np.float32)
-        return cls(draw(inputs, WIDTH), draw(inputs, WIDTH), draw(inputs, WIDTH), np.zeros(WINDOW, np.float32),
-                   draw(inputs, WIDTH), draw(WIDTH, outputs), prior.astype(np.float32))
+        draw = lambda a, b, by: (rng.standard_normal((a, b)) * by).astype(np.float32)
+        smooth = counts + 0.05
+        share = np.add.reduceat(smooth, edges[:-1])
+        near = -0.5 * np.arange(WINDOW, dtype=np.float32)[:, None]
+        size, classes = len(counts), len(edges) - 1
+        inside = np.log(smooth / np.repeat(share, np.diff(edges)))
+        return cls(draw(size, WIDTH, 0.3), np.zeros((size, WIDTH), np.float32), inside[:, None].astype(np.float32),
+                   *(draw(WIDTH, WIDTH, by) for by in (0.2, 0.2, 0.0, 0.3)), near,
+                   np.zeros((classes, WIDTH), np.float32), np.log(share / share.sum())[:, None].astype(np.float32))
 
     def arrays(self) -> list[np.ndarray]:
-        return [self.query, self.key, self.value, self.near, self.own, self.out, self.bias]
-
-    def flat(self) -> np.ndarray:
-        return np.concatenate([a.ravel() for a in self.arrays()])
-
-    def with_flat(self, flat: np.ndarray) -> "Attention":
-        out, at = [], 0
-        for a in self.arrays():
-            out.append(flat[at:at + a.size].reshape(a.shape).astype(np.float32))
-            at += a.size
-        return Attention(*out)
-
-
-_LAG = np.arange(WINDOW - SCORED, WINDOW)[:, None] - np.arange(WINDOW)[None, :]  # scored position minus context position
-_AFTER = np.where(_LAG < 0, np.float32(-1e9), np.float32(0))
-
-
-def windows(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Context positions (rows of WINDOW) for ``n`` tokens, -1 where there are
-    none, and which of the scored places exist.  Row r scores r*SCORED onward."""
-    starts = np.arange(0, n, SCORED)
-    at = starts[:, None] + np.arange(WINDOW)[None, :] - (WINDOW - SCORED)
-    live = at[:, WINDOW - SCORED:] < n
-    return np.where((at >= 0) & (at < n), at, -1), live
-
-
-def _attend(model: Attention, ids: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Hidden states of the scored places; ids are -1 where there is no token."""
-    there = ids >= 0
-    safe = np.where(there, ids, 0)
-    q = model.query[safe[:, WINDOW - SCORED:]]
-    k, v = model.key[safe], model.value[safe]
-    s = (q * np.float32(1 / np.sqrt(WIDTH))) @ k.transpose(0, 2, 1)
-    s += model.near[np.maximum(_LAG, 0)] + _AFTER
-    part = np.flatnonzero(~there.all(1))  # only windows at a text's ends lack tokens
-    s[part] += np.where(there[part], np.float32(0), np.float32(-1e9))[:, None, :]
-    s -= s.max(2, keepdims=True)
+        return list(vars(self).values())
+
+    def copy(self) -> "Attention":
+        return Attention(*(a.copy() for a in self.arrays()))
+
+
+def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For texts of these token counts behind each other: every window's first
+    scored place, and its text's first and last place (exclusive)."""
+    ends = np.cumsum(lengths)
+    begins = ends - lengths
+    times = -(-lengths // SCORED)
+    number = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    return np.repeat(begins, times) + number * SCORED, np.repeat(begins, times), np.repeat(ends, times)
+
+
+def batch_of(tokens: np.ndarray, shown: np.ndarray, starts: np.ndarray, begins: np.ndarray,
+             ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Context of each window (-1: nothing there) and the subwords wanted at
+    its scored places (-1: past the text's end)."""
+    at = starts[:, None] + np.arange(-BEFORE, SCORED)
+    there = (at >= begins[:, None]) & (at < ends[:, None])
+    at = np.where(there, at, 0)
+    return np.where(there, shown[at], -1), np.where(there[:, BEFORE:], tokens[at[:, BEFORE:]], -1)
+
+
+def _weights(q: np.ndarray, k: np.ndarray, near: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Shares that each scored place gives to the places up to it."""
+    s = q @ k.transpose(0, 2, 1)
+    s += near[np.maximum(_LAG, 0), 0]
+    np.clip(s, -60, 60, out=s)
+    s += _AFTER
+    part = np.flatnonzero(ids[:, 0] < 0)  # windows at a text's beginning lack tokens
+    s[part] += np.where(ids[part] >= 0, np.float32(0), np.float32(-1e9))[:, None, :]
     np.exp(s, out=s)
-    s /= s.sum(2, keepdims=True)
-    h = s @ v + model.own[safe[:, WINDOW - SCORED:]]
-    return h, s, q, k, v, safe
-
-
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
-
-
-def score(model: Attention, ids: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Natural log probability of ``wanted`` (-1: nothing to score) at the
-    scored places of every window; 0 where nothing is wanted."""
-    out = np.zeros(wanted.shape)
-    for at in range(0, len(ids), BATCH):
-        want = wanted[at:at + BATCH]
-        h = _attend(model, ids[at:at + BATCH])[0]
-        place = want >= 0
-        z = h[place] @ model.out
-        z += model.bias
-        z -= z.max(1, keepdims=True)
-        target = want[place]
-        own = z[np.arange(len(target)), target]
-        np.exp(z, out=z)
-        out[at:at + BATCH][place] = own - np.log(z.sum(1))
-    return out
-
-
-def gradient(model: Attention, ids: np.ndarray, wanted: np.ndarray) -> tuple[float, list[np.ndarray]]:
-    """Mean loss over wanted places, and its gradient for every array."""
-    h, s, q, k, v, safe = _attend(model, ids)
-    place = wanted >= 0
-    target = wanted[place]
-    logp = _log_softmax(h[place] @ model.out + model.bias)
-    n = max(1, len(target))
-    loss = -logp[np.arange(len(target)), target].sum() / n
-    dz = np.exp(logp)
-    dz[np.arange(len(target)), target] -= 1
-    dz = (dz / n).astype(np.float32)
+    s /= s.sum(2, keepdims=True) + np.float32(1e-35)
+    return s
+
+
+def _classes(edges: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+    """Class of every target, an order by class, and (class, from, to) of the
+    runs whose class has several subwords."""
+    own = np.searchsorted(edges, target, "right") - 1
+    order = np.argsort(own, kind="stable")
+    count = np.bincount(own, minlength=len(edges) - 1)
+    ends = np.cumsum(count)
+    many = np.flatnonzero((count > 0) & (np.diff(edges) > 1))
+    return own, order, [(c, int(ends[c] - count[c]), int(ends[c])) for c in many.tolist()]
+
+
+class Scorer:
+    """A model with its projections applied to every subword once."""
+
+    def __init__(self, model: Attention, edges: np.ndarray) -> None:
+        self.model, self.edges = model, edges
+        e = model.embed
+        self.q, self.k, self.v, self.own = e @ (model.query * _SCALE), e @ model.key, e @ model.value, e @ model.own
+
+    def score(self, tokens: np.ndarray, shown: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Natural log probability of every token, given those shown before it."""
+        out = np.zeros(len(tokens))
+        starts, begins, ends = windows(lengths)
+        for i in range(0, len(starts), BATCH):
+            rows = slice(i, i + BATCH)
+            ids, want = batch_of(tokens, shown, starts[rows], begins[rows], ends[rows])
+            place = want >= 0
+            at = (starts[rows, None] + np.arange(SCORED))[place]
+            out[at] = self._batch(ids, want[place], place)
+        return out
+
+    def _batch(self, ids: np.ndarray, target: np.ndarray, place: np.ndarray) -> np.ndarray:
+        m, last = self.model, ids[:, BEFORE:]
+        s = _weights(self.q[last], self.k[ids], m.near, ids)
+        h = (s @ self.v[ids] + self.own[last])[place]
+        z = h @ m.cls.T
+        z += m.cls_bias[:, 0]
+        own, order, runs = _classes(self.edges, target)
+        logp = _log_share(z, own)
+        for c, a, b in runs:
+            lo, hi = self.edges[c], self.edges[c + 1]
+            at = order[a:b]
+            for part in np.array_split(at, -(-len(at) * int(hi - lo) // 4_000_000)):  # bounded memory
+                z = h[part] @ m.out[lo:hi].T
+                z += m.out_bias[lo:hi, 0]
+                logp[part] += _log_share(z, target[part] - lo)
+        return logp
+
+
+def _log_share(z: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log softmax of each row at its target; ``z`` is used up."""
+    z -= z.max(1, keepdims=True)
+    own = z[np.arange(len(z)), target]
+    np.exp(z, out=z)
+    return own - np.log(z.sum(1))
+
+
+def _softmax_step(z: np.ndarray, target: np.ndarray) -> tuple[float, np.ndarray]:
+    """Sum of losses and their gradient by the logits, in place of ``z``."""
+    z -= z.max(1, keepdims=True)
+    each = np.arange(len(z))
+    own = z[each, target].sum()
+    np.exp(z, out=z)
+    total = z.sum(1, keepdims=True)
+    loss = float(np.log(total).sum() - own)
+    z /= total
+    z[each, target] -= 1
+    return loss, z
+
+
+def gradient(m: Attention, edges: np.ndarray, ids: np.ndarray, want: np.ndarray) -> tuple[float, list]:
+    """Summed loss over wanted places, and per array (rows, gradient) parts;
+    rows are a slice or an index of distinct rows."""
+    place = want >= 0
+    target = want[place]
+    x = m.embed[ids] * (ids >= 0)[:, :, None]
+    last = x[:, BEFORE:]
+    q, k, v = last @ (m.query * _SCALE), x @ m.key, x @ m.value
+    s = _weights(q, k, m.near, ids)
+    h = s @ v
+    h += last @ m.own
+    hp = h[place]
+    own, order, runs = _classes(edges, target)
+    loss, dz = _softmax_step(hp @ m.cls.T + m.cls_bias[:, 0], own)
+    parts: list[list] = [[] for _ in m.arrays()]
+    everything = slice(None)
+    parts[8].append((everything, dz.T @ hp))
+    parts[9].append((everything, dz.sum(0)[:, None]))
+    dhp = dz @ m.cls
+    for c, a, b in runs:
+        lo, hi = edges[c], edges[c + 1]
+        at, rows = order[a:b], slice(lo, hi)
+        hs = hp[at]
+        more, dz = _softmax_step(hs @ m.out[rows].T + m.out_bias[rows, 0], target[at] - lo)
+        loss += more
+        parts[1].append((rows, dz.T @ hs))
+        parts[2].append((rows, dz.sum(0)[:, None]))
+        dhp[at] += dz @ m.out[rows]
     dh = np.zeros_like(h)
-    dh[place] = dz @ model.out.T
+    dh[place] = dhp
     dv = s.transpose(0, 2, 1) @ dh
     ds = dh @ v.transpose(0, 2, 1)
-    ds = s * (ds - (ds * s).sum(2, keepdims=True))
-    scale = np.float32(1 / np.sqrt(WIDTH))
-    dq, dk = ds @ k * scale, ds.transpose(0, 2, 1) @ q * scale
-    grads = [np.zeros_like(a) for a in model.arrays()]
-    last = safe[:, WINDOW - SCORED:]
-    for g, index, d in ((grads[0], last, dq), (grads[1], safe, dk), (grads[2], safe, dv), (grads[4], last, dh)):
-        order = np.argsort(index.ravel(), kind="stable")
-        ordered = index.ravel()[order]
-        edges = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-        g[ordered[edges]] = np.add.reduceat(d.reshape(-1, WIDTH)[order], edges)
-    grads[3] = np.bincount(np.maximum(_LAG, 0).ravel(), weights=np.where(_LAG < 0, 0, ds.sum(0)).ravel(),
-                           minlength=WINDOW).astype(np.float32)
-    grads[5], grads[6] = h[place].T @ dz, dz.sum(0)
-    return float(loss), grads
-
-
-class Adam:
-    """Adaptive steps over the model's arrays, in place."""
-
-    def __init__(self, model: Attention, rate: float) -> None:
-        self.model, self.rate, self.turn = model, rate, 0
-        self.mean = [np.zeros_like(a) for a in model.arrays()]
-        self.square = [np.zeros_like(a) for a in model.arrays()]
-
-    def step(self, grads: list[np.ndarray]) -> None:
-        self.turn += 1
-        rate = self.rate * np.sqrt(1 - 0.999 ** self.turn) / (1 - 0.9 ** self.turn)
-        for a, g, m, s in zip(self.model.arrays(), grads, self.mean, self.square):
-            m *= 0.9
-            m += 0.1 * g
-            s *= 0.999
-            s += 0.001 * g * g
-            a -= (rate * m / (np.sqrt(s) + 1e-8)).astype(np.float32)
+    ds -= np.einsum("bij,bij->bi", ds, s)[:, :, None]
+    ds *= s
+    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
+    dx = dk @ m.key.T + dv @ m.value.T
+    dx[:, BEFORE:] += dq @ (m.query * _SCALE).T + dh @ m.own.T
+    flat = lambda a: a.reshape(-1, WIDTH)
+    x2, last2 = flat(x), flat(np.ascontiguousarray(last))
+    parts[3].append((everything, last2.T @ flat(dq) * _SCALE))
+    parts[4].append((everything, x2.T @ flat(dk)))
+    parts[5].append((everything, x2.T @ flat(dv)))
+    parts[6].append((everything, last2.T @ flat(dh)))
+    parts[7].append((everything, np.bincount(np.maximum(_LAG, 0).ravel(), weights=ds.sum(0).ravel(),
+                                             minlength=WINDOW)[:, None].astype(np.float32)))
+    index = ids.ravel()
+    order = np.argsort(index, kind="stable")
+    ordered = index[order]
+    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    rows, grad = ordered[first], np.add.reduceat(flat(dx)[order], first)
+    parts[0].append((rows[rows >= 0], grad[rows >= 0]))
+    return loss, parts
+
+
+class RowSteps:
+    """Steps whose size falls with a row's own squared gradients so far."""
+
+    #: Below one, so that a row's first steps aren't of full size.
+    START = 1e-2
+
+    def __init__(self, model: Attention, squares: list[np.ndarray] | None = None, rate: float = 0.1) -> None:
+        self.model, self.rate = model, rate
+        self.squares = squares or [np.full(len(a), self.START, np.float32) for a in model.arrays()]
+
+    def step(self, parts: list, tokens: int) -> None:
+        by = np.float32(1 / np.sqrt(max(1, tokens)))
+        for a, s, own in zip(self.model.arrays(), self.squares, parts):
+            for rows, g in own:
+                g = g * by
+                s[rows] += np.einsum("ij,ij->i", g, g) / g.shape[1]
+                a[rows] -= np.float32(self.rate) * g / np.sqrt(s[rows])[:, None]

@@ -1,17 +1,18 @@
 """Language-model scores of whole texts.
 
-A text is its lower-cased words and an end.  A word is its subword ids.  The
-first subword of each word (or the end) is predicted by the causal
-self-attention model from all subwords before it in its window; what follows
-inside the word is predicted by back-off counts of subwords given up to
-three before them, taken from all training words: once per distinct word, by
-joins with all counts.  The product is a probability of the text's subword
-sequence.
-
-Everything counted (words, word counts, subwords, contexts) covers all
-training documents.  The attention model starts from a bounded sample and is
-then trained in parallel on a fixed share of the windows of every training
-document; the tasks' parameters are averaged.
+A text is its lower-cased words, each with a space before it, and an end, as
+subword ids.  Every subword and the end is predicted once by the causal
+self-attention model (``attention``) from the subwords before it in its
+window; the sum is the log probability of the text's subword sequence.
+
+Training documents are dealt by a hash of id and text to shards of bounded
+text.  The model starts from a bounded sample; then every shard trains it, in
+an order by the hash, on all windows of all its documents.  The shards' rows
+are averaged, weighted by the squared gradients that each gathered there, in
+a tree.  So a score does not depend on how the files are split.
+
+Word counts (for the base score) and subword counts cover all training
+documents.
 
 Defined cases: a null or empty text is the end alone; repeated rows are
 scored each; an empty table gives no rows; without training documents the
@@ -33,29 +34,25 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm import attention
-from revlens.llm.attention import SCORED, WINDOW, Adam, Attention
+from revlens.llm.attention import Attention, RowSteps, Scorer, batch_of, class_edges, gradient, windows
 from revlens.llm.bpe import cached_ids
-from revlens.llm.shingles import mix
 from revlens.llm.tables import cut, prepare
 
-#: Most frequent words whose counts and inside probabilities every task holds;
-#: those of others are joined.
+#: Most frequent words whose counts every task holds; those of others are joined.
 HEAD_WORDS = 300_000
-#: Subwords with an output class of their own, and bands for the others.
-SINGLE, BANDS = 160, 32
-#: Documents that the attention model starts from, its steps there, and the
-#: parts that the documents are taken in, turn by turn.
-START_ROWS, START_STEPS, START_TURNS = 1_500, 300, 5
-#: The parallel training takes, of every training document, runs of twice
-#: SLICE_WORDS words, one in so many SLICE_WORDS and at least one.
-SHARE, SLICE_WORDS = 24, 12
+#: Documents that the model starts from, the windows of a step there, and the
+#: steps, as a share of which the step size falls.
+START_ROWS, START_BATCH, START_STEPS = 1_500, 24, 3_000
+START_RATE, RATE, STEP_WINDOWS = 0.2, 0.05, 128
+#: Bytes of training text per shard: at least so many shards of the lower
+#: size as FEW, beyond them shards grow up to the upper size.
+SHARD_BYTES, LARGE_SHARD, FEW = 32 << 20, 256 << 20, 64
+#: Shards added up by one task of the averaging tree, and rows of a block there.
+FAN, BLOCK = 32, 8192
 #: Remembered words per worker process; emptied when full.
 MEMORY = 400_000
-DISCOUNT = 0.7
 #: The vocabulary's special id, used for the end of a text; other ids are smaller.
 END_ID = 50256
-ORDERS = 3
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -67,39 +64,15 @@ class Tables:
     """Bounded tables sent to every task."""
 
     tokenizer: str
-    end: int  # class and id of the end of a text
-    first_class: np.ndarray  # id -> output class of a first subword
-    first_logp: np.ndarray  # id -> log share of the id in its class
-    input_class: np.ndarray  # id -> input class
+    number: np.ndarray  # id -> place by falling frequency
+    counts: np.ndarray  # of the places, in training
+    edges: np.ndarray  # classes of the places
     head: np.ndarray  # sorted hashes of the most frequent words
     head_counts: np.ndarray
-    head_inside: np.ndarray  # log probability of what follows the first id
-
-
-def _context(ids: np.ndarray, at: np.ndarray, order: int) -> np.ndarray:
-    """Hash of the ``order`` ids before each place."""
-    h = np.full(len(at), order, np.uint64)
-    for j in range(order, 0, -1):
-        h = mix(h) + ids[at - j].astype(np.uint64)
-    return mix(h)
-
-
-def _events(pieces: list[np.ndarray], stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All ids with ``stop`` behind every word; places of the events inside
-    words (everything but first ids); how far into its word each is."""
-    sizes = np.array([len(p) for p in pieces])
-    ids = np.empty(sizes.sum() + len(pieces), np.int64)
-    ends = np.cumsum(sizes + 1)
-    depth = np.arange(len(ids)) - np.repeat(ends - sizes - 1, sizes + 1)
-    ids[ends - 1] = stop
-    ids[depth < np.repeat(sizes, sizes + 1)] = np.concatenate(pieces) if pieces else []
-    at = np.flatnonzero(depth > 0)
-    return ids, at, depth[at]
 
 
 class Words:
-    """Per word, remembered: its ids, and of the head words the log probability
-    of what follows the first id and the count (others: 0 and -1)."""
+    """Per word, remembered: its ids, its count (-1 unless a head word) and hash."""
 
     def __init__(self, tables: Tables) -> None:
         self.tables = tables
@@ -113,13 +86,11 @@ class Words:
         flat = [next(raw) if a else self.encode.ordinary(" " + t).tobytes() for t, a in zip(texts, alone)]
         hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new)).view(np.int64)
         t = self.tables
+        counts = np.full(len(new), -1)
         if len(t.head):
             i = np.minimum(np.searchsorted(t.head, hashed), len(t.head) - 1)
-            there = t.head[i] == hashed
-            counts, inside = np.where(there, t.head_counts[i], -1), np.where(there, t.head_inside[i], 0.0)
-        else:
-            counts, inside = np.full(len(new), -1), np.zeros(len(new))
-        return dict(zip(new, zip(flat, inside.tolist(), counts.tolist(), hashed.tolist())))
+            counts = np.where(t.head[i] == hashed, t.head_counts[i], -1)
+        return dict(zip(new, zip(flat, counts.tolist(), hashed.tolist())))
 
     def of_words(self, split: list[list[bytes]]) -> Iterator[list[tuple]]:
         """Per text the entries of its words; unknown words of all texts are learnt together."""
@@ -135,78 +106,30 @@ class Words:
         for words in split:
             yield list(map(memory.__getitem__, words))
 
+    def sequences(self, found: list[list[tuple]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of the texts behind each other, what is shown at each place
+        (the token before it; the end before a text), and the texts' lengths."""
+        kind, number = self.encode.kind, self.tables.number
+        end = np.array([END_ID], kind).tobytes()
+        raw = [b"".join([*(f[0] for f in own), end]) for own in found]
+        tokens = number[np.frombuffer(b"".join(raw), kind)]
+        lengths = np.fromiter(map(len, raw), np.int64, len(raw)) // kind().itemsize
+        shown = np.empty_like(tokens)
+        shown[1:] = tokens[:-1]
+        shown[np.cumsum(lengths) - lengths] = number[END_ID]
+        return tokens, shown, lengths
+
 
 def _odd(word: str) -> bool:
     """Whether some white space beyond ASCII makes the word's pieces depend on each other."""
     return word[:1].isspace() or word[-1:].isspace()
 
 
-def _sequence(found: list[tuple], end: int, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of a text and its end, and the places of first ids."""
-    raw = [f[0] for f in found]
-    ids = np.append(np.frombuffer(b"".join(raw), kind).astype(np.int64), end)
-    ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) // kind().itemsize)
-    return ids, np.append(np.int64(0), ends)
-
-
-def _rows(ids: np.ndarray, firsts: np.ndarray, t: Tables) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of one text: input classes and, at scored places, the class wanted next.
-
-    The input is the text shifted by one, with the end id in front.
-    """
-    shown = t.input_class[np.append(t.end, ids[:-1])]
-    want = np.full(len(ids), -1, np.int64)
-    want[firsts] = t.first_class[ids[firsts]]
-    at, live = attention.windows(len(ids))
-    inputs = np.where(at >= 0, shown[np.maximum(at, 0)], -1)
-    wanted = np.full((len(at), SCORED), -1, np.int64)
-    wanted[live] = want
-    return inputs, wanted
-
-
 @functools.lru_cache(maxsize=2)
 def _words_for(broadcast) -> Words:
     return Words(broadcast.value)
 
 
-def _starts(phase: int, n: int, share: int) -> range:
-    """Middles of the slices of a text of ``n`` words: one in each ``share`` *
-    SLICE_WORDS words, the first at a place given by ``phase``, at least one."""
-    return range(phase % min(n + 1, share * SLICE_WORDS), n + 1, share * SLICE_WORDS)
-
-
-def _train(model: Attention, parts: Iterator[list[tuple[str | None, int]]], words: Words, share: int, rate: float,
-           steps: int | None = None, batch: int = 96) -> tuple[Attention, int]:
-    """Steps over the windows of chosen slices of a stream of (text, phase): of
-    every text a run of 2 * SLICE_WORDS words in each ``share`` * SLICE_WORDS.
-    Returns the model and the windows seen."""
-    adam, held, seen, done = Adam(model, rate), [], 0, 0
-    for texts in parts:
-        slices, last_too = [], []
-        for text, phase in texts:
-            own = words_of(text)
-            for at in _starts(phase, len(own), share):
-                slices.append(own[max(0, at - SLICE_WORDS):at + SLICE_WORDS])
-                last_too.append(at + SLICE_WORDS >= len(own))
-        for found, whole in zip(words.of_words(slices), last_too):
-            ids, firsts = _sequence(found, words.tables.end, words.encode.kind)
-            if not whole:  # the slice's end isn't the text's
-                firsts = firsts[:-1]
-            inputs, wanted = _rows(ids, firsts, words.tables)
-            held.append((inputs, wanted))
-            seen += len(inputs)
-            while seen >= batch:
-                x, y = (np.concatenate([h[i] for h in held]) for i in (0, 1))
-                adam.step(attention.gradient(model, x[:batch], y[:batch])[1])
-                held, seen, done = [(x[batch:], y[batch:])], len(x) - batch, done + 1
-                if steps is not None and done >= steps:
-                    return model, done * batch
-    if seen:
-        x, y = (np.concatenate([h[i] for h in held]) for i in (0, 1))
-        adam.step(attention.gradient(model, x, y)[1])
-    return model, done * batch + seen
-
-
 def count_words(docs: DataFrame) -> DataFrame:
     """(h, word, n) of every distinct word of the column text; n counts the
     rows that aren't held_out, and may be 0."""
@@ -237,139 +160,167 @@ def _largest(df: DataFrame, count: str, bound: int) -> DataFrame:
     return df.where(F.lit(False) if least is None else F.col(count) >= float(2 ** least))
 
 
-def _pieces(words: pd.Series, tokenizer: str) -> list[np.ndarray]:
-    own = cached_ids(tokenizer)
-    return [own.ordinary(" " + bytes(w).decode()).astype(np.int64) for w in words]
-
-
-def inside_words(words: DataFrame, deep: DataFrame, follow: np.ndarray, tokenizer: str) -> DataFrame:
-    """(h, n, inside) of every word: its count and the log probability of what
-    follows its first id, from all of ``deep``, the counted (kind, context,
-    following, shorter); the kind is the context's length and shorter the
-    context without its first id.  Entries that only held-out words have count 0."""
-    spark = words.sparkSession
-    own = F.greatest(F.col("n") - DISCOUNT, F.lit(0.0))
-    totals = deep.groupBy("context").agg(F.sum("n").alias("total"), F.sum(own).alias("kept"))
-    known = F.col("total") > 0
-    shares = cut(deep.join(totals, "context").select(
-        "kind", "context", "following", "shorter", F.when(known, own / F.col("total")).otherwise(0.0).alias("own"),
-        F.when(known, 1 - F.col("kept") / F.col("total")).otherwise(1.0).alias("left")))
-    lower = F.broadcast(spark.createDataFrame(pd.DataFrame({"following": np.arange(len(follow)), "p": follow})))
-    at, orders = ["following"], []
-    for order in range(1, ORDERS + 1):
-        found = shares.where(F.col("kind") == order).join(lower, at).select(
-            "context", "following", (F.col("own") + F.col("left") * F.col("p")).alias("p"))
-        orders.append(cut(found))
-        lower, at = orders[-1].withColumnRenamed("context", "shorter"), ["shorter", "following"]
-
-    def places(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            pieces = _pieces(part["word"], tokenizer)
-            ids, at, depth = _events(pieces, END_ID)
-            context = np.zeros(len(at), np.uint64)
-            for order in range(1, ORDERS + 1):
-                deep = depth >= order
-                context[deep] = _context(ids, at[deep], order)
-            times = [len(p) for p in pieces]
-            yield pd.DataFrame({"h": np.repeat(part["h"].to_numpy(), times), "n": np.repeat(part["n"].to_numpy(), times),
-                                "context": context.view(np.int64), "following": ids[at]})
-
-    p = functools.reduce(DataFrame.unionByName, orders)
-    return (words.mapInPandas(places, "h long, n long, context long, following int")
-            .join(p, ["context", "following"])
-            .groupBy("h").agg(F.max("n").alias("n"), F.sum(F.log("p")).alias("inside")))
-
-
-def build_tables(words: DataFrame, documents: int, tokenizer: str) -> tuple[Tables, DataFrame]:
-    """Bounded tables from the counts of all training words, and (h, n, inside) of all words."""
-    end = END_ID
-    size = end + 1
-
-    def events(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def subword_counts(words: DataFrame, tokenizer: str) -> np.ndarray:
+    """Training count of every id, from the counts of all distinct words."""
+    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encode = cached_ids(tokenizer)
         for part in parts:
-            pieces = _pieces(part["word"], tokenizer)
-            n = part["n"].to_numpy()
-            ids, at, depth = _events(pieces, end)
-            times = np.repeat(n, [len(p) for p in pieces])
-            firsts = np.array([p[0] for p in pieces], np.int64)
-            out = [pd.DataFrame({"kind": -1, "context": 0, "following": firsts, "shorter": 0, "n": n}),
-                   pd.DataFrame({"kind": 0, "context": 0, "following": ids[at], "shorter": 0, "n": times})]
-            for order in range(1, ORDERS + 1):
-                deep = depth >= order
-                shorter = _context(ids, at[deep], order - 1).view(np.int64) if order > 1 else 0
-                out.append(pd.DataFrame({"kind": order, "context": _context(ids, at[deep], order).view(np.int64),
-                                         "following": ids[at[deep]], "shorter": shorter, "n": times[deep]}))
-            yield pd.concat(out).groupby(["kind", "context", "following", "shorter"], as_index=False)["n"].sum()
-
-    entries = cut(words.select("word", "n").mapInPandas(events, "kind int, context long, following int, shorter long, n long")
-                  .groupBy("kind", "context", "following", "shorter").agg(F.sum("n").alias("n")))
-    plain = entries.where("kind <= 0").select("kind", "following", "n").toPandas()  # at most two per id
-    first, follow = np.zeros(size), np.zeros(size)
-    for kind, counts in ((-1, first), (0, follow)):
-        own = plain[plain["kind"] == kind]
-        counts[own["following"].to_numpy(int)] = own["n"].to_numpy()
-    first[end] = documents
-    inside = cut(inside_words(words, entries.where("kind > 0"), (follow + 0.05) / (follow + 0.05).sum(), tokenizer))
-    head = _largest(inside.where("n > 0"), "n", HEAD_WORDS).toPandas().sort_values("h")
-
-    ranked = np.argsort(-first, kind="stable")
-    ranked = np.append(end, ranked[ranked != end])
-    smooth = first + 0.05
-    cls = np.empty(size, np.int64)
-    cls[ranked[:SINGLE]] = np.arange(SINGLE)
-    mass = np.cumsum(smooth[ranked[SINGLE:]])
-    cls[ranked[SINGLE:]] = SINGLE + np.minimum((mass / mass[-1] * BANDS).astype(int), BANDS - 1)
-    share = np.bincount(cls, weights=smooth, minlength=SINGLE + BANDS)
-    shown = np.argsort(-(first + follow), kind="stable")
-    inputs = np.full(size, 511, np.int64)
-    inputs[shown[:511]] = np.arange(511)
-    return Tables(tokenizer, end, cls, np.log(smooth / share[cls]), inputs, head["h"].to_numpy(np.int64),
-                  head["n"].to_numpy(np.int64), head["inside"].to_numpy(float)), inside
-
-
-def fit_attention(train: DataFrame, sent, prior: np.ndarray) -> Attention:
-    """Start on a bounded sample, then train on a share of all windows in
-    parallel and average the tasks' parameters, weighted by windows."""
+            own = [encode.ordinary(" " + bytes(w).decode()) for w in part["word"]]
+            times = np.repeat(part["n"].to_numpy(), [len(p) for p in own])
+            ids, at = np.unique(np.concatenate(own).astype(np.int64), return_inverse=True)
+            yield pd.DataFrame({"id": ids, "n": np.bincount(at, weights=times, minlength=len(ids)).astype(np.int64)})
+
+    found = (words.where("n > 0").select("word", "n").mapInPandas(count, "id long, n long")
+             .groupBy("id").agg(F.sum("n").alias("n")).toPandas())  # at most the vocabulary
+    out = np.zeros(END_ID + 1)
+    out[found["id"].to_numpy(np.int64)] = found["n"].to_numpy()
+    return out
+
+
+def build_tables(words: DataFrame, documents: int, tokenizer: str) -> Tables:
+    """Bounded tables from the counts of all training words."""
+    counts = subword_counts(words, tokenizer)
+    counts[END_ID] = documents
+    order = np.argsort(-counts, kind="stable")
+    number = np.empty(len(order), np.int32)
+    number[order] = np.arange(len(order))
+    head = _largest(words.where("n > 0").select("h", "n"), "n", HEAD_WORDS).toPandas().sort_values("h")
+    return Tables(tokenizer, number, counts[order], class_edges(counts[order]),
+                  head["h"].to_numpy(np.int64), head["n"].to_numpy(np.int64))
+
+
+def shard_count(size: int) -> int:
+    """Shards for so many bytes of training text, whatever their files."""
+    return max(1, min(FEW, -(-size // SHARD_BYTES)), -(-size // LARGE_SHARD))
+
+
+def _train(model: Attention, steps: RowSteps, words: Words, texts: list[str | None]) -> None:
+    """Steps over all windows of the texts, in order."""
+    edges = words.tables.edges
+    tokens, shown, lengths = words.sequences(list(words.of_words([words_of(t) for t in texts])))
+    places = windows(lengths)
+    for i in range(0, len(places[0]), STEP_WINDOWS):
+        ids, want = batch_of(tokens, shown, *(p[i:i + STEP_WINDOWS] for p in places))
+        steps.step(gradient(model, edges, ids, want)[1], int((want >= 0).sum()))
+
+
+def _begin(model: Attention, words: Words, texts: list[str | None]) -> RowSteps:
+    """Falling steps over drawn windows of a bounded sample of texts: as many
+    turns as START_STEPS allow, ten at most."""
+    edges = words.tables.edges
+    tokens, shown, lengths = words.sequences(list(words.of_words([words_of(t) for t in texts])))
+    places = windows(lengths)
+    steps = RowSteps(model)
+    each = -(-len(places[0]) // START_BATCH)
+    total, done = min(START_STEPS, 10 * each), 0
+    for turn in range(10):
+        drawn = np.random.default_rng(turn).permutation(len(places[0]))
+        for i in range(0, len(drawn), START_BATCH):
+            if done >= total:
+                return steps
+            ids, want = batch_of(tokens, shown, *(p[drawn[i:i + START_BATCH]] for p in places))
+            steps.rate = START_RATE * (1 - done / total) + 1e-3
+            steps.step(gradient(model, edges, ids, want)[1], int((want >= 0).sum()))
+            done += 1
+    return steps
+
+
+def _added(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows that any part of a block holds, their weights and weighted sums."""
+    group = group.sort_values("shard")
+    parts = [(np.frombuffer(r, np.int32), np.frombuffer(w, np.float64), np.frombuffer(v, np.float64).reshape(-1, width))
+             for r, w, v, width in zip(group["rows"], group["weight"], group["value"], group["width"])]
+    rows = np.unique(np.concatenate([p[0] for p in parts]))
+    weight, value = np.zeros(len(rows)), np.zeros((len(rows), parts[0][2].shape[1]))
+    for own, w, v in parts:
+        at = np.searchsorted(rows, own)
+        weight[at] += w
+        value[at] += v
+    return rows, weight, value
+
+
+_PART = "shard long, array int, block int, width int, rows binary, weight binary, value binary"
+
+
+def average(parts: DataFrame, shards: int) -> list:
+    """Sums of all shards' parts, FAN of them a task and level."""
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        rows, weight, value = _added(group)
+        first = group[["array", "block", "width"]].iloc[:1].reset_index(drop=True)
+        return first.assign(shard=group["shard"].iloc[0] // FAN, rows=[rows.astype(np.int32).tobytes()],
+                            weight=[weight.tobytes()], value=[value.tobytes()])[[c.split()[0] for c in _PART.split(", ")]]
+
+    while True:
+        parts = parts.withColumn("__to", F.floor(F.col("shard") / FAN)).groupBy("array", "block", "__to").applyInPandas(add, _PART)
+        shards = -(-shards // FAN)
+        if shards <= 1:
+            return parts.collect()  # one model, in blocks
+
+
+def fit_attention(train: DataFrame, sent, size: int) -> Attention:
+    """Start on a bounded sample, then train on all windows of all shards and
+    average.  ``size`` is the training text's bytes."""
     tables = sent.value
-    fresh = Attention.fresh(512, SINGLE + BANDS, prior)
-    phased = train.select("doc_id", "text", F.xxhash64("doc_id").alias("phase"))
-    chosen = train.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(START_ROWS).distinct()
-    first = phased.join(F.broadcast(chosen), "doc_id", "left_semi")
+    model = Attention.fresh(tables.counts, tables.edges)
+    dealt = train.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("deal"))
+    begin = dealt.select("deal", "text").orderBy("deal", "text").limit(START_ROWS)
 
     def start(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        texts = [t for part in parts for t in zip(part["text"], part["phase"].tolist())]
+        texts = [t for part in parts for t in part["text"]]
         if texts:
-            words = _words_for(sent)
-            model = fresh.with_flat(fresh.flat())
-            again = (texts[k::START_TURNS] for _ in range(1000) for k in range(START_TURNS))
-            model, _ = _train(model, again if any(t for t, _ in texts) else iter([texts]), words, 4, 0.01, START_STEPS)
-            yield pd.DataFrame({"flat": [model.flat().tobytes()]})
+            own = model.copy()
+            steps = _begin(own, _words_for(sent), texts)
+            yield pd.DataFrame({"model": [b"".join(a.tobytes() for a in own.arrays())],
+                                "squares": [b"".join(a.tobytes() for a in steps.squares)]})
 
-    begun = first.select("text", "phase").repartition(1).mapInPandas(start, "flat binary").collect()
+    begun = begin.repartition(1).sortWithinPartitions("deal", "text").select("text").mapInPandas(
+        start, "model binary, squares binary").collect()
     if not begun:
-        return fresh
-    model = fresh.with_flat(np.frombuffer(begun[0]["flat"], np.float32))
-    block = 4096
+        return model
+    shapes = [a.shape for a in model.arrays()]
+    cuts = np.cumsum([0, *(a * b for a, b in shapes)])
+    flat = np.frombuffer(begun[0]["model"], np.float32)
+    begun_model = Attention(*(flat[i:j].reshape(shape) for i, j, shape in zip(cuts, cuts[1:], shapes)))
+    begun_squares = np.split(np.frombuffer(begun[0]["squares"], np.float32), np.cumsum([a for a, _ in shapes])[:-1])
+    held = train.sparkSession.sparkContext.broadcast((begun_model, begun_squares))
+    shards = shard_count(size)
 
     def refine(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = model.with_flat(model.flat())
-        own, seen = _train(own, (list(zip(p["text"], p["phase"].tolist())) for p in parts), _words_for(sent), SHARE, 0.002)
-        flat = own.flat()
-        if seen:
-            yield pd.DataFrame({"block": np.arange(0, len(flat), block) // block, "seen": seen,
-                                "part": [flat[i:i + block].tobytes() for i in range(0, len(flat), block)]})
-
-    def average(group: pd.DataFrame) -> pd.DataFrame:
-        parts = np.stack([np.frombuffer(p, np.float32) for p in group["part"]])
-        mean = np.average(parts, axis=0, weights=group["seen"]).astype(np.float32)
-        return pd.DataFrame({"block": group["block"].iloc[:1], "part": [mean.tobytes()]})
-
-    parts = (phased.select("text", "phase").mapInPandas(refine, "block int, seen long, part binary")
-             .groupBy("block").applyInPandas(average, "block int, part binary").collect())
-    if not parts:
-        return model
-    parts.sort(key=lambda r: r["block"])
-    return model.with_flat(np.frombuffer(b"".join(bytes(r["part"]) for r in parts), np.float32))
+        first, before = held.value
+        words, shard, own, steps = _words_for(sent), None, None, None
+        for part in parts:
+            for number, texts in part.groupby("shard", sort=True)["text"]:
+                if number != shard:
+                    if own is not None:
+                        yield from _emit(int(shard), own, steps, before)
+                    shard, own = number, first.copy()
+                    steps = RowSteps(own, [s.copy() for s in before], RATE)
+                _train(own, steps, words, texts.tolist())
+        if own is not None:
+            yield from _emit(int(shard), own, steps, before)
+
+    numbered = dealt.select(F.pmod("deal", F.lit(shards)).cast("int").alias("shard"), "deal", "text")
+    parts = (numbered.repartitionById(shards, "shard").sortWithinPartitions("shard", "deal", "text")
+             .select("shard", "text").mapInPandas(refine, _PART))
+    arrays = [a.copy() for a in begun_model.arrays()]
+    for r in average(cut(parts), shards):
+        rows = np.frombuffer(r["rows"], np.int32)
+        value = np.frombuffer(r["value"], np.float64).reshape(-1, r["width"])
+        arrays[r["array"]][rows] = value / np.frombuffer(r["weight"], np.float64)[:, None]
+    return Attention(*arrays)
+
+
+def _emit(shard: int, model: Attention, steps: RowSteps, before: list[np.ndarray]) -> Iterator[pd.DataFrame]:
+    """Rows that the shard has moved, weighted by what it added to their squares."""
+    for number, (a, now, old) in enumerate(zip(model.arrays(), steps.squares, before)):
+        weight = now.astype(np.float64) - old
+        moved = np.flatnonzero(weight > 0)
+        for block in np.unique(moved // BLOCK):
+            rows = moved[moved // BLOCK == block]
+            w = weight[rows]
+            yield pd.DataFrame({"shard": [shard], "array": number, "block": int(block), "width": a.shape[1],
+                                "rows": [rows.astype(np.int32).tobytes()], "weight": [w.tobytes()],
+                                "value": [(a[rows] * w[:, None]).tobytes()]})
 
 
 def lm_scores(df: DataFrame, tokenizer: str, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -379,58 +330,47 @@ def lm_scores(df: DataFrame, tokenizer: str, held_out: Column, doc_id: str = "do
     docs = df.select(df[doc_id].cast("long").alias("doc_id"), df[text].alias("text"), held_out.alias("held_out"))
     train = docs.where("not held_out")
     words = cut(count_words(docs))
-    documents = train.count()
+    documents, size = train.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     learnt = words.where("n > 0").agg(F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     total, distinct = learnt["n"] + documents, learnt["v"] + (documents > 0)
     below = 0.1 * (distinct + 1) + total
-    tables, counts = build_tables(words, documents, tokenizer)
-    sent = spark.sparkContext.broadcast(tables)
-    prior = np.log(np.bincount(tables.first_class, weights=np.exp(tables.first_logp), minlength=SINGLE + BANDS))
-    model = fit_attention(train, sent, 0 * prior)
+    sent = spark.sparkContext.broadcast(build_tables(words, documents, tokenizer))
+    fitted = spark.sparkContext.broadcast(fit_attention(train, sent, size))
     log_base = lambda c: np.log10((c + 0.1) / below)
 
     def score(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known_words = _words_for(sent)
-        t = known_words.tables
+        known = _words_for(sent)
+        scorer = Scorer(fitted.value, known.tables.edges)
         for part in parts:
-            rows, inputs, wanted, sizes, ins, tails = [], [], [], [], [], []
-            for found in known_words.of_words([words_of(text) for text in part["text"]]):
-                ids, firsts = _sequence(found, t.end, known_words.encode.kind)
-                x, y = _rows(ids, firsts, t)
-                inputs.append(x)
-                wanted.append(y)
-                sizes.append(len(x))
-                _, inside, counts, hashed = zip(*found) if found else ((), (), (), ())
-                ins.append(sum(inside) + t.first_logp[ids[firsts]].sum())
+            found = list(known.of_words([words_of(text) for text in part["text"]]))
+            tokens, shown, lengths = known.sequences(found)
+            logp = scorer.score(tokens, shown, lengths)
+            rows, tails = [], []
+            for own in found:
+                _, counts, hashed = zip(*own) if own else ((), (), ())
                 counts = np.array(counts, np.int64)
                 rare = counts < 0
                 tails.append(np.unique(np.array(hashed, np.int64)[rare], return_counts=True))
                 head = counts[~rare]
-                rows.append((len(found) + 1, len(head) + (documents > 0), float(log_base(head).sum() + log_base(documents))))
-            each = np.zeros(len(rows))
-            if rows:
-                logp = attention.score(model, np.concatenate(inputs), np.concatenate(wanted)).sum(1)
-                ends = np.cumsum(sizes)
-                each = np.add.reduceat(logp, ends - sizes) + np.array(ins)
+                rows.append((len(own) + 1, len(head) + (documents > 0), float(log_base(head).sum() + log_base(documents))))
             out = pd.DataFrame(rows, columns=["n_tokens", "head_known", "head_base"])
             out["doc_id"], out["held_out"] = part["doc_id"].to_numpy(), part["held_out"].to_numpy()
-            out["head_score"] = each / np.log(10)
+            out["score"] = np.add.reduceat(logp, np.cumsum(lengths) - lengths) / math.log(10) if rows else np.zeros(0)
             out["tail_h"] = pd.Series([h for h, _ in tails], dtype=object)
             out["tail_n"] = pd.Series([c for _, c in tails], dtype=object)
             yield out
 
     scored = cut(docs.mapInPandas(score, "doc_id long, held_out boolean, n_tokens long, head_known long, "
-                                         "head_base double, head_score double, tail_h array<long>, tail_n array<long>")
+                                         "head_base double, score double, tail_h array<long>, tail_n array<long>")
                  .withColumn("row", F.monotonically_increasing_id()))
     tail = (scored.select("row", F.explode(F.arrays_zip("tail_h", "tail_n")).alias("t"))
             .select("row", F.col("t.tail_h").alias("h"), F.col("t.tail_n").alias("times")))
-    met = tail.join(counts, "h").groupBy("row").agg(
+    met = tail.join(words.select("h", "n"), "h").groupBy("row").agg(
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("tail_known"),
-        F.sum(F.col("times") * F.log10((F.col("n") + 0.1) / F.lit(float(below)))).alias("tail_base"),
-        F.sum(F.col("times") * F.col("inside") / F.lit(math.log(10))).alias("tail_score"))
+        F.sum(F.col("times") * F.log10((F.col("n") + 0.1) / F.lit(float(below)))).alias("tail_base"))
     return scored.join(met, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("head_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"),
         (F.col("head_base") + F.coalesce("tail_base", F.lit(0.0))).alias("base_score"),
-        (F.col("head_score") + F.coalesce("tail_score", F.lit(0.0))).alias("score"))
+        "score")

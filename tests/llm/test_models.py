@@ -7,7 +7,6 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 
 from revlens.llm import attention, attention_lm, simhash, topk
@@ -96,95 +95,133 @@ def test_lm_edges(edges, nothing):
     assert all(math.isfinite(r.score) for r in lm_scores(edges, path, F.lit(True)).collect())
 
 
-def test_every_text_gives_a_slice():
-    """Whatever its place among the rows, also a short or empty text."""
-    taken = []
+def by_id(df):
+    return {r.doc_id: r for r in df.collect()}
 
-    class Seen:
-        tables, encode = type("T", (), {"end": 0}), type("E", (), {"kind": np.uint32})
 
-        def of_words(self, split):
-            taken.append(list(split))
-            return iter(())
-
-    texts = [(" ".join(f"d{i}w{k}" for k in range(i * 7 % 400)), 977 * (-1) ** i * (i + 1) ** 5) for i in range(120)]
-    attention_lm._train(attention.Attention.fresh(20, 7, np.zeros(7)), iter([texts]), Seen(), attention_lm.SHARE, 0.01)
-    one_by_one = taken.pop()
-    attention_lm._train(attention.Attention.fresh(20, 7, np.zeros(7)), iter([texts[::-1]]), Seen(), attention_lm.SHARE, 0.01)
-    own = {w[0].split(b"w")[0] for w in one_by_one if w}
-    assert own == {f"d{i}".encode() for i, (t, _) in enumerate(texts) if t}
-    assert sorted(taken[0]) == sorted(one_by_one)
-
-
-def test_lm_inside_words_from_all_counts(spark, docs, monkeypatch):
-    """Every distinct word's probability uses all counts, held by the tasks or joined."""
+def test_lm_layout_and_joined_counts(spark, docs, monkeypatch):
+    """Scores depend neither on how rows are split nor on which counts are joined."""
     path = public_tokenizers.path(BYTE_BPE)
     some = docs.where("doc_id < 60").select("doc_id", "text")
     held = F.col("doc_id") % 5 == 0
-    whole = {r.doc_id: r for r in lm_scores(some, path, held).collect()}
+    monkeypatch.setattr(attention_lm, "SHARD_BYTES", 20_000)  # several shards
+    whole = by_id(lm_scores(some.repartition(1), path, held))
     monkeypatch.setattr(attention_lm, "HEAD_WORDS", 30)
-    monkeypatch.setattr(attention_lm, "TABLE_ENTRIES", 30, raising=False)
-    few = {r.doc_id: r for r in lm_scores(some, path, held).collect()}
+    split = by_id(lm_scores(some.repartition(7), path, held))
     for i, r in whole.items():
-        assert few[i].score == pytest.approx(r.score, rel=1e-4) and few[i].n_known == r.n_known
-
-    words = attention_lm.count_words(some.withColumn("held_out", held))
-    got = {r.h: r for r in attention_lm.build_tables(words, 48, path)[1].collect()}
-    encode, count = cached_ids(path), {}
-    for r in some.collect():
-        for w in words_of(r.text):
-            count[w] = count.get(w, 0) + (r.doc_id % 5 != 0)
-    ids = {w: [*map(int, encode.ordinary(" " + w.decode())), attention_lm.END_ID] for w in count}
-    seen, total, kinds = Counter(), Counter(), Counter()
-    for w, n in count.items():
-        for k in range(1, len(ids[w])):
-            for order in range(min(3, k) + 1):
-                context = tuple(ids[w][k - order:k])
-                seen[context, ids[w][k]] += n
-                total[context] += n
-    for (context, _), n in seen.items():
-        kinds[context] += max(n - 0.7, 0)
-
-    def p(context, x):
-        if not context:
-            return (seen[(), x] + 0.05) / (total[()] + 0.05 * (attention_lm.END_ID + 1))
-        short = p(context[1:], x)
-        if not total[context]:
-            return short
-        return max(seen[context, x] - 0.7, 0) / total[context] + (1 - kinds[context] / total[context]) * short
-
-    assert len(got) == len(count) and any(n == 0 for n in count.values())
-    for w, n in count.items():
-        r = got[xxhash.xxh3_64_intdigest(w) - (1 << 64) * (xxhash.xxh3_64_intdigest(w) >> 63)]
-        want = sum(math.log(p(tuple(ids[w][max(0, k - 3):k]), ids[w][k])) for k in range(1, len(ids[w])))
-        assert r.n == n and r.inside == pytest.approx(want)
-
-
-def test_attention_gradient_and_mask():
-    rng = np.random.default_rng(0)
-    model = attention.Attention.fresh(20, 7, np.zeros(7))
-    ids = rng.integers(0, 20, (3, attention.WINDOW))
-    ids[0, :attention.WINDOW - attention.SCORED + 8] = -1
-    want = rng.integers(-1, 7, (3, attention.SCORED))
-    want[0, :8] = -1
-    loss, grads = attention.gradient(model, ids, want)
-    flat, g = model.flat().astype(float), np.concatenate([x.ravel() for x in grads])
-    for k in rng.choice(np.flatnonzero(np.abs(g) > 1e-4), 12, replace=False):
-        up, down = flat.copy(), flat.copy()
-        up[k] += 1e-2
-        down[k] -= 1e-2
-        slope = (attention.gradient(model.with_flat(up), ids, want)[0] - attention.gradient(model.with_flat(down), ids, want)[0]) / 2e-2
-        assert slope == pytest.approx(g[k], rel=0.1, abs=2e-4)
-    later = ids.copy()
-    later[:, -1] = 3
-    a, b = attention.score(model, ids, want), attention.score(model, later, want)
-    assert np.allclose(a[:, :-1], b[:, :-1])
-
-
-@pytest.mark.parametrize("n", [1, 31, 32, 33, 64, 200])
+        assert split[i].score == pytest.approx(r.score, rel=1e-5) and split[i].n_known == r.n_known
+        assert split[i].base_score == pytest.approx(r.base_score)
+
+
+def test_lm_subword_counts(spark, docs):
+    path = public_tokenizers.path(BYTE_BPE)
+    some = docs.where("doc_id < 60").select("text", (F.col("doc_id") % 5 == 0).alias("held_out"))
+    got = attention_lm.subword_counts(attention_lm.count_words(some), path)
+    encode, want = cached_ids(path), Counter()
+    for r in some.where("not held_out").collect():
+        want.update(int(i) for w in words_of(r.text) for i in encode.ordinary(" " + w.decode()))
+    assert {int(i): int(got[i]) for i in np.flatnonzero(got)} == dict(want)
+
+
+def test_shards_grow_with_the_text():
+    assert [attention_lm.shard_count(n << 20) for n in (0, 1, 33, 2048, 16384, 1 << 20)] == [1, 1, 2, 64, 64, 4096]
+
+
+def test_every_training_token_is_learnt_from(monkeypatch):
+    """Whole texts, short and empty ones too, each place wanted once."""
+    seen = Counter()
+    monkeypatch.setattr(attention_lm, "gradient", lambda m, e, ids, want: seen.update(want[want >= 0].tolist()) or (0, []))
+    counts = np.zeros(attention_lm.END_ID + 1)
+    number = np.arange(len(counts))
+    tables = attention_lm.Tables(public_tokenizers.path(BYTE_BPE), number, counts, attention.class_edges(counts),
+                                 np.zeros(0, np.int64), np.zeros(0, np.int64))
+    words, texts = attention_lm.Words(tables), [None, "", "one", "a few more words " * 400, "x y " * 20]
+    steps = type("S", (), {"step": lambda self, parts, n: None})()
+    attention_lm._train(None, steps, words, texts)
+    encode = cached_ids(tables.tokenizer)
+    want = Counter(int(i) for t in texts for w in words_of(t) for i in encode.ordinary(" " + w.decode()))
+    assert seen == want + Counter({attention_lm.END_ID: len(texts)})
+
+
+def test_tree_average(spark, monkeypatch):
+    """Weighted by what each shard gathered; rows that none moved stay away."""
+    monkeypatch.setattr(attention_lm, "FAN", 2)
+    rng = np.random.default_rng(3)
+    rows, total, weights = [], np.zeros((9, 4)), np.zeros(9)
+    for shard in range(7):
+        at = np.sort(rng.choice(8, 3, replace=False))
+        w, v = rng.random(3), rng.random((3, 4))
+        total[at] += v
+        weights[at] += w
+        rows.append((shard, 2, 0, 4, at.astype(np.int32).tobytes(), w.tobytes(), v.tobytes()))
+    (got,) = attention_lm.average(spark.createDataFrame(rows, attention_lm._PART), 7)
+    at = np.frombuffer(got["rows"], np.int32)
+    assert at.tolist() == np.flatnonzero(weights).tolist()
+    assert np.allclose(np.frombuffer(got["weight"]), weights[at])
+    assert np.allclose(np.frombuffer(got["value"]).reshape(-1, 4), total[at])
+
+
+def small_model(seed=0):
+    rng = np.random.default_rng(seed)
+    counts = np.r_[np.arange(100, 0, -1), 0, 0, 0].astype(float)
+    edges = attention.class_edges(counts)
+    model = attention.Attention.fresh(counts, edges)
+    for a in model.arrays():
+        a += rng.standard_normal(a.shape).astype(np.float32) * 0.2
+    return rng, model, edges
+
+
+def test_attention_gradient():
+    rng, model, edges = small_model()
+    lengths = np.array([5, 40, 1])
+    tokens, shown = rng.integers(0, 103, (2, 46))
+    ids, want = attention.batch_of(tokens, shown, *attention.windows(lengths))
+    _, parts = attention.gradient(model, edges, ids, want)
+    for a, own in zip(model.arrays(), parts):
+        g = np.zeros_like(a)
+        for rows, part in own:
+            g[rows] += part
+        for k in rng.choice(np.flatnonzero(np.abs(g).ravel() > 0.05), 4):
+            at, keep = np.unravel_index(k, a.shape), a.ravel()[k]
+            a[at] = keep + 1e-2
+            up = attention.gradient(model, edges, ids, want)[0]
+            a[at] = keep - 1e-2
+            down = attention.gradient(model, edges, ids, want)[0]
+            a[at] = keep
+            assert (up - down) / 2e-2 == pytest.approx(g[at], rel=0.05, abs=0.02)
+
+
+def test_attention_scores_are_masked_probabilities():
+    """The softmax in two steps sums to one, later tokens don't count, and a
+    token's score is the same however texts are batched."""
+    rng, model, edges = small_model(1)
+    tokens, shown = rng.integers(0, 103, (2, 60))
+    scorer = attention.Scorer(model, edges)
+    whole = scorer.score(tokens, shown, np.array([60]))
+    later = shown.copy()
+    later[41:] = 3
+    assert np.allclose(whole[:41], scorer.score(tokens, later, np.array([60]))[:41], atol=1e-5)
+    total = 0
+    for t in range(103):
+        last = tokens.copy()
+        last[50] = t
+        total += math.exp(scorer.score(last, shown, np.array([60]))[50])
+    assert total == pytest.approx(1, abs=1e-4)
+    pair = scorer.score(np.r_[tokens, tokens[:30]], np.r_[shown, shown[:30]], np.array([60, 30]))
+    assert np.allclose(pair, np.r_[whole, whole[:30]], atol=1e-5)
+    ids, want = attention.batch_of(tokens, shown, *attention.windows(np.array([60])))
+    assert -attention.gradient(model, edges, ids, want)[0] == pytest.approx(whole.sum(), rel=1e-4)
+
+
+@pytest.mark.parametrize("n", [1, 23, 24, 25, 48, 200])
 def test_windows_score_each_token_once(n):
-    at, live = attention.windows(n)
-    assert sorted(at[:, attention.WINDOW - attention.SCORED:][live].tolist()) == list(range(n))
+    lengths = np.array([n, 3, n])
+    tokens = np.arange(lengths.sum())
+    ids, want = attention.batch_of(tokens, tokens, *attention.windows(lengths))
+    assert sorted(want[want >= 0].tolist()) == tokens.tolist()
+    text = np.repeat(np.arange(3), lengths)
+    for row, wanted in zip(ids, want):  # no window shows another text
+        assert len({*text[row[row >= 0]], *text[wanted[wanted >= 0]]}) == 1
 
 
 def test_top_k_query_equals_sql(spark, queries, oracle):
