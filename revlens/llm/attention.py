@@ -19,20 +19,23 @@ import numpy as np
 
 #: Positions of a window, and how many of them it scores (its last ones).
 WINDOW, SCORED = 32, 24
-WIDTH, BATCH, SINGLE = 16, 128, 64
+WIDTH, BATCH, SINGLE = 16, 256, 64
 BEFORE = WINDOW - SCORED
 _LAG = np.arange(BEFORE, WINDOW)[:, None] - np.arange(WINDOW)[None, :]  # scored position minus context position
 _AFTER = np.where(_LAG < 0, np.float32(-1e9), np.float32(0))
 _SCALE = np.float32(1 / np.sqrt(WIDTH))
+_ONES = np.ones(1 << 16, np.float32)
+#: Logits are kept between minus and plus this, so no exponential overflows.
+REACH = 60
 
 
 def class_edges(counts: np.ndarray) -> np.ndarray:
     """Where the classes of subwords in falling order of ``counts`` begin, and
     the end: the first SINGLE stand alone, then each class grows the part
-    before it by a quarter; subwords without a count are one class."""
+    before it by half; subwords without a count are one class."""
     seen = int((counts > 0).sum())
     alone = np.arange(min(seen, SINGLE))
-    later = (SINGLE * 1.25 ** np.arange(60)).astype(int)
+    later = (SINGLE * 1.5 ** np.arange(40)).astype(int)
     return np.unique(np.r_[0, alone, later[later < seen], seen, len(counts)])
 
 
@@ -41,7 +44,8 @@ class Attention:
     """Rows per subword (input, output, output bias), projections, a bias by
     distance, and the output rows of the classes.
 
-    Every array has two dimensions; ``steps`` are one learning state a row.
+    Every array has two dimensions.  The input rows end with one of zeros,
+    for places without a token (-1).
     """
 
     embed: np.ndarray
@@ -65,7 +69,8 @@ class Attention:
         near = -0.5 * np.arange(WINDOW, dtype=np.float32)[:, None]
         size, classes = len(counts), len(edges) - 1
         inside = np.log(smooth / np.repeat(share, np.diff(edges)))
-        return cls(draw(size, WIDTH, 0.3), np.zeros((size, WIDTH), np.float32), inside[:, None].astype(np.float32),
+        embed = np.concatenate([draw(size, WIDTH, 0.3), np.zeros((1, WIDTH), np.float32)])
+        return cls(embed, np.zeros((size, WIDTH), np.float32), inside[:, None].astype(np.float32),
                    *(draw(WIDTH, WIDTH, by) for by in (0.2, 0.2, 0.0, 0.3)), near,
                    np.zeros((classes, WIDTH), np.float32), np.log(share / share.sum())[:, None].astype(np.float32))
 
@@ -100,12 +105,12 @@ def _weights(q: np.ndarray, k: np.ndarray, near: np.ndarray, ids: np.ndarray) ->
     """Shares that each scored place gives to the places up to it."""
     s = q @ k.transpose(0, 2, 1)
     s += near[np.maximum(_LAG, 0), 0]
-    np.clip(s, -60, 60, out=s)
+    np.clip(s, -REACH, REACH, out=s)
     s += _AFTER
     part = np.flatnonzero(ids[:, 0] < 0)  # windows at a text's beginning lack tokens
     s[part] += np.where(ids[part] >= 0, np.float32(0), np.float32(-1e9))[:, None, :]
     np.exp(s, out=s)
-    s /= s.sum(2, keepdims=True) + np.float32(1e-35)
+    s /= (s @ _ONES[:WINDOW])[:, :, None] + np.float32(1e-35)
     return s
 
 
@@ -142,8 +147,10 @@ class Scorer:
 
     def _batch(self, ids: np.ndarray, target: np.ndarray, place: np.ndarray) -> np.ndarray:
         m, last = self.model, ids[:, BEFORE:]
-        s = _weights(self.q[last], self.k[ids], m.near, ids)
-        h = (s @ self.v[ids] + self.own[last])[place]
+        s = _weights(_rows(self.q, last), _rows(self.k, ids), m.near, ids)
+        h = s @ _rows(self.v, ids)
+        h += _rows(self.own, last)
+        h = h[place]
         z = h @ m.cls.T
         z += m.cls_bias[:, 0]
         own, order, runs = _classes(self.edges, target)
@@ -158,38 +165,58 @@ class Scorer:
         return logp
 
 
+def _rows(table: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    return np.take(table, ids, axis=0)
+
+
 def _log_share(z: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Log softmax of each row at its target; ``z`` is used up."""
-    z -= z.max(1, keepdims=True)
+    np.clip(z, -REACH, REACH, out=z)
     own = z[np.arange(len(z)), target]
     np.exp(z, out=z)
-    return own - np.log(z.sum(1))
+    return own - np.log(z @ _ONES[:z.shape[1]])
 
 
 def _softmax_step(z: np.ndarray, target: np.ndarray) -> tuple[float, np.ndarray]:
     """Sum of losses and their gradient by the logits, in place of ``z``."""
-    z -= z.max(1, keepdims=True)
+    np.clip(z, -REACH, REACH, out=z)
     each = np.arange(len(z))
     own = z[each, target].sum()
     np.exp(z, out=z)
-    total = z.sum(1, keepdims=True)
+    total = z @ _ONES[:z.shape[1]]
     loss = float(np.log(total).sum() - own)
-    z /= total
+    z /= total[:, None]
     z[each, target] -= 1
     return loss, z
 
 
+def _summed(ids: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids (without -1) and the sums of their rows of ``d``."""
+    short = ids.astype(np.uint16) if ids.max() < (1 << 16) - 1 else ids
+    order = np.argsort(short, kind="stable")
+    ordered = short[order]
+    new = np.r_[True, ordered[1:] != ordered[:-1]]
+    group = np.empty(len(ids), np.int64)
+    group[order] = np.cumsum(new) - 1
+    distinct = ids[order[new]]
+    by = d.T
+    sums = np.stack([np.bincount(group, weights=column) for column in by], 1).astype(np.float32)
+    keep = distinct >= 0
+    return distinct[keep], sums[keep]
+
+
 def gradient(m: Attention, edges: np.ndarray, ids: np.ndarray, want: np.ndarray) -> tuple[float, list]:
     """Summed loss over wanted places, and per array (rows, gradient) parts;
     rows are a slice or an index of distinct rows."""
     place = want >= 0
     target = want[place]
-    x = m.embed[ids] * (ids >= 0)[:, :, None]
-    last = x[:, BEFORE:]
-    q, k, v = last @ (m.query * _SCALE), x @ m.key, x @ m.value
+    x = _rows(m.embed, ids)
+    last = np.ascontiguousarray(x[:, BEFORE:])
+    by = lambda a, w: (a.reshape(-1, WIDTH) @ w).reshape(a.shape)
+    q, k, v = by(last, m.query * _SCALE), by(x, m.key), by(x, m.value)
     s = _weights(q, k, m.near, ids)
     h = s @ v
-    h += last @ m.own
+    h += by(last, m.own)
     hp = h[place]
     own, order, runs = _classes(edges, target)
     loss, dz = _softmax_step(hp @ m.cls.T + m.cls_bias[:, 0], own)
@@ -214,22 +241,18 @@ def gradient(m: Attention, edges: np.ndarray, ids: np.ndarray, want: np.ndarray)
     ds -= np.einsum("bij,bij->bi", ds, s)[:, :, None]
     ds *= s
     dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    dx = dk @ m.key.T + dv @ m.value.T
-    dx[:, BEFORE:] += dq @ (m.query * _SCALE).T + dh @ m.own.T
+    dx = by(dk, m.key.T)
+    dx += by(dv, m.value.T)
+    dx[:, BEFORE:] += by(dq, (m.query * _SCALE).T) + by(dh, m.own.T)
     flat = lambda a: a.reshape(-1, WIDTH)
-    x2, last2 = flat(x), flat(np.ascontiguousarray(last))
+    x2, last2 = flat(x), flat(last)
     parts[3].append((everything, last2.T @ flat(dq) * _SCALE))
     parts[4].append((everything, x2.T @ flat(dk)))
     parts[5].append((everything, x2.T @ flat(dv)))
     parts[6].append((everything, last2.T @ flat(dh)))
     parts[7].append((everything, np.bincount(np.maximum(_LAG, 0).ravel(), weights=ds.sum(0).ravel(),
                                              minlength=WINDOW)[:, None].astype(np.float32)))
-    index = ids.ravel()
-    order = np.argsort(index, kind="stable")
-    ordered = index[order]
-    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-    rows, grad = ordered[first], np.add.reduceat(flat(dx)[order], first)
-    parts[0].append((rows[rows >= 0], grad[rows >= 0]))
+    parts[0].append(_summed(ids.ravel(), flat(dx)))
     return loss, parts
 
 

@@ -43,7 +43,7 @@ HEAD_WORDS = 300_000
 #: Documents that the model starts from, the windows of a step there, and the
 #: steps, as a share of which the step size falls.
 START_ROWS, START_BATCH, START_STEPS = 1_500, 24, 3_000
-START_RATE, RATE, STEP_WINDOWS = 0.2, 0.05, 128
+START_RATE, RATE, STEP_WINDOWS = 0.2, 0.05, 256
 #: Bytes of training text per shard: at least so many shards of the lower
 #: size as FEW, beyond them shards grow up to the upper size.
 SHARD_BYTES, LARGE_SHARD, FEW = 32 << 20, 256 << 20, 64
