@@ -57,13 +57,20 @@ def bias_report(df: DataFrame, label: str = "sentiment", facet: str = "product_c
     Facet values with at most ``min_rows_exclusive`` rows (null labels count)
     are left out before anything else, from the counted cells: rows need no
     pass of their own for it."""
+    return _report(_cells(df, label, facet, min_rows_exclusive), label, facet, positive_values, methods,
+                   max_labels, max_local_rows)
+
+
+def _report(cells: DataFrame, label: str, facet: str, positive_values, methods, max_labels: int = MAX_LABELS,
+            max_local_rows: int | None = None) -> DataFrame:
+    """``bias_report`` from the counted cells (facet, label, n)."""
     methods = [m.upper() for m in (methods or ALL_METHODS)]
     unknown = [m for m in methods if m not in ALL_METHODS]
     if unknown:
         raise ValueError(f"unknown bias methods: {unknown}")
     from revlens.operators.joins import LOCAL_COPY_ROWS, small_local_copy
     cell_counts, cell_rows = small_local_copy(
-        _cells(df, label, facet, min_rows_exclusive),
+        cells,
         LOCAL_COPY_ROWS if max_local_rows is None else max_local_rows)
     if cell_rows is not None:
         sums: dict = {}
@@ -77,7 +84,7 @@ def bias_report(df: DataFrame, label: str = "sentiment", facet: str = "product_c
         raise ValueError(f"label {label} has more than {max_labels} values")
     totals = sorted((r[label], int(r["n"])) for r in totals_rows)
     labels = [v for v, _ in totals]
-    spark = df.sparkSession
+    spark = cells.sparkSession
     out_cols = ["facet_value"] + [m.lower() for m in methods]
     if not labels:
         schema = "facet_value string, " + ", ".join(f"{m} double" for m in out_cols[1:])
@@ -141,6 +148,20 @@ def bias_report(df: DataFrame, label: str = "sentiment", facet: str = "product_c
     return stage3.select("facet_value", *[expr[m].alias(m.lower()) for m in methods])
 
 
+def _cells_of_all(df: DataFrame, label: str, facets: list[Column]) -> list[DataFrame]:
+    """Cells (facet_value, label, n) of several facets from one pass: a row
+    gives one entry per facet, which the partial aggregation adds up at once.
+    The counts are kept as a local relation when proved small, else written."""
+    from revlens.operators.joins import LOCAL_COPY_ROWS, small_local_copy
+    entries = F.array(*[F.struct(F.lit(i).alias("at"), f.cast("string").alias("value")) for i, f in enumerate(facets)])
+    counted = (df.select(F.col(label).alias("__label"), F.explode(entries).alias("e"))
+               .where("e.value is not null and __label is not null")
+               .groupBy("e.at", "e.value", "__label").agg(F.count(F.lit(1)).alias("n")))
+    counted, _ = small_local_copy(counted, LOCAL_COPY_ROWS)
+    return [counted.where(F.col("at") == i).select(F.col("value").alias("facet_value"), F.col("__label").alias(label), "n")
+            for i in range(len(facets))]
+
+
 def column_of(df: DataFrame, name_or_index, headers=()) -> str:
     """A column by its name, or by its place (from 0) in the headers, or, without
     headers, in the data.  A name that looks like a number wins over a place."""
@@ -178,7 +199,8 @@ def bias_report_from_config(df: DataFrame, config) -> DataFrame:
 
     The label and the facets are names or column numbers.  A fractional label
     is cut at its threshold first.  A facet with values or a threshold has one
-    row, for that group against all others; without, one row per value.
+    row, for that group against all others; without, one row per value.  The data
+    is read once, whatever the number of facets.
     Without facets the report is an empty table."""
     label = column_of(df, config.label, config.headers)
     fractional = dict(df.dtypes)[label] in ("float", "double") or dict(df.dtypes)[label].startswith("decimal")
@@ -190,19 +212,21 @@ def bias_report_from_config(df: DataFrame, config) -> DataFrame:
         spelled = [F.lit(str(v)).try_cast(kind).alias(f"v{i}") for i, v in enumerate(config.positive_values)]
         positive = list(df.sparkSession.range(1).select(*spelled).first()) if spelled else []
     methods = config.methods or ALL_METHODS
-    parts = []
+    names, groups, columns = [], [], []
     for i, named in enumerate(config.facets):
         facet = column_of(df, named, config.headers)
         values = (config.facet_values or [None] * len(config.facets))[i]
         if facet == label:
             raise ValueError(f"{facet} is the label and a facet")
-        if values:
-            name = group_name(df, facet, values)
-            own = df.withColumn(facet, F.when(_group(df, facet, values), "group").when(F.col(facet).isNotNull(), "rest"))
-            rep = (bias_report(own, label, facet, positive, methods).where("facet_value = 'group'")
-                   .withColumn("facet_value", F.lit(name)))
-        else:
-            rep = bias_report(df, label, facet, positive, methods)
+        names.append(facet)
+        groups.append(group_name(df, facet, values) if values else None)
+        columns.append(F.when(_group(df, facet, values), "group").when(F.col(facet).isNotNull(), "rest")
+                       if values else F.col(facet))
+    parts = []
+    for facet, group, cells in zip(names, groups, _cells_of_all(df, label, columns) if names else []):
+        rep = _report(cells, label, "facet_value", positive, methods)
+        if group is not None:
+            rep = rep.where("facet_value = 'group'").withColumn("facet_value", F.lit(group))
         parts.append(rep.select(F.lit(facet).alias("facet"), "*"))
     if not parts:
         schema = "facet string, facet_value string, " + ", ".join(f"{m.lower()} double" for m in methods)

@@ -76,3 +76,25 @@ def test_no_facets_empty_table_and_label_as_facet(spark, df):
     assert bias_report_from_config(df.limit(0), config(spark)).count() == 0
     with pytest.raises(ValueError, match="label and a facet"):
         bias_report_from_config(df, config(spark, facet=[{"name_or_index": "answer"}]))
+
+
+def test_all_facets_from_one_read(spark):
+    """Equal to a report per facet; the rows are read once for all."""
+    data = [(i, i % 2, f"c{i % 5}", i % 3, "x" if i % 7 else None) for i in range(200)]
+    df = spark.createDataFrame(data, "id int, sentiment int, product_category string, kind int, odd string")
+    read = spark.sparkContext.accumulator(0)
+
+    def count(parts):
+        for part in parts:
+            read.add(len(part))
+            yield part
+
+    facets = ["product_category", "kind", "odd"]
+    cfg = BiasConfig(**{**vars(config(spark)), "label": "sentiment", "positive_values": [1], "headers": [],
+                        "facets": facets, "facet_values": [None] * 3})
+    got = {(r.facet, r.facet_value): r for r in bias_report_from_config(df.mapInPandas(count, df.schema), cfg).collect()}
+    assert read.value == len(data)
+    want = {(f, r.facet_value): r for f in facets for r in bias_report(df, "sentiment", f, [1], cfg.methods).collect()}
+    assert set(got) == set(want)
+    for k, r in want.items():
+        assert {m: v for m, v in got[k].asDict().items() if m in r.asDict()} == r.asDict()
