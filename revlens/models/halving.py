@@ -18,8 +18,11 @@ import math
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from revlens.session import scratch_path
+
 #: Places of the hash; a sample takes those below its share of them.
 PLACES = 1 << 30
 
@@ -75,7 +78,33 @@ def successive_halving(train: DataFrame, validation: DataFrame, settings: Mappin
 def halve_ngram_lr(train: DataFrame, validation: DataFrame, grid: Mapping[str, dict], eta: int = 2) -> Halving:
     """Halving inside the n-gram logistic family; ``grid`` gives the pipeline's
     arguments (max_n, num_features, max_iter, reg_param) by name."""
-    from revlens.models.candidates import accuracy, fit_cached, ngram_lr_pipeline, predict_sentiment, with_label
-    return successive_halving(
-        train, validation, grid, lambda setting, rows: fit_cached(ngram_lr_pipeline(**setting), rows),
-        lambda model, rows: accuracy(predict_sentiment(model, with_label(rows))).first()["metric_value"], eta)
+    from revlens.models.candidates import accuracy, ngram_lr_pipeline, predict_sentiment, with_label
+    spark = train.sparkSession
+    pipelines = {name: ngram_lr_pipeline(**setting).getStages() for name, setting in grid.items()}
+    # Settings that differ in the learner alone share their features.
+    shapes = {name: (s[-2].getOrDefault("maxN"), s[-2].getNumFeatures()) for name, s in pipelines.items()}
+    made = {shape: f"features_{i}" for i, shape in enumerate(dict.fromkeys(shapes.values()))}
+
+    def featurised(df: DataFrame) -> DataFrame:
+        """id, sentiment, label and the features of every shape, written once."""
+        if not made:
+            return df
+        out = next(iter(pipelines.values()))[0].transform(with_label(df.select("id", "sentiment", "review_body")))
+        for name, steps in pipelines.items():
+            if made[shapes[name]] not in out.columns:
+                out = steps[-2].copy({steps[-2].outputCol: made[shapes[name]]}).transform(out)
+        path = scratch_path(spark, "features")
+        out.drop("review_body", "tokens").write.parquet(path)
+        return spark.read.parquet(path)
+
+    def rows_of(name: str, rows: DataFrame) -> DataFrame:
+        return rows.select("sentiment", "label", F.col(made[shapes[name]]).alias("features"))
+
+    found = successive_halving(
+        featurised(train), featurised(validation), {name: name for name in grid},
+        lambda name, rows: (name, pipelines[name][-1].fit(rows_of(name, rows))),
+        lambda fit, rows: accuracy(predict_sentiment(fit[1], rows_of(fit[0], rows))).first()["metric_value"], eta)
+    if found.model is not None:
+        name, model = found.model
+        found.model = PipelineModel([*pipelines[name][:-1], model])
+    return found
