@@ -150,57 +150,65 @@ class Scorer:
         s = _weights(_rows(self.q, last), _rows(self.k, ids), m.near, ids)
         h = s @ _rows(self.v, ids)
         h += _rows(self.own, last)
-        h = h[place]
-        z = h @ m.cls.T
-        z += m.cls_bias[:, 0]
+        at = np.flatnonzero(place)
         own, order, runs = _classes(self.edges, target)
-        logp = _log_share(z, own)
+        h, target = _rows(h.reshape(-1, WIDTH), at[order]), target[order]  # by class
+        logp = _log_share(m.cls, m.cls_bias, h, own[order])
         for c, a, b in runs:
-            lo, hi = self.edges[c], self.edges[c + 1]
-            at = order[a:b]
-            for part in np.array_split(at, -(-len(at) * int(hi - lo) // 4_000_000)):  # bounded memory
-                z = h[part] @ m.out[lo:hi].T
-                z += m.out_bias[lo:hi, 0]
-                logp[part] += _log_share(z, target[part] - lo)
-        return logp
+            rows = slice(self.edges[c], self.edges[c + 1])
+            step = max(1, 4_000_000 // (rows.stop - rows.start))  # bounded memory
+            for i in range(a, b, step):
+                part = slice(i, min(i + step, b))
+                logp[part] += _log_share(m.out[rows], m.out_bias[rows], h[part], target[part] - rows.start)
+        out = np.empty_like(logp)
+        out[order] = logp
+        return out
 
 
 def _rows(table: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return np.take(table, ids, axis=0)
 
 
-def _log_share(z: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Log softmax of each row at its target; ``z`` is used up."""
-    np.clip(z, -REACH, REACH, out=z)
-    own = z[np.arange(len(z)), target]
+def _logits(out: np.ndarray, bias: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """A row per output, so that whole rows go through every operation."""
+    z = out @ h.T
+    z += bias
+    return np.clip(z, -REACH, REACH, out=z)
+
+
+def _log_share(out: np.ndarray, bias: np.ndarray, h: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log softmax over the outputs at each state's target."""
+    z = _logits(out, bias, h)
+    own = z[target, np.arange(len(h))]
     np.exp(z, out=z)
-    return own - np.log(z @ _ONES[:z.shape[1]])
+    return own - np.log(_ones(len(z)) @ z)
 
 
-def _softmax_step(z: np.ndarray, target: np.ndarray) -> tuple[float, np.ndarray]:
-    """Sum of losses and their gradient by the logits, in place of ``z``."""
-    np.clip(z, -REACH, REACH, out=z)
-    each = np.arange(len(z))
-    own = z[each, target].sum()
+def _softmax_step(out: np.ndarray, bias: np.ndarray, h: np.ndarray, target: np.ndarray) -> tuple[float, np.ndarray]:
+    """Sum of losses and their gradient by the logits (a row per output)."""
+    z = _logits(out, bias, h)
+    each = np.arange(len(h))
+    own = z[target, each].sum()
     np.exp(z, out=z)
-    total = z @ _ONES[:z.shape[1]]
+    total = _ones(len(z)) @ z
     loss = float(np.log(total).sum() - own)
-    z /= total[:, None]
-    z[each, target] -= 1
+    z *= 1 / total
+    z[target, each] -= 1
     return loss, z
 
 
+def _ones(n: int) -> np.ndarray:
+    return _ONES[:n] if n <= len(_ONES) else np.ones(n, np.float32)
+
+
 def _summed(ids: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ids (without -1) and the sums of their rows of ``d``."""
     short = ids.astype(np.uint16) if ids.max() < (1 << 16) - 1 else ids
     order = np.argsort(short, kind="stable")
     ordered = short[order]
-    new = np.r_[True, ordered[1:] != ordered[:-1]]
-    group = np.empty(len(ids), np.int64)
-    group[order] = np.cumsum(new) - 1
-    distinct = ids[order[new]]
-    by = d.T
-    sums = np.stack([np.bincount(group, weights=column) for column in by], 1).astype(np.float32)
+    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    distinct = ids[order[first]]
+    sums = np.add.reduceat(_rows(d, order), first, axis=0)
     keep = distinct >= 0
     return distinct[keep], sums[keep]
 
@@ -208,54 +216,74 @@ def _summed(ids: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def gradient(m: Attention, edges: np.ndarray, ids: np.ndarray, want: np.ndarray) -> tuple[float, list]:
     """Summed loss over wanted places, and per array (rows, gradient) parts;
     rows are a slice or an index of distinct rows."""
-    place = want >= 0
-    target = want[place]
+    at = np.flatnonzero(want >= 0)
+    target = want.ravel()[at]
+    flat = lambda a: a.reshape(-1, a.shape[-1])
+    by = lambda a, w: (flat(a) @ w).reshape(*a.shape[:2], -1)
     x = _rows(m.embed, ids)
     last = np.ascontiguousarray(x[:, BEFORE:])
-    by = lambda a, w: (a.reshape(-1, WIDTH) @ w).reshape(a.shape)
-    q, k, v = by(last, m.query * _SCALE), by(x, m.key), by(x, m.value)
+    of_x, of_last = np.hstack([m.key, m.value]), np.hstack([m.query * _SCALE, m.own])
+    kv, qo = by(x, of_x), by(last, of_last)
+    k, v, q = kv[..., :WIDTH], kv[..., WIDTH:], qo[..., :WIDTH]
     s = _weights(q, k, m.near, ids)
     h = s @ v
-    h += by(last, m.own)
-    hp = h[place]
+    h += qo[..., WIDTH:]
     own, order, runs = _classes(edges, target)
-    loss, dz = _softmax_step(hp @ m.cls.T + m.cls_bias[:, 0], own)
+    at, target = at[order], target[order]  # by class
+    hp = _rows(flat(h), at)
+    loss, dz = _softmax_step(m.cls, m.cls_bias, hp, own[order])
     parts: list[list] = [[] for _ in m.arrays()]
     everything = slice(None)
-    parts[8].append((everything, dz.T @ hp))
-    parts[9].append((everything, dz.sum(0)[:, None]))
-    dhp = dz @ m.cls
-    for c, a, b in runs:
-        lo, hi = edges[c], edges[c + 1]
-        at, rows = order[a:b], slice(lo, hi)
-        hs = hp[at]
-        more, dz = _softmax_step(hs @ m.out[rows].T + m.out_bias[rows, 0], target[at] - lo)
-        loss += more
-        parts[1].append((rows, dz.T @ hs))
-        parts[2].append((rows, dz.sum(0)[:, None]))
-        dhp[at] += dz @ m.out[rows]
+    parts[8].append((everything, dz @ hp))
+    parts[9].append((everything, dz.sum(1)[:, None]))
+    dhp = dz.T @ m.cls
+    for rows, these in _joined(edges, runs):
+        g, g_bias = np.zeros((rows.stop - rows.start, WIDTH), np.float32), np.zeros((rows.stop - rows.start, 1), np.float32)
+        for c, a, b in these:
+            lo, hi = edges[c], edges[c + 1]
+            hs, to = hp[a:b], slice(lo - rows.start, hi - rows.start)
+            more, dz = _softmax_step(m.out[lo:hi], m.out_bias[lo:hi], hs, target[a:b] - lo)
+            loss += more
+            np.matmul(dz, hs, out=g[to])
+            np.matmul(dz, _ones(b - a), out=g_bias[to, 0])
+            dhp[a:b] += dz.T @ m.out[lo:hi]
+        parts[1].append((rows, g))
+        parts[2].append((rows, g_bias))
+    dqo = np.zeros_like(qo)
     dh = np.zeros_like(h)
-    dh[place] = dhp
-    dv = s.transpose(0, 2, 1) @ dh
+    flat(dh)[at] = dhp
+    dqo[..., WIDTH:] = dh
     ds = dh @ v.transpose(0, 2, 1)
     ds -= np.einsum("bij,bij->bi", ds, s)[:, :, None]
     ds *= s
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    dx = by(dk, m.key.T)
-    dx += by(dv, m.value.T)
-    dx[:, BEFORE:] += by(dq, (m.query * _SCALE).T) + by(dh, m.own.T)
-    flat = lambda a: a.reshape(-1, WIDTH)
-    x2, last2 = flat(x), flat(last)
-    parts[3].append((everything, last2.T @ flat(dq) * _SCALE))
-    parts[4].append((everything, x2.T @ flat(dk)))
-    parts[5].append((everything, x2.T @ flat(dv)))
-    parts[6].append((everything, last2.T @ flat(dh)))
+    dqo[..., :WIDTH] = ds @ k
+    dkv = np.concatenate([ds.transpose(0, 2, 1) @ q, s.transpose(0, 2, 1) @ dh], 2)
+    dx = by(dkv, of_x.T)
+    dx[:, BEFORE:] += by(dqo, of_last.T)
+    g_x, g_last = flat(x).T @ flat(dkv), flat(last).T @ flat(dqo)
+    parts[3].append((everything, g_last[:, :WIDTH] * _SCALE))
+    parts[4].append((everything, g_x[:, :WIDTH]))
+    parts[5].append((everything, g_x[:, WIDTH:]))
+    parts[6].append((everything, g_last[:, WIDTH:]))
     parts[7].append((everything, np.bincount(np.maximum(_LAG, 0).ravel(), weights=ds.sum(0).ravel(),
                                              minlength=WINDOW)[:, None].astype(np.float32)))
     parts[0].append(_summed(ids.ravel(), flat(dx)))
     return loss, parts
 
 
+def _joined(edges: np.ndarray, runs: list[tuple[int, int, int]]) -> list[tuple[slice, list]]:
+    """Runs of neighbouring classes together, with the rows from the first to
+    the last; a class of several others' size stays alone."""
+    out: list[tuple[slice, list]] = []
+    for run in runs:
+        lo, hi = int(edges[run[0]]), int(edges[run[0] + 1])
+        if out and out[-1][0].stop == lo and hi - lo <= max(4096, lo):
+            out[-1] = slice(out[-1][0].start, hi), [*out[-1][1], run]
+        else:
+            out.append((slice(lo, hi), [run]))
+    return out
+
+
 class RowSteps:
     """Steps whose size falls with a row's own squared gradients so far."""
 

@@ -191,6 +191,16 @@ def test_attention_gradient():
             assert (up - down) / 2e-2 == pytest.approx(g[at], rel=0.05, abs=0.02)
 
 
+def test_neighbouring_classes_step_together():
+    """Every run once, in rows from its first class to its last; a gap or a
+    class much larger than those before it starts rows of its own."""
+    edges = np.array([0, 1, 5, 9, 12, 20, 50_000])
+    runs = [(1, 0, 3), (2, 3, 4), (4, 4, 9), (5, 9, 10)]
+    assert attention._joined(edges, runs) == [
+        (slice(1, 9), runs[:2]), (slice(12, 20), [runs[2]]), (slice(20, 50_000), [runs[3]])]
+    assert attention._joined(edges, []) == []
+
+
 def test_attention_scores_are_masked_probabilities():
     """The softmax in two steps sums to one, later tokens don't count, and a
     token's score is the same however texts are batched."""
