@@ -27,6 +27,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm.attention import Attention, RowSteps, Scorer, batch_of, class_edges, gradient, windows
-from revlens.llm.bpe import cached_ids
+from revlens.llm.bpe import CachedIds, cached_ids
 from revlens.llm.tables import cut, prepare
 
 #: Most frequent words whose counts every task holds; those of others are joined.
@@ -49,10 +50,14 @@ START_RATE, RATE, STEP_WINDOWS = 0.2, 0.05, 256
 SHARD_BYTES, LARGE_SHARD, FEW = 32 << 20, 256 << 20, 64
 #: Shards added up by one task of the averaging tree, and rows of a block there.
 FAN, BLOCK = 32, 8192
-#: Remembered words per worker process; emptied when full.
-MEMORY = 400_000
+#: Remembered words per worker process, and their ids; emptied when full.
+MEMORY, MEMORY_IDS = 400_000, 4_000_000
+#: Words looked up together.
+RUN = 1 << 16
 #: The vocabulary's special id, used for the end of a text; other ids are smaller.
 END_ID = 50256
+#: The word that stands for the end; words hold no space.
+END = b" "
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -71,53 +76,133 @@ class Tables:
     head_counts: np.ndarray
 
 
+class Sequences(NamedTuple):
+    """Subwords of texts behind each other, what is shown at each place (the
+    subword before it; the end before a text), subwords and words (its end
+    counts as one) per text; and, if asked for, counts and hashes of these words."""
+
+    tokens: np.ndarray
+    shown: np.ndarray
+    lengths: np.ndarray
+    words: np.ndarray
+    counts: np.ndarray
+    hashed: np.ndarray
+
+
+class _Places(dict):
+    """Place of every remembered word, -1 for others."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
 class Words:
-    """Per word, remembered: its ids, its count (-1 unless a head word) and hash."""
+    """Words remembered as places in arrays of their ids, counts (-1 unless a
+    head word) and hashes.  The end of a text is the word of place 0."""
 
     def __init__(self, tables: Tables) -> None:
         self.tables = tables
         self.encode = cached_ids(tables.tokenizer)
-        self.memory: dict[bytes, tuple] = {}
+        self.end_count = int(tables.counts[tables.number[END_ID]])
+        self.forget()
 
-    def learn(self, new: list[bytes]) -> dict[bytes, tuple]:
-        texts = [w.decode() for w in new]
-        alone = [not _odd(t) for t in texts]
-        raw = iter(self.encode.pieces([t for t, a in zip(texts, alone) if a]))
-        flat = [next(raw) if a else self.encode.ordinary(" " + t).tobytes() for t, a in zip(texts, alone)]
-        hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new)).view(np.int64)
+    def forget(self) -> None:
+        self.places = _Places({END: 0})
+        self.held = 1  # ids in use
+        self.ids = np.full(1, self.tables.number[END_ID], np.uint16)  # END_ID is the largest
+        self.size, self.start = np.ones(1, np.int32), np.zeros(1, np.int64)
+        self.count, self.hashed = np.full(1, self.end_count), np.zeros(1, np.int64)
+
+    def learn(self, new: list[bytes]) -> None:
         t = self.tables
-        counts = np.full(len(new), -1)
+        flat, size = flat_ids(self.encode, new)
+        hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new)).view(np.int64)
+        count = np.full(len(new), -1)
         if len(t.head):
             i = np.minimum(np.searchsorted(t.head, hashed), len(t.head) - 1)
-            counts = np.where(t.head[i] == hashed, t.head_counts[i], -1)
-        return dict(zip(new, zip(flat, counts.tolist(), hashed.tolist())))
-
-    def of_words(self, split: list[list[bytes]]) -> Iterator[list[tuple]]:
-        """Per text the entries of its words; unknown words of all texts are learnt together."""
-        memory, new = self.memory, set()
-        for words in split:
-            new.update(words)
-        new = [w for w in new if w not in memory]
-        if new:
-            if len(memory) + len(new) > MEMORY:
-                memory.clear()
-                new = list({w for words in split for w in words})
-            memory.update(self.learn(new))
-        for words in split:
-            yield list(map(memory.__getitem__, words))
-
-    def sequences(self, found: list[list[tuple]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Tokens of the texts behind each other, what is shown at each place
-        (the token before it; the end before a text), and the texts' lengths."""
-        kind, number = self.encode.kind, self.tables.number
-        end = np.array([END_ID], kind).tobytes()
-        raw = [b"".join([*(f[0] for f in own), end]) for own in found]
-        tokens = number[np.frombuffer(b"".join(raw), kind)]
-        lengths = np.fromiter(map(len, raw), np.int64, len(raw)) // kind().itemsize
-        shown = np.empty_like(tokens)
-        shown[1:] = tokens[:-1]
-        shown[np.cumsum(lengths) - lengths] = number[END_ID]
-        return tokens, shown, lengths
+            count = np.where(t.head[i] == hashed, t.head_counts[i], -1)
+        known, end = len(self.places), self.held
+        self.ids = _longer(self.ids, end, t.number[flat])
+        self.size, self.start = _longer(self.size, known, size), _longer(self.start, known, end + np.cumsum(size) - size)
+        self.count, self.hashed = _longer(self.count, known, count), _longer(self.hashed, known, hashed)
+        self.held += len(flat)
+        self.places.update(zip(new, range(known, known + len(new))))
+
+    def _at(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+
+    def run(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words' subwords behind each other, and the words' places."""
+        at = self._at(words)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            unknown = {words[i] for i in new.tolist()}
+            if len(self.places) + len(unknown) > MEMORY or self.held > MEMORY_IDS:
+                self.forget()
+                new, unknown = np.arange(len(words)), set(words) - {END}
+            self.learn(list(unknown))
+            at[new] = self._at([words[i] for i in new.tolist()])
+        size = self.size[at]
+        past = np.cumsum(size, dtype=np.int64)
+        from_ = np.repeat(self.start[at] - (past - size), size)
+        from_ += np.arange(len(from_))
+        return self.ids[from_], at
+
+    def sequences(self, texts: list[str | None], counted: bool = False) -> Sequences:
+        """The texts' subwords and words; at most RUN words are looked up at a time."""
+        none = np.zeros(0, np.int64)
+        tokens, sizes, counts, hashed, each = [], [], [], [], []
+
+        def flush(words: list[bytes]) -> None:
+            flat, at = self.run(words)
+            tokens.append(flat)
+            sizes.append(self.size[at])
+            if counted:
+                counts.append(self.count[at])
+                hashed.append(self.hashed[at])
+
+        pending: list[bytes] = []
+        for text in texts:
+            own = words_of(text)
+            own.append(END)
+            each.append(len(own))
+            pending.extend(own)
+            whole = len(pending) // RUN * RUN
+            for i in range(0, whole, RUN):
+                flush(pending[i:i + RUN])
+            del pending[:whole]
+        if not each:
+            return Sequences(none, none, none, none, none, none)
+        if pending:
+            flush(pending)
+        each = np.array(each)
+        lengths = np.add.reduceat(np.concatenate(sizes), np.cumsum(each) - each, dtype=np.int64)
+        flat = np.concatenate(tokens).astype(np.int32)
+        shown = np.empty_like(flat)
+        shown[1:] = flat[:-1]
+        shown[np.cumsum(lengths) - lengths] = self.tables.number[END_ID]
+        return Sequences(flat, shown, lengths, each, *((np.concatenate(counts), np.concatenate(hashed)) if counted else (none, none)))
+
+
+def _longer(held: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """The first ``used`` elements and then ``more``; grows by half at least."""
+    if used + len(more) > len(held):
+        grown = np.empty(max(used + len(more), len(held) * 3 // 2), held.dtype)
+        grown[:used] = held[:used]
+        held = grown
+    held[used:used + len(more)] = more
+    return held
+
+
+def flat_ids(encode: CachedIds, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the words, each with a space before it, behind each other, and
+    how many each word has."""
+    texts = [w.decode() for w in words]
+    alone = [not _odd(t) for t in texts]
+    raw = iter(encode.pieces([t for t, a in zip(texts, alone) if a]))
+    flat = [next(raw) if a else encode.ordinary(" " + t).tobytes() for t, a in zip(texts, alone)]
+    size = np.fromiter(map(len, flat), np.int32, len(flat)) // encode.kind().itemsize
+    return np.frombuffer(b"".join(flat), encode.kind), size
 
 
 def _odd(word: str) -> bool:
@@ -125,7 +210,7 @@ def _odd(word: str) -> bool:
     return word[:1].isspace() or word[-1:].isspace()
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)  # a worker outlives the queries whose words it holds
 def _words_for(broadcast) -> Words:
     return Words(broadcast.value)
 
@@ -165,9 +250,9 @@ def subword_counts(words: DataFrame, tokenizer: str) -> np.ndarray:
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = cached_ids(tokenizer)
         for part in parts:
-            own = [encode.ordinary(" " + bytes(w).decode()) for w in part["word"]]
-            times = np.repeat(part["n"].to_numpy(), [len(p) for p in own])
-            ids, at = np.unique(np.concatenate(own).astype(np.int64), return_inverse=True)
+            flat, size = flat_ids(encode, part["word"].tolist())
+            times = np.repeat(part["n"].to_numpy(), size)
+            ids, at = np.unique(flat.astype(np.int64), return_inverse=True)
             yield pd.DataFrame({"id": ids, "n": np.bincount(at, weights=times, minlength=len(ids)).astype(np.int64)})
 
     found = (words.where("n > 0").select("word", "n").mapInPandas(count, "id long, n long")
@@ -197,7 +282,7 @@ def shard_count(size: int) -> int:
 def _train(model: Attention, steps: RowSteps, words: Words, texts: list[str | None]) -> None:
     """Steps over all windows of the texts, in order."""
     edges = words.tables.edges
-    tokens, shown, lengths = words.sequences(list(words.of_words([words_of(t) for t in texts])))
+    tokens, shown, lengths, *_ = words.sequences(texts)
     places = windows(lengths)
     for i in range(0, len(places[0]), STEP_WINDOWS):
         ids, want = batch_of(tokens, shown, *(p[i:i + STEP_WINDOWS] for p in places))
@@ -208,7 +293,7 @@ def _begin(model: Attention, words: Words, texts: list[str | None]) -> RowSteps:
     """Falling steps over drawn windows of a bounded sample of texts: as many
     turns as START_STEPS allow, ten at most."""
     edges = words.tables.edges
-    tokens, shown, lengths = words.sequences(list(words.of_words([words_of(t) for t in texts])))
+    tokens, shown, lengths, *_ = words.sequences(texts)
     places = windows(lengths)
     steps = RowSteps(model)
     each = -(-len(places[0]) // START_BATCH)
@@ -342,20 +427,18 @@ def lm_scores(df: DataFrame, tokenizer: str, held_out: Column, doc_id: str = "do
         known = _words_for(sent)
         scorer = Scorer(fitted.value, known.tables.edges)
         for part in parts:
-            found = list(known.of_words([words_of(text) for text in part["text"]]))
-            tokens, shown, lengths = known.sequences(found)
-            logp = scorer.score(tokens, shown, lengths)
-            rows, tails = [], []
-            for own in found:
-                _, counts, hashed = zip(*own) if own else ((), (), ())
-                counts = np.array(counts, np.int64)
-                rare = counts < 0
-                tails.append(np.unique(np.array(hashed, np.int64)[rare], return_counts=True))
-                head = counts[~rare]
-                rows.append((len(own) + 1, len(head) + (documents > 0), float(log_base(head).sum() + log_base(documents))))
-            out = pd.DataFrame(rows, columns=["n_tokens", "head_known", "head_base"])
-            out["doc_id"], out["held_out"] = part["doc_id"].to_numpy(), part["held_out"].to_numpy()
-            out["score"] = np.add.reduceat(logp, np.cumsum(lengths) - lengths) / math.log(10) if rows else np.zeros(0)
+            if not len(part):
+                continue
+            tokens, shown, lengths, each, counts, hashed = known.sequences(part["text"].tolist(), counted=True)
+            first = np.cumsum(each) - each
+            head = counts >= 0
+            out = part[["doc_id", "held_out"]].reset_index(drop=True)
+            out["n_tokens"] = each
+            # the end is known where there are training documents
+            out["head_known"] = np.add.reduceat(head, first, dtype=np.int64) - (documents == 0)
+            out["head_base"] = np.add.reduceat(np.where(head, log_base(np.maximum(counts, 0)), 0), first)
+            out["score"] = np.add.reduceat(scorer.score(tokens, shown, lengths), np.cumsum(lengths) - lengths) / math.log(10)
+            tails = [np.unique(h[~k], return_counts=True) for h, k in zip(np.split(hashed, first[1:]), np.split(head, first[1:]))]
             out["tail_h"] = pd.Series([h for h, _ in tails], dtype=object)
             out["tail_n"] = pd.Series([c for _, c in tails], dtype=object)
             yield out

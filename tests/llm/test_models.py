@@ -1,12 +1,16 @@
 """Classifiers, language model, search and fingerprints."""
 
+import gc
 import math
+import tracemalloc
+import weakref
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from revlens.llm import attention, attention_lm, simhash, topk
@@ -127,6 +131,58 @@ def test_shards_grow_with_the_text():
     assert [attention_lm.shard_count(n << 20) for n in (0, 1, 33, 2048, 16384, 1 << 20)] == [1, 1, 2, 64, 64, 4096]
 
 
+def tables_of(counts, head=(), head_counts=()):
+    return attention_lm.Tables(public_tokenizers.path(BYTE_BPE), np.arange(len(counts)), counts, attention.class_edges(counts),
+                               np.array(head, np.int64), np.array(head_counts, np.int64))
+
+
+def test_a_worker_keeps_the_words_of_one_query():
+    made = [type("B", (), {"value": tables_of(np.zeros(attention_lm.END_ID + 1))})() for _ in range(2)]
+    first = weakref.ref(attention_lm._words_for(made[0]))
+    attention_lm._words_for(made[1])
+    gc.collect()
+    assert first() is None
+    attention_lm._words_for.cache_clear()
+
+
+def test_texts_are_not_held_as_words(monkeypatch):
+    """Learning holds the ids of a batch of texts and bounded words."""
+    monkeypatch.setattr(attention_lm, "gradient", lambda m, e, ids, want: (0, []))
+    words, texts = attention_lm.Words(tables_of(np.zeros(attention_lm.END_ID + 1))), ["some of many more words " * 200] * 500
+    steps = type("S", (), {"step": lambda self, parts, n: None})()
+    attention_lm._train(None, steps, words, texts[:1])
+    tracemalloc.start()
+    attention_lm._train(None, steps, words, texts)  # 500,000 words
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 18 << 20
+
+
+def test_words_are_forgotten_and_learnt_again(monkeypatch):
+    """Small memories, runs within a text and unknown words give the same ids, counts and hashes."""
+    texts = [None, "", " the cat ", "the dog the\u2003 \u00e9t\u00e9 " * 30, "x" * 500, *(f"w{i} the w{i + 1}" for i in range(50))]
+    held = sorted((int(np.uint64(xxhash.xxh3_64_intdigest(w)).astype(np.int64)), n) for w, n in ((b"the", 7), (b"w3", 0)))
+    counts = np.zeros(attention_lm.END_ID + 1)
+    counts[attention_lm.END_ID] = 9
+    tables = tables_of(counts, *zip(*held))
+    large = attention_lm.Words(tables).sequences(texts, counted=True)
+    monkeypatch.setattr(attention_lm, "RUN", 7)
+    monkeypatch.setattr(attention_lm, "MEMORY", 12)
+    small = attention_lm.Words(tables)
+    for a, b in zip(large, small.sequences(texts, counted=True)):
+        assert a.tolist() == b.tolist()
+    assert len(small.places) <= 12
+    monkeypatch.setattr(attention_lm, "MEMORY_IDS", 3)
+    for a, b in zip(large, small.sequences(texts, counted=True)):
+        assert a.tolist() == b.tolist()
+    encode, own = cached_ids(tables.tokenizer), [words_of(t) for t in texts]
+    assert large.words.tolist() == [len(w) + 1 for w in own]
+    assert large.tokens.tolist() == [int(i) for ws in own for i in (
+        *(i for w in ws for i in encode.ordinary(" " + w.decode())), attention_lm.END_ID)]
+    assert large.counts.tolist() == [n for ws in own for n in (*({b"the": 7, b"w3": 0}.get(w, -1) for w in ws), 9)]
+    assert all(len(a) == 0 for a in small.sequences([], counted=True))
+
+
 def test_every_training_token_is_learnt_from(monkeypatch):
     """Whole texts, short and empty ones too, each place wanted once."""
     seen = Counter()
