@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from revlens.session import scratch_path
+from revlens.session import GROUP_BYTES, scratch_path, short_batches
 
 #: Places of the hash; a sample takes those below its share of them.
 PLACES = 1 << 30
@@ -94,16 +94,18 @@ def halve_ngram_lr(train: DataFrame, validation: DataFrame, grid: Mapping[str, d
             if made[shapes[name]] not in out.columns:
                 out = steps[-2].copy({steps[-2].outputCol: made[shapes[name]]}).transform(out)
         path = scratch_path(spark, "features")
-        out.drop("review_body", "tokens").write.parquet(path)
+        out.drop("review_body", "tokens").write.option("parquet.block.size", GROUP_BYTES).parquet(path)
         return spark.read.parquet(path)
 
     def rows_of(name: str, rows: DataFrame) -> DataFrame:
         return rows.select("sentiment", "label", F.col(made[shapes[name]]).alias("features"))
 
-    found = successive_halving(
-        featurised(train), featurised(validation), {name: name for name in grid},
-        lambda name, rows: (name, pipelines[name][-1].fit(rows_of(name, rows))),
-        lambda fit, rows: accuracy(predict_sentiment(fit[1], rows_of(fit[0], rows))).first()["metric_value"], eta)
+    held = featurised(train), featurised(validation)
+    with short_batches(spark):
+        found = successive_halving(
+            *held, {name: name for name in grid},
+            lambda name, rows: (name, pipelines[name][-1].fit(rows_of(name, rows))),
+            lambda fit, rows: accuracy(predict_sentiment(fit[1], rows_of(fit[0], rows))).first()["metric_value"], eta)
     if found.model is not None:
         name, model = found.model
         found.model = PipelineModel([*pipelines[name][:-1], model])

@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from revlens.models.candidates import score_reviews
+from revlens.session import GROUP_BYTES
 
 
 def review_stream(spark: SparkSession, path: str, schema: StructType | str,
@@ -39,7 +40,7 @@ def start_scoring(model: PipelineModel, stream: DataFrame, sink_path: str, check
                   text_col: str = "review_body", keep=("id",), available_now: bool = True,
                   processing_time: str | None = None, fmt: str = "parquet") -> StreamingQuery:
     scored = score_reviews(model, stream, text_col=text_col, keep=keep)
-    writer = (scored.writeStream.format(fmt).outputMode("append")
+    writer = (scored.writeStream.format(fmt).outputMode("append").option("parquet.block.size", GROUP_BYTES)
               .option("path", sink_path).option("checkpointLocation", checkpoint_path))
     writer = (writer.trigger(availableNow=True) if available_now
               else writer.trigger(processingTime=processing_time or "10 seconds"))
